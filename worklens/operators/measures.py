@@ -83,6 +83,7 @@ class Measure:
     atoms: tuple[str, ...]
     value: Callable[[], Column]
     is_text: bool = False
+    dense: bool = False  # has a value even where every atom is BLANK
 
 
 @dataclass(frozen=True)
@@ -227,6 +228,7 @@ def evaluate(
 
     Per-fact results are lined up by a null-safe union and one small aggregation. An atom the axis
     does not reach, or whose condition takes the axis column over, has the same value on every row.
+    Those, and measures that are never BLANK, also show axis values no fact has.
     """
     needed = sorted({a for m in measures for a in m.atoms})
     groups: dict[tuple, dict[str, Atom]] = {}
@@ -251,7 +253,8 @@ def evaluate(
         else:
             partial.append(([_axis(i) for i in group.by], result, list(members)))
 
-    if partial and len({_split(ref)[0] for ref in context.by}) == 1:
+    dense = any(m.dense for m in measures)
+    if (partial or dense) and len({_split(ref)[0] for ref in context.by}) == 1:
         table = _split(context.by[0])[0]
         axis = _Group(model, context, Atom(table)) if table in REACH else None
         source = axis.filtered(table) if axis else _filtered_axis(model, context, table)

@@ -124,6 +124,10 @@ def _minus_one(part: str, whole: str) -> Column:
     return F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0)) - 1
 
 
+def _effort() -> Column:
+    return _minus_one("apontadas_concluidas", "estimadas_concluidas")
+
+
 def _balance() -> Column:
     created, delivered = F.col("tarefas"), F.col("tarefas_entregues")
     value = F.coalesce(created, F.lit(0)) - F.coalesce(delivered, F.lit(0))
@@ -143,7 +147,8 @@ def _share(part: str, whole: str) -> Column:
 
 
 def _m(name, folder, atoms, value, text=False) -> Measure:
-    return Measure(name, folder, tuple(atoms.split()), value, text)
+    dense = text or value is _effort
+    return Measure(name, folder, tuple(atoms.split()), value, text, dense)
 
 
 CARDS = "Contexto dos cartões"
@@ -186,7 +191,7 @@ CATALOG: list[Measure] = [
     _m("Horas Estimadas", "Esforço", "horas_estimadas", _only("horas_estimadas")),
     _m("Horas Apontadas", "Esforço", "horas_apontadas", _only("horas_apontadas")),
     _m("Desvio de Esforço %", "Esforço", "apontadas_concluidas estimadas_concluidas",
-       lambda: _minus_one("apontadas_concluidas", "estimadas_concluidas")),
+       _effort),
     _m("Tarefas Criadas", "Período", "tarefas", _only("tarefas")),
     _m("Tarefas Entregues", "Período", "tarefas_entregues", _only("tarefas_entregues")),
     _m("Saldo do Período", "Período", "tarefas tarefas_entregues", _balance),
@@ -224,7 +229,9 @@ CATALOG: list[Measure] = [
        lambda: _sentence(_share("horas_apontadas", "horas_orcadas"),
                          " das horas orçadas já usadas"), True),
     _m("Texto Orçamento", CARDS, "orcamento",
-       lambda: _sentence("R$ ", number_br(F.col("orcamento") / 1_000_000, 1), " mi"), True),
+       lambda: _sentence(
+           "R$ ", F.coalesce(number_br(F.col("orcamento") / 1_000_000, 1), F.lit("")), " mi"),
+       True),
     _m("Contexto Projetos de Ideias", CARDS, "projetos_ideias",
        lambda: _sentence(_count("projetos_ideias"), " vieram de ideias"), True),
 ]

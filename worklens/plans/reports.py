@@ -152,3 +152,21 @@ def cards(model: Model, filters: Filters = None) -> DataFrame:
     """Every card's value and context line, in one row."""
     names = [n for page in CARDS.values() for card in page for n in card if n]
     return measure(model, names, (), filters)
+
+
+def portfolio_totals(model: Model) -> DataFrame:
+    """Projects, tasks and open tasks per portfolio; a portfolio without tasks shows zero.
+
+    Tasks are counted per project first, so projects are not repeated and need no distinct count.
+    """
+    counts = model["fato_tarefa"].groupBy("projeto_id").agg(
+        F.count(F.lit(1)).alias("_tasks"), F.count_if("aberta").alias("_open"))
+    return (
+        model["dim_projeto"].select("projeto_id", "portfolio").join(counts, "projeto_id", "left")
+        .groupBy("portfolio")
+        .agg(
+            F.count(F.lit(1)).alias("projetos"),
+            F.coalesce(F.sum("_tasks"), F.lit(0)).alias("tarefas"),
+            F.coalesce(F.sum("_open"), F.lit(0)).alias("abertas"),
+        )
+    )

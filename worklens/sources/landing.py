@@ -39,6 +39,12 @@ def read_pages(spark: SparkSession, root: str, resource: str, since: str | None
     return pages if since is None else pages.where(F.col("data_carga") >= F.lit(since).cast("date"))
 
 
+def parse_pages(lines: DataFrame, text: str, resource: str) -> DataFrame:
+    """Pages held as JSON text in a column, under the same fixed schema."""
+    options = {"mode": "PERMISSIVE"}
+    return lines.select(F.from_json(text, envelope(resource), options).alias("p")).select("p.*")
+
+
 def records(pages: DataFrame) -> DataFrame:
     """One row per record, with its run. Unreadable pages are reported by :func:`bad_pages`."""
     return pages.select(F.explode("dados").alias("r"), "_execucao").select("r.*", "_execucao")
