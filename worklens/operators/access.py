@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from worklens.plans.gold import Model
@@ -13,13 +14,17 @@ def secured(model: Model, portfolio: str) -> Model:
     People, stages and days are not filtered. Both semi-joins follow unique keys of the smaller
     side; the visits of a hot task match one row and are split by the engine's skew handling.
     """
-    projects = model["dim_projeto"].where(F.col("portfolio") == portfolio)
-    tasks = model["fato_tarefa"].join(projects.select("projeto_id"), "projeto_id", "left_semi")
-    visits = model["fato_passagem_status"].join(
-        tasks.select("tarefa_id"), "tarefa_id", "left_semi"
-    )
-    names = {"dim_projeto": projects, "fato_tarefa": tasks, "fato_passagem_status": visits}
-    order = {name: df.columns for name, df in model.tables.items()}
-    return Model({
-        **model.tables, **{name: df.select(*order[name]) for name, df in names.items()},
+    def projects() -> DataFrame:
+        return model["dim_projeto"].where(F.col("portfolio") == portfolio)
+
+    def kept(name: str, key: str, parent: DataFrame) -> DataFrame:
+        facts = model[name]
+        return facts.join(parent.select(key), key, "left_semi").select(*facts.columns)
+
+    secured_model = model.replacing({
+        "dim_projeto": projects,
+        "fato_tarefa": lambda: kept("fato_tarefa", "projeto_id", secured_model["dim_projeto"]),
+        "fato_passagem_status":
+            lambda: kept("fato_passagem_status", "tarefa_id", secured_model["fato_tarefa"]),
     })
+    return secured_model

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worklens.functions.labels import stage_order
@@ -70,3 +70,11 @@ def history_rollup(visits: DataFrame) -> DataFrame:
         F.max("entrada_utc").alias("ultima_mudanca_utc"),
         F.count(F.lit(1)).alias("qtd_passagens"),
     )
+
+
+def no_history(spark: SparkSession) -> DataFrame:
+    """The rollup of tasks that carry no moves: no rows."""
+    return spark.createDataFrame(
+        [], "tarefa_id string, inicio_execucao_utc timestamp, qtd_bloqueios bigint, "
+        "centesimos_bloqueada bigint, qtd_retrabalho bigint, ultima_mudanca_utc timestamp, "
+        "qtd_passagens bigint")

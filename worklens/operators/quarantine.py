@@ -67,14 +67,14 @@ def flag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 def flag_orphans(
     flagged: DataFrame, column: str, parents: DataFrame, parent_key: str = "id",
-    row_id: Sequence[str] = ("id",), hot_rows: int = HOT_ROWS,
+    row_id: Sequence[str] = ("id",), hot_rows: int = HOT_ROWS, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Give rows without a partner in ``parents`` a reason, unless an earlier one stands.
 
-    A NULL key is an orphan. ``parents`` holds each key once.
+    A NULL key is an orphan. ``parents`` holds each key once. ``counted`` as in ``skew_join``.
     """
     known = parents.select(F.col(parent_key).alias(column), F.lit(True).alias("_known"))
-    checked = skew_join(flagged, known, column, "left", row_id, hot_rows)
+    checked = skew_join(flagged, known, column, "left", row_id, hot_rows, counted)
     orphan = F.when(F.col("_known").isNull(), F.lit(f"{column} sem correspondente"))
     return checked.select(
         *[F.col(c) for c in flagged.columns if c != REASON],
@@ -114,7 +114,8 @@ def cascade(
         current = flag_rules(df, rules(name))
         for child, column, parent in keys:
             if child == name:
-                current = flag_orphans(current, column, valid(flagged[parent]), hot_rows=hot_rows)
+                current = flag_orphans(
+                    current, column, valid(flagged[parent]), hot_rows=hot_rows, counted=df)
         flagged[name] = stage(name, current)
     return flagged
 

@@ -28,15 +28,16 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
 
 def skew_join(
     many: DataFrame, one: DataFrame, key: str, how: str = "inner",
-    spread: Sequence[str] = (), hot_rows: int = HOT_ROWS,
+    spread: Sequence[str] = (), hot_rows: int = HOT_ROWS, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join ``many`` rows to the one row per key in ``one``, salting only the hot keys.
 
     ``spread`` names the columns whose hash picks the salt (the row id). Rows of a hot key spread
     over its parts and its single partner is copied once per part; NULL keys never match, so they
-    spread too. The copies add at most N / hot_rows rows.
+    spread too. The copies add at most N / hot_rows rows. ``counted`` is a cheaper table with the
+    same rows or more, such as the source of ``many``, to count the keys in.
     """
-    parts = F.broadcast(hot_keys(many, key, hot_rows))
+    parts = F.broadcast(hot_keys(many if counted is None else counted, key, hot_rows))
     pick = F.xxhash64(*(spread or many.columns))
     salt = (
         F.when(F.col(key).isNull(), F.pmod(pick, F.lit(NULL_KEY_SALTS)))

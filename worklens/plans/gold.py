@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
 from datetime import date
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,14 +28,26 @@ from worklens.schemas import GOLD, TIME_ZONE, gold_schema
 from worklens.sources.calendar import calendar, calendar_bounds, stage_catalog
 
 
-@dataclass(frozen=True)
 class Model:
-    """The tables of the star schema, by name."""
+    """The tables of the star schema, by name; each plan is built when first asked for."""
 
-    tables: Mapping[str, DataFrame]
+    def __init__(self, builders: Mapping[str, Callable[[], DataFrame]]):
+        self._builders = dict(builders)
+        self._built: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.tables[name]
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    @property
+    def names(self) -> list[str]:
+        return list(self._builders)
+
+    def replacing(self, builders: Mapping[str, Callable[[], DataFrame]]) -> Model:
+        """The same model with some tables built another way."""
+        keep = {name: lambda name=name: self[name] for name in self._builders}
+        return Model({**keep, **builders})
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
@@ -151,29 +163,33 @@ def star(
     ``stage`` may save a table and return it read back, so that visits are ordered only once and
     the calendar reads finished tables.
     """
-    visits = stage("passagens", stage_visits(silver["movimentacoes"], ref, zone, hot_rows))
-    tasks = stage(
-        "fato_tarefa", task_facts(silver["tarefas"], history_rollup(visits), ref, zone)
-    )
-    projects = stage(
-        "dim_projeto",
-        project_dimension(silver["projetos"], silver["portfolios"], silver["usuarios"], ref),
-    )
-    days = calendar(calendar_bounds(tasks, projects, ref), ref)
-    rest = {
-        "fato_passagem_status": visit_facts(visits, silver["tarefas"], hot_rows or HOT_ROWS),
-        "dim_pessoa": people_dimension(silver["usuarios"], silver["portfolios"]),
-        "dim_status": stage_catalog(spark),
-        "dim_data": conform(days, "dim_data"),
-        "ref_parametros": parameters(spark, ref, zone),
+    @cache
+    def visits() -> DataFrame:
+        return stage("passagens", stage_visits(silver["movimentacoes"], ref, zone, hot_rows))
+
+    builders = {
+        "fato_tarefa": lambda: task_facts(
+            silver["tarefas"], history_rollup(visits()), ref, zone),
+        "fato_passagem_status": lambda: visit_facts(
+            visits(), silver["tarefas"], hot_rows or HOT_ROWS),
+        "dim_projeto": lambda: project_dimension(
+            silver["projetos"], silver["portfolios"], silver["usuarios"], ref),
+        "dim_pessoa": lambda: people_dimension(silver["usuarios"], silver["portfolios"]),
+        "dim_status": lambda: stage_catalog(spark),
+        "dim_data": lambda: calendar_table(model["fato_tarefa"], model["dim_projeto"], ref),
+        "ref_parametros": lambda: parameters(spark, ref, zone),
     }
-    return Model({
-        "fato_tarefa": tasks,
-        "dim_projeto": projects,
-        **{name: stage(name, df) for name, df in rest.items()},
+    model = Model({
+        name: lambda name=name, build=build: stage(name, build())
+        for name, build in builders.items()
     })
+    return model
+
+
+def calendar_table(tasks: DataFrame, projects: DataFrame, ref: Column | date) -> DataFrame:
+    return conform(calendar(calendar_bounds(tasks, projects, ref), ref), "dim_data")
 
 
 def open_model(spark: SparkSession) -> Model:
     """The star schema as saved in the catalog."""
-    return Model({name: spark.table(name) for name in GOLD})
+    return Model({name: lambda name=name: spark.table(name) for name in GOLD})

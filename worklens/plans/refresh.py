@@ -70,7 +70,9 @@ def refresh_gold(
         counts[name] = save_table(df, name, fmt)
         return spark.table(name)
 
-    star(spark, silver, ref, zone, hot_rows, stage=save)
+    model = star(spark, silver, ref, zone, hot_rows, stage=save)
+    for name in model.names:
+        _ = model[name]  # building a table saves it
     require_consistent(open_model(spark))
     return counts
 

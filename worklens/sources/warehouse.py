@@ -14,18 +14,18 @@ from pyspark.sql import functions as F
 
 from worklens.functions.labels import origin, origin_code, stage_category
 from worklens.functions.text import empty_labels
-from worklens.operators.history import history_rollup, stage_visits
+from worklens.operators.history import no_history, stage_visits
 from worklens.operators.pointintime import history_labels
 from worklens.plans.gold import (
     Model,
-    conform,
+    calendar_table,
     parameters,
     people_dimension,
     project_dimension,
     star,
     task_facts,
 )
-from worklens.sources.calendar import calendar, calendar_bounds, stage_catalog
+from worklens.sources.calendar import stage_catalog
 
 # fixed values: reference dates and mappings of the source tables
 FLOW_REF = date(2024, 1, 31)
@@ -40,12 +40,52 @@ PRIORITY = {
 }
 
 
+class Sources(dict):
+    """Source plans by name, built on first use."""
+
+    def __getitem__(self, name: str) -> DataFrame:
+        found = super().__getitem__(name)
+        if callable(found):
+            found = found()
+            self[name] = found
+        return found
+
+
+# fixed values: columns of the source tables
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A source table; zone-less timestamps become UTC instants once, here."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    zoneless = {f.name: F.col(f.name).cast("timestamp") for f in df.schema
-                if f.dataType.typeName() == "timestamp_ntz"}
-    return df.withColumns(zoneless) if zoneless else df
+    """A source table under its known schema, so that no file is opened to plan a query.
+
+    Zone-less timestamps are read as UTC instants, which keeps filters on them in the scan.
+    """
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _pick(options: list[str], index: Column) -> Column:
@@ -244,29 +284,28 @@ def projects(spark: SparkSession, sf_dir: str, view: str = "delivery") -> DataFr
 
 
 def flow_model(spark: SparkSession, sf_dir: str) -> Model:
-    silver = {
-        "portfolios": portfolios(spark, sf_dir),
-        "usuarios": people(spark, sf_dir),
-        "projetos": projects(spark, sf_dir, "flow"),
-        "tarefas": flow_tasks(spark, sf_dir),
-        "movimentacoes": flow_moves(spark, sf_dir),
-    }
-    return star(spark, silver, FLOW_REF)
+    """The event view, with visits; source plans are built when a table needs them."""
+    return star(spark, Sources({
+        "portfolios": lambda: portfolios(spark, sf_dir),
+        "usuarios": lambda: people(spark, sf_dir),
+        "projetos": lambda: projects(spark, sf_dir, "flow"),
+        "tarefas": lambda: flow_tasks(spark, sf_dir),
+        "movimentacoes": lambda: flow_moves(spark, sf_dir),
+    }), FLOW_REF)
 
 
 def delivery_model(spark: SparkSession, sf_dir: str) -> Model:
     """Everything but visits: orders carry no history."""
-    units, staff = portfolios(spark, sf_dir), people(spark, sf_dir)
-    no_history = history_rollup(
-        flow_visits(spark, sf_dir).where(F.lit(False)))
-    tasks = task_facts(delivery_tasks(spark, sf_dir), no_history, DELIVERY_REF, "UTC")
-    dims = project_dimension(projects(spark, sf_dir), units, staff, DELIVERY_REF)
-    days = calendar(calendar_bounds(tasks, dims, DELIVERY_REF), DELIVERY_REF)
-    return Model({
-        "fato_tarefa": tasks,
-        "dim_projeto": dims,
-        "dim_pessoa": people_dimension(staff, units),
-        "dim_status": stage_catalog(spark),
-        "dim_data": conform(days, "dim_data"),
-        "ref_parametros": parameters(spark, DELIVERY_REF),
+    model = Model({
+        "fato_tarefa": lambda: task_facts(
+            delivery_tasks(spark, sf_dir), no_history(spark), DELIVERY_REF, "UTC"),
+        "dim_projeto": lambda: project_dimension(
+            projects(spark, sf_dir), portfolios(spark, sf_dir), people(spark, sf_dir),
+            DELIVERY_REF),
+        "dim_pessoa": lambda: people_dimension(people(spark, sf_dir), portfolios(spark, sf_dir)),
+        "dim_status": lambda: stage_catalog(spark),
+        "dim_data": lambda: calendar_table(
+            model["fato_tarefa"], model["dim_projeto"], DELIVERY_REF),
+        "ref_parametros": lambda: parameters(spark, DELIVERY_REF),
     })
+    return model
