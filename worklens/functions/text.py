@@ -42,7 +42,8 @@ def number_br(value: Column, digits: int = 0) -> Column:
 
 
 def percent_br(share: Column, digits: int = 0) -> Column:
-    return F.concat(number_br(share * 100, digits), F.lit("%"))
+    """``12,3%``. The share is rounded as written, so 0.285 is 29 % and not 28.4999."""
+    return F.concat(number_br(F.round(share, digits + 2) * 100, digits), F.lit("%"))
 
 
 def signed(value: Column, digits: int, text: Column) -> Column:
@@ -55,7 +56,7 @@ def signed_number_br(value: Column, digits: int = 0) -> Column:
 
 
 def signed_percent_br(share: Column, digits: int = 0) -> Column:
-    return signed(share * 100, digits, percent_br(share, digits))
+    return signed(share, digits + 2, percent_br(share, digits))
 
 
 def whole_br(value: Column) -> Column:

@@ -135,10 +135,11 @@ class _Group:
                 df = df.where(F.col(_split(ref)[1]).isin(list(values)))
         if table == PROJECT and self.portfolio is not None:
             df = df.where(F.col("portfolio") == self.portfolio)
-        return df.withColumns({
+        axes = {
             _axis(i): F.col(_split(ref)[1]) for i, ref in self.by.items()
             if _split(ref)[0] == table
-        })
+        }
+        return df.withColumns(axes) if axes else df
 
     def key_rows(self, table: str, key: str, as_key: str) -> DataFrame:
         return self.filtered(table).select(F.col(key).alias(as_key), *self.axes(table))
@@ -177,6 +178,7 @@ class _Group:
 
     def _collapse(self, atoms: Mapping[str, Atom], extra: Mapping[str, Column]) -> DataFrame:
         first = [F.expr(a.first).alias(name) for name, a in atoms.items()]
+        added = [value.alias(name) for name, value in extra.items()]
         merge = [getattr(F, a.merge)(name).alias(name) for name, a in atoms.items()]
         hops = []  # link column of the fact side, table, its key
         if self.fact != PROJECT and self.touches(PROJECT):
@@ -194,8 +196,8 @@ class _Group:
             through_task = bool(hops) or self.touches(TASK) or self.touches(STAGE) or (
                 not own_date and self.touches(DAY))
             if not through_task and not any(a.per_task for a in atoms.values()):
-                return visits.withColumns(dict(extra)).groupBy(*axes, *extra).agg(*first)
-            df = visits.withColumns(dict(extra)).groupBy("tarefa_id", *axes, *extra).agg(*first)
+                return visits.groupBy(*axes, *added).agg(*first)
+            df = visits.groupBy("tarefa_id", *axes, *added).agg(*first)
             if through_task:
                 task_axes = self.axes(TASK) + self.axes(STAGE)
                 task_axes += [] if own_date else self.axes(DAY)
@@ -212,7 +214,7 @@ class _Group:
             else:
                 df = self.filtered(self.fact)
                 axes = self.axes(self.fact)
-            df = df.withColumns(dict(extra)).groupBy(*links, *axes, *extra).agg(*first)
+            df = df.groupBy(*links, *axes, *added).agg(*first)
 
         for i, (link, table, key) in enumerate(hops):
             axes += self.axes(table)

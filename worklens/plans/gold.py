@@ -52,9 +52,7 @@ class Model:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Exactly the frozen columns of a gold table: names, types and order."""
-    return df.select(*[
-        F.col(field.name).cast(field.dataType).alias(field.name) for field in gold_schema(table)
-    ])
+    return df.to(gold_schema(table))
 
 
 def task_facts(

@@ -294,8 +294,9 @@ def filter_override(spark, sf_dir):
 @query("blank_semantics", f"""
 SELECT etapa, {blank("situacao_prazo = 'Atrasado'")} AS "Projetos Atrasados",
        {blank("situacao_prazo = 'Atrasado'")} / {blank(RUNNING)} AS "% Projetos Atrasados",
-       CAST(round(100 * coalesce({blank("situacao_prazo = 'Atrasado'")} / {blank(RUNNING)}, 0))
-            AS VARCHAR)[:-3] || '% dos ativos' AS "Contexto Projetos Atrasados"
+       CAST(coalesce((200 * {blank("situacao_prazo = 'Atrasado'")} + {blank(RUNNING)})
+                       // (2 * {blank(RUNNING)}), 0) AS VARCHAR) || '% dos ativos'
+         AS "Contexto Projetos Atrasados"
 FROM dim GROUP BY etapa
 """)
 def blank_semantics(spark, sf_dir):
@@ -338,13 +339,14 @@ SELECT 'de ' || replace(format('{:,}', (SELECT count(*) FROM dim)), ',', '.')
          AS "Contexto Entregues no Prazo",
        (SELECT replace(format('{:,}', count(*)), ',', '.') || ' impedidas agora' FROM tasks
         WHERE status = 'Impedido') AS "Contexto Tarefas Abertas",
-       (SELECT CAST(CAST(round(avg(CAST(status = 'Concluído' AS INTEGER)) * 100) AS INTEGER)
-          AS VARCHAR) || '% de todas as tarefas' FROM tasks) AS "Contexto Tarefas Concluídas",
-       (SELECT CAST(CAST(round(avg(CAST(data_limite < DATE '2001-06-30' AS INTEGER)) * 100)
-          AS INTEGER) AS VARCHAR) || '% das abertas' FROM tasks
+       (SELECT CAST((200 * count(*) FILTER (WHERE status = 'Concluído') + count(*))
+                      // (2 * count(*)) AS VARCHAR) || '% de todas as tarefas' FROM tasks)
+         AS "Contexto Tarefas Concluídas",
+       (SELECT CAST((200 * count(*) FILTER (WHERE data_limite < DATE '2001-06-30') + count(*))
+                      // (2 * count(*)) AS VARCHAR) || '% das abertas' FROM tasks
         WHERE aberta AND data_limite IS NOT NULL) AS "Contexto Tarefas Vencidas",
-       (SELECT '+' || CAST(CAST(round((sum(centesimos) / (100 * sum(estimativa)) - 1) * 100)
-          AS INTEGER) AS VARCHAR) || '% vs. o estimado' FROM tasks)
+       (SELECT '+' || CAST(CAST(round(sum(centesimos) / sum(estimativa) - 100) AS INTEGER)
+          AS VARCHAR) || '% vs. o estimado' FROM tasks)
          AS "Contexto Horas Apontadas",
        (SELECT replace(format('{:,}', count(*)), ',', '.') || ' vieram de ideias' FROM dim
         WHERE origem = 'Ideia') AS "Contexto Projetos de Ideias",
