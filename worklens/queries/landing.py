@@ -108,19 +108,20 @@ def incremental_window(spark, sf_dir):
 
 
 @query("run_log", """
-SELECT 'movimentacoes' AS recurso, execucao AS _execucao, paginas, registros,
+SELECT recurso, execucao AS _execucao, paginas, registros,
        CASE WHEN desde IS NULL THEN 'completo' ELSE 'incremental' END AS modo, desde
 FROM (
-  SELECT strftime(ts, '%Y%m%d') AS execucao, count(DISTINCT event_id // 100) AS paginas,
-         count(*) AS registros,
-         lag(max(ts)) OVER (ORDER BY strftime(ts, '%Y%m%d')) - INTERVAL 5 MINUTE AS desde
-  FROM events GROUP BY 1)
+  SELECT event_type AS recurso, strftime(ts, '%Y%m%d') AS execucao,
+         count(DISTINCT event_id // 100) AS paginas, count(*) AS registros,
+         lag(max(ts)) OVER (PARTITION BY event_type ORDER BY strftime(ts, '%Y%m%d'))
+           - INTERVAL 5 MINUTE AS desde
+  FROM events GROUP BY 1, 2)
 """)
 def run_log_query(spark, sf_dir):
-    """One run per day, a page per hundred events; each run starts from the marks before it."""
+    """A resource per event type, a run per day; each run starts from the marks before it."""
     run = F.date_format("ts", "yyyyMMdd")
     pages = table(spark, sf_dir, "events").groupBy(
-        F.lit("movimentacoes").alias("recurso"), run.alias("_execucao"),
+        F.col("event_type").alias("recurso"), run.alias("_execucao"),
         F.floor(F.col("event_id") / 100).alias("_arquivo"),
     ).agg(F.count(F.lit(1)).alias("registros"), F.max("ts").alias("_last"))
     runs = pages.groupBy("recurso", "_execucao").agg(F.max("_last").alias("_last"))
