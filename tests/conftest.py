@@ -14,6 +14,8 @@ def new_session(folder: str = "/tmp/worklens-test") -> SparkSession:
         SparkSession.builder.master("local[8]").appName("worklens-tests")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # do not record the call site of every column expression while plans are built
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.warehouse.dir", f"{folder}/warehouse")
         .getOrCreate()

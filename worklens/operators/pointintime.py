@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from worklens.operators.skew import skew_join
+
 
 def state_as_of(moves: DataFrame, cut: Column) -> DataFrame:
     """Each task as its events up to ``cut`` leave it; tasks created later do not exist yet."""
@@ -107,16 +109,17 @@ def budget_rollup(
     """Hours of the tasks created within the original scope, plus 10 %, up to the next ten.
 
     ``scope_end`` is one row per project: ``projeto_id, portfolio_id, escopo_ate``; ``rates`` holds
-    the hourly cost per portfolio. Hours are summed per project and creation date before they meet
-    the project, so a large project is already small at the join.
+    the hourly cost per portfolio. A project without such tasks has a budget of zero.
     """
-    per_day = tasks.groupBy("projeto_id", "criada_em").agg(F.sum("estimativa_horas").alias("_hours"))
-    hours = (
-        scope_end.join(per_day, "projeto_id", "left")
-        .groupBy("projeto_id", "portfolio_id")
-        .agg(F.coalesce(F.sum(F.when(F.col("criada_em") <= F.col("escopo_ate"), F.col("_hours"))),
-                        F.lit(0.0)).alias("_hours"))
+    created = tasks.select("projeto_id", "criada_em", "estimativa_horas")
+    limits = scope_end.select("projeto_id", "escopo_ate")
+    inside = (
+        skew_join(created, limits, "projeto_id", "inner", ["criada_em", "estimativa_horas"])
+        .where(F.col("criada_em") <= F.col("escopo_ate"))
+        .groupBy("projeto_id").agg(F.sum("estimativa_horas").alias("_sum"))
     )
+    hours = scope_end.join(inside, "projeto_id", "left").select(
+        "projeto_id", "portfolio_id", F.coalesce("_sum", F.lit(0.0)).alias("_hours"))
     budget = (F.ceil(F.col("_hours") * 1.1 / 10) * 10).cast("int")
     return hours.join(rates, "portfolio_id", "left").select(
         "projeto_id",

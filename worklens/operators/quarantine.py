@@ -103,11 +103,13 @@ def cascade(
     rules: Callable[[str], Sequence[Rule]] = row_rules,
     stage: Callable[[str, DataFrame], DataFrame] = lambda name, df: df,
     hot_rows: int = HOT_ROWS,
+    sources: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Flag every table, each foreign key against the parents that survived so far.
 
     ``tables`` is in parent-first order. ``stage`` may write a flagged table and return it read
-    back, so that children, valid rows and rejects all reuse one computation.
+    back, so that children, valid rows and rejects all reuse one computation. ``sources`` are the
+    rows the tables were made from, where hot keys are cheaper to count.
     """
     flagged: dict[str, DataFrame] = {}
     for name, df in tables.items():
@@ -115,7 +117,8 @@ def cascade(
         for child, column, parent in keys:
             if child == name:
                 current = flag_orphans(
-                    current, column, valid(flagged[parent]), hot_rows=hot_rows, counted=df)
+                    current, column, valid(flagged[parent]), hot_rows=hot_rows,
+                    counted=(sources or tables)[name])
         flagged[name] = stage(name, current)
     return flagged
 

@@ -62,30 +62,42 @@ def task_colour(status: Column | str, deadline_state: Column | str) -> Column:
     )
 
 
+def project_bars(projects: DataFrame, ref: Column | date) -> DataFrame:
+    """Where each project's bar starts and stops, and its colour."""
+    return projects.select(
+        "projeto_id", "projeto",
+        F.col("data_inicio").alias("inicio"),
+        project_end("status", "data_conclusao", "data_limite", ref).alias("fim"),
+        project_colour("status", "situacao_prazo").alias("cor"),
+    )
+
+
+def task_bars(tasks: DataFrame, ref: Column | date) -> DataFrame:
+    """The same for tasks. Rows are titles within a project, so equal titles merge first.
+
+    Dates are those of the whole history, whatever months are shown.
+    """
+    return tasks.groupBy("projeto_id", "titulo").agg(
+        F.min("data_criacao").alias("inicio"),
+        F.coalesce(F.max("data_conclusao"), column(ref)).alias("fim"),
+        F.max("status").alias("_status"),
+        F.max("situacao_prazo").alias("_state"),
+    ).select("projeto_id", "titulo", "inicio", "fim", task_colour("_status", "_state").alias("cor"))
+
+
 def project_months(
     projects: DataFrame, first: Column | date, last: Column | date, ref: Column | date
 ) -> DataFrame:
-    """Project rows of the schedule: the months each project spans, with its bar colour."""
-    end = project_end("status", "data_conclusao", "data_limite", ref)
-    spans = projects.select(
-        "projeto_id", "projeto", "status", "situacao_prazo", "data_inicio", end.alias("fim")
-    )
-    return months_covered(spans, "data_inicio", "fim", first, last).select(
-        "projeto_id", "projeto", "mes_inicio",
-        project_colour("status", "situacao_prazo").alias("cor"),
+    """Project rows of the schedule: one per month the bar touches."""
+    return months_covered(project_bars(projects, ref), "inicio", "fim", first, last).select(
+        "projeto_id", "projeto", "mes_inicio", "cor"
     )
 
 
 def task_months(
     tasks: DataFrame, first: Column | date, last: Column | date, ref: Column | date
 ) -> DataFrame:
-    """Task rows of the schedule. Rows are titles within a project, so equal titles merge first."""
-    rows = tasks.groupBy("projeto_id", "titulo").agg(
-        F.min("data_criacao").alias("inicio"),
-        F.coalesce(F.max("data_conclusao"), column(ref)).alias("fim"),
-        F.max("status").alias("status"),
-        F.max("situacao_prazo").alias("situacao_prazo"),
-    )
-    return months_covered(rows, "inicio", "fim", first, last).select(
-        "projeto_id", "titulo", "mes_inicio", task_colour("status", "situacao_prazo").alias("cor")
+    """Task rows of the schedule: one per month the bar touches."""
+    return months_covered(task_bars(tasks, ref), "inicio", "fim", first, last).select(
+        "projeto_id", "titulo", "mes_inicio", "cor"
     )

@@ -9,8 +9,10 @@ from worklens.plans.gold import Model
 
 
 def _unmatched(rows: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Number of rows without a parent, per key: counted first, so a hot key is one row to join."""
     known = parent.select(F.col(parent_key).alias(key))
-    return rows.select(key).join(known, key, "left_anti")
+    counted = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counted.join(known, key, "left_anti")
 
 
 def gold_checks(model: Model) -> DataFrame:
@@ -49,9 +51,12 @@ def calendar_coverage(model: Model) -> DataFrame:
 
 
 def _counts(violations: dict[str, DataFrame]) -> DataFrame:
+    def count(rows: DataFrame) -> DataFrame:
+        number = F.sum("_rows") if "_rows" in rows.columns else F.count(F.lit(1))
+        return rows.agg(F.coalesce(number, F.lit(0)).alias("violacoes"))
+
     parts = [
-        rows.agg(F.count(F.lit(1)).alias("violacoes")).select(
-            F.lit(name).alias("checagem"), "violacoes")
+        count(rows).select(F.lit(name).alias("checagem"), "violacoes")
         for name, rows in violations.items()
     ]
     union = parts[0]

@@ -12,7 +12,13 @@ from worklens.plans.gold import open_model, star
 from worklens.plans.silver import candidates
 from worklens.schemas import RESOURCES, TIME_ZONE
 from worklens.session import tune
-from worklens.sources.landing import bad_pages, latest_meta, read_pages, records
+from worklens.sources.landing import (
+    latest_meta,
+    parsed,
+    parsed_records,
+    parsed_rejects,
+    read_pages,
+)
 from worklens.sources.tables import save_table
 
 
@@ -21,15 +27,20 @@ def refresh_silver(
 ) -> dict[str, int]:
     """Clean, check and save every resource; returns rows per table.
 
-    Each resource is computed once: its flagged rows are written, valid and rejected ones in
-    separate partitions. The silver table is a view over the valid partition, the rejects come
-    from the other, and children check their keys against the table just written.
+    Pages are parsed once, into a table of records. Each resource is then computed once: its
+    flagged rows are written, valid and rejected ones in separate partitions. The silver table is a
+    view over the valid partition, the rejects come from the other, and children check their keys
+    against the table just written.
     """
     tune(spark)
-    resources = [name for name in RESOURCES if name != "meta"]
-    pages = {name: read_pages(spark, root, name) for name in resources}
-    landed = {name: records(df) for name, df in pages.items()}
     counts: dict[str, int] = {}
+    stored: dict[str, DataFrame] = {}
+    for name in (r for r in RESOURCES if r != "meta"):
+        table = f"registros_{name}"
+        pages = parsed(read_pages(spark, root, name))
+        counts[table] = save_table(pages, table, fmt, ("ilegivel",))
+        stored[name] = spark.table(table)
+    landed = {name: parsed_records(df) for name, df in stored.items()}
 
     def write_flagged(name: str, flagged: DataFrame) -> DataFrame:
         table = f"conferido_{name}"
@@ -43,10 +54,11 @@ def refresh_silver(
         )
         return spark.table(table).select(*flagged.columns)
 
-    flagged = cascade(candidates(landed), stage=write_flagged, hot_rows=hot_rows)
+    flagged = cascade(
+        candidates(landed), stage=write_flagged, hot_rows=hot_rows, sources=landed)
     rejected = all_rejects(flagged)
-    for name, df in pages.items():
-        rejected = rejected.unionByName(bad_pages(df, name))
+    for name, df in stored.items():
+        rejected = rejected.unionByName(parsed_rejects(df, name))
     counts["silver_rejeitados"] = save_table(
         rejected.withColumn("processado_em", F.current_timestamp()), "silver_rejeitados", fmt
     )

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from worklens.operators.measures import ordered
-from worklens.operators.spans import project_months, task_months
+from worklens.operators.skew import skew_join
+from worklens.operators.spans import months_covered, project_bars, task_bars
 from worklens.plans.gold import Model
 from worklens.plans.measures import measure
 
@@ -122,20 +123,21 @@ def schedule(
 ) -> DataFrame:
     """Schedule in long form: one row per project or task and month, with colour and label.
 
-    Project rows have no title. Months carry the calendar's label and order.
+    Project rows have no title. Bars get their project's name before they spread over months, and
+    months carry the calendar's label and order.
     """
     first, last = date(min(years), 1, 1), date(max(years), 12, 31)
-    projects = project_months(model["dim_projeto"], first, last, ref)
-    tasks = task_months(model["fato_tarefa"], first, last, ref)
     names = model["dim_projeto"].select("projeto_id", "projeto")
-    rows = projects.select(
-        "projeto_id", "projeto", F.lit(None).cast("string").alias("titulo"), "mes_inicio", "cor"
-    ).unionByName(tasks.join(names, "projeto_id").select(
-        "projeto_id", "projeto", "titulo", "mes_inicio", "cor"))
+    tasks = skew_join(
+        task_bars(model["fato_tarefa"], ref), names, "projeto_id", "inner", ["titulo"],
+        counted=model["fato_tarefa"])
+    projects = project_bars(model["dim_projeto"], ref).withColumn(
+        "titulo", F.lit(None).cast("string"))
+    cells = months_covered(projects.unionByName(tasks), "inicio", "fim", first, last)
     months = model["dim_data"].where(F.dayofmonth("data") == 1).select(
         F.col("data").alias("mes_inicio"), "ano", "ano_mes", "mes_ano")
     return (
-        rows.join(F.broadcast(months), "mes_inicio")  # one row per calendar month
+        cells.join(F.broadcast(months), "mes_inicio")  # one row per calendar month
         .where(F.col("ano").isin(list(years)))
         .select("projeto_id", "projeto", "titulo", "ano_mes", "mes_ano", "cor",
                 F.lit(" ").alias("cronograma"))

@@ -52,7 +52,11 @@ def records(pages: DataFrame) -> DataFrame:
 
 def bad_pages(pages: DataFrame, resource: str) -> DataFrame:
     """Pages that hold no records array, as rejects, instead of vanishing in the explode."""
-    return pages.where(F.col("dados").isNull()).select(
+    return _page_rejects(pages.where(F.col("dados").isNull()), resource)
+
+
+def _page_rejects(pages: DataFrame, resource: str) -> DataFrame:
+    return pages.select(
         F.lit(resource).alias("tabela"),
         F.col("_arquivo").alias("id"),
         F.lit("página ilegível").alias("motivo"),
@@ -60,6 +64,24 @@ def bad_pages(pages: DataFrame, resource: str) -> DataFrame:
     )
 
 
+def parsed(pages: DataFrame) -> DataFrame:
+    """Records and unreadable pages of one parse, to be written once and read as either."""
+    readable = F.col("dados").isNotNull()
+    return pages.select(
+        F.explode_outer("dados").alias("r"), "_execucao", (~readable).alias("ilegivel"),
+        F.when(~readable, F.col("_arquivo")).alias("_arquivo"), CORRUPT,
+    ).where(F.col("r").isNotNull() | F.col("ilegivel")).select(
+        "r.*", "_execucao", "ilegivel", "_arquivo", CORRUPT)
+
+
+def parsed_records(stored: DataFrame) -> DataFrame:
+    return stored.where(~F.col("ilegivel")).drop("ilegivel", "_arquivo", CORRUPT)
+
+
+def parsed_rejects(stored: DataFrame, resource: str) -> DataFrame:
+    return _page_rejects(stored.where("ilegivel"), resource)
+
+
 def latest_meta(pages: DataFrame) -> DataFrame:
     """The reference date of the newest run, by file path."""
     return newest_row(pages, "_arquivo").select(
