@@ -90,6 +90,7 @@ TASKS = [
     task("TSK-00007", responsavel_id=None),
     task("TSK-00008", projeto_id="PRJ-002", etapa="Arquivada", prioridade="\tmédia\n"),
     task("TSK-00009", estimativa_horas=-1.0, horas_apontadas=-1.0),
+    task("TSK-00010", etapa="Backlog", limite="2026-12-01"),  # no moves yet
 ]
 MOVES = [
     move("EVT-000001", "TSK-00001", None, "Backlog", "2026-08-01T09:00:00-03:00"),

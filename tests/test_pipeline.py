@@ -78,7 +78,8 @@ def test_schema_is_the_contract(model):
 
 def test_task_facts(model):
     tasks = {r["tarefa_id"]: r for r in model["fato_tarefa"].collect()}
-    assert sorted(tasks) == ["TSK-00001", "TSK-00002", "TSK-00003", "TSK-00008"]
+    assert sorted(tasks) == [
+        "TSK-00001", "TSK-00002", "TSK-00003", "TSK-00008", "TSK-00010"]
     done = tasks["TSK-00001"]
     assert (done["lead_time_dias"], done["ciclo_dias"]) == (10.0, 8.0)
     assert (done["qtd_bloqueios"], done["dias_bloqueada"], done["qtd_retrabalho"]) == (1, 4.0, 1)
@@ -95,6 +96,10 @@ def test_task_facts(model):
     archived = tasks["TSK-00008"]
     assert (archived["situacao_prazo"], archived["dias_atraso"], archived["aberta"]) == (
         "Arquivada", None, False)
+    unmoved = tasks["TSK-00010"]
+    assert (unmoved["qtd_bloqueios"], unmoved["dias_bloqueada"], unmoved["qtd_retrabalho"]) == (
+        0, 0.0, 0)
+    assert unmoved["dias_na_etapa_atual"] is None and unmoved["idade_dias"] == 60.62
 
 
 def test_visits(model):
@@ -177,7 +182,7 @@ def test_newer_version_wins_and_ties_are_settled(spark, tmp_path):
     titles = dict(rows(current["tarefas"], "id", "titulo"))
     assert titles["TSK-00002"] == "nova" and titles["TSK-00003"] == "Tarefa TSK-00003"
     assert titles["TSK-00008"] == "b"
-    assert len(titles) == 9
+    assert len(titles) == 10
 
 
 def test_unreadable_page_is_reported(spark, tmp_path):
@@ -185,7 +190,7 @@ def test_unreadable_page_is_reported(spark, tmp_path):
     bad = root / "tarefas" / "data_carga=2026-09-01" / f"{RUN1}_p0009.json"
     bad.write_text('{"dados": [ {"id": ')
     pages = read_pages(spark, str(root), "tarefas")
-    assert records(pages).count() == 9
+    assert records(pages).count() == 10
     found = bad_pages(pages, "tarefas").collect()
     assert len(found) == 1 and found[0]["id"].endswith("_p0009.json")
     assert refresh_silver(spark, str(root))["silver_rejeitados"] == 14

@@ -274,7 +274,8 @@ def evaluate(
             same = [F.col(k).eqNullSafe(F.col(f"{k}_r")) for k in keys]
             full = full.join(renamed, same, "left").drop(*[f"{k}_r" for k in keys])
         else:
-            full = full.withColumns({m: result.select(m).scalar() for m in members})
+            totals = result.select(F.struct(*members)).scalar()  # one subquery for all of them
+            full = full.withColumn("_totals", totals).select(*full.columns, "_totals.*")
 
     shown = full.select(
         *[F.col(_axis(i)).alias(_split(ref)[1]) for i, ref in enumerate(context.by)],

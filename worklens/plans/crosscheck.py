@@ -8,70 +8,77 @@ from worklens.plans.gold import Model
 from worklens.plans.measures import long_form
 
 PROJECTS = """
-SELECT count(*) AS `Projetos`,
-       count_if(status = 'Em execução' OR status = 'Planejamento') AS `Projetos Ativos`,
-       count_if(status = 'Em execução') AS `Projetos em Execução`,
+WITH p AS (
+  SELECT *, etapa <> 'Concluído' AND situacao = 'Ativo' AND etiquetas NOT LIKE '%Em espera%' AS vivo,
+         coalesce(data_limite < (SELECT max(data_referencia) FROM {ref}), false) AS passou,
+         coalesce(data_conclusao <= data_limite, false) AS cumpriu
+  FROM {projects}
+)
+SELECT count(projeto_id) AS `Projetos`,
+       count_if(vivo) AS `Projetos Ativos`,
+       count_if(vivo AND etapa <> 'Planejamento') AS `Projetos em Execução`,
        count_if(situacao = 'Concluído') AS `Projetos Concluídos`,
-       count_if(status IN ('Em execução', 'Planejamento')
-                AND data_limite < (SELECT max(data_referencia) FROM {ref})) AS `Projetos Atrasados`,
-       avg(CASE WHEN status IN ('Em execução', 'Planejamento') THEN
-             int(coalesce(data_limite < (SELECT max(data_referencia) FROM {ref}), false)) END)
-         AS `% Projetos Atrasados`,
-       avg(CASE WHEN situacao = 'Concluído'
-             THEN int(coalesce(data_conclusao <= data_limite, false)) END)
+       count_if(vivo AND passou) AS `Projetos Atrasados`,
+       count_if(vivo AND passou) / count_if(vivo) AS `% Projetos Atrasados`,
+       count_if(situacao = 'Concluído' AND cumpriu) / count_if(situacao = 'Concluído')
          AS `% Projetos Entregues no Prazo`,
-       avg(CASE WHEN situacao_prazo IN ('Atrasado', 'Concluído com atraso') THEN dias_atraso END)
+       sum(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu)
+         / count(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu)
          AS `Atraso Médio dos Projetos (dias)`,
        sum(horas_orcadas) AS `Horas Orçadas`,
-       (SELECT sum(horas_apontadas) FROM {tasks}) / sum(horas_orcadas)
-         AS `% Orçamento Consumido`,
+       (SELECT sum(horas_apontadas) FROM {tasks}) / sum(horas_orcadas) AS `% Orçamento Consumido`,
        sum(orcamento) AS `Orçamento`,
-       count_if(farol = 'Vermelho') AS `Projetos Farol Vermelho`,
+       count_if(farol LIKE 'Verm%') AS `Projetos Farol Vermelho`,
        count_if(origem_id LIKE 'IDE-%') AS `Projetos de Ideias`
-FROM {projects}
+FROM p
 """
 TASKS = """
-SELECT count(*) AS `Tarefas`,
-       count_if(status NOT IN ('Concluído', 'Arquivada')) AS `Tarefas Abertas`,
-       count_if(concluida_em IS NOT NULL) AS `Tarefas Concluídas`,
-       count_if(status = 'Impedido') AS `Tarefas Impedidas`,
-       count_if(status NOT IN ('Concluído', 'Arquivada')
-                AND data_limite < (SELECT max(data_referencia) FROM {ref})) AS `Tarefas Vencidas`,
-       avg(CASE WHEN status NOT IN ('Concluído', 'Arquivada') THEN
-             int(data_limite < (SELECT max(data_referencia) FROM {ref})) END)
+WITH t AS (
+  SELECT *, concluida_em IS NOT NULL AS feita, concluida_em IS NULL AND status <> 'Arquivada' AS viva,
+         (SELECT max(data_referencia) FROM {ref}) AS hoje
+  FROM {tasks}
+)
+SELECT count(tarefa_id) AS `Tarefas`,
+       count_if(viva) AS `Tarefas Abertas`,
+       count_if(feita) AS `Tarefas Concluídas`,
+       count_if(viva AND status = 'Impedido') AS `Tarefas Impedidas`,
+       count_if(viva AND data_limite < hoje) AS `Tarefas Vencidas`,
+       count_if(viva AND data_limite < hoje) / count_if(viva AND data_limite IS NOT NULL)
          AS `% Abertas Vencidas`,
-       avg(CASE WHEN status = 'Concluído' THEN int(to_date(concluida_em) <= data_limite) END)
-         AS `% Entregues no Prazo`,
-       avg(CASE WHEN dias_atraso > 0 THEN dias_atraso END) AS `Atraso Médio das Tarefas (dias)`,
-       avg((unix_timestamp(concluida_em) - unix_timestamp(criada_em)) / 86400)
-         AS `Lead Time Médio (dias)`,
-       avg(CASE WHEN status NOT IN ('Concluído', 'Arquivada') THEN
-             (unix_timestamp((SELECT timestamp(max(data_referencia)) + INTERVAL 86399 SECONDS
-                              FROM {ref})) - unix_timestamp(criada_em)) / 86400 END)
-         AS `Idade Média das Abertas (dias)`,
+       count_if(feita AND data_conclusao <= data_limite)
+         / count_if(feita AND data_limite IS NOT NULL) AS `% Entregues no Prazo`,
+       sum(datediff(coalesce(data_conclusao, hoje), data_limite)) FILTER (WHERE dias_atraso > 0)
+         / count_if(dias_atraso > 0) AS `Atraso Médio das Tarefas (dias)`,
+       avg(timestampdiff(SECOND, criada_em, concluida_em)) / 86400 AS `Lead Time Médio (dias)`,
+       avg(timestampdiff(SECOND, criada_em, timestamp(date_add(hoje, 1))) - 1)
+         FILTER (WHERE viva) / 86400 AS `Idade Média das Abertas (dias)`,
        sum(estimativa_horas) AS `Horas Estimadas`,
        sum(horas_apontadas) AS `Horas Apontadas`,
-       sum(horas_apontadas) FILTER (WHERE concluida_em IS NOT NULL)
-         / sum(estimativa_horas) FILTER (WHERE concluida_em IS NOT NULL) - 1
-         AS `Desvio de Esforço %`,
-       avg(int(concluida_em IS NOT NULL)) AS `% Tarefas Concluídas`
-FROM {tasks}
+       sum(horas_apontadas - estimativa_horas) FILTER (WHERE feita)
+         / sum(estimativa_horas) FILTER (WHERE feita) AS `Desvio de Esforço %`,
+       count_if(feita) / count(tarefa_id) AS `% Tarefas Concluídas`
+FROM t
 """
 VISITS = """
-SELECT avg(dias_na_etapa) FILTER (WHERE saida_em IS NOT NULL) AS `Tempo Médio na Etapa (dias)`,
-       (SELECT count(*) FROM {tasks} WHERE status NOT IN ('Concluído', 'Arquivada'))
-         AS `Tarefas Paradas na Etapa`,
-       (SELECT count(*) FROM {tasks} WHERE dias_na_etapa_atual > 15)
-         AS `Paradas há mais de 15 dias`,
-       sum(dias_na_etapa) FILTER (WHERE status = 'Impedido') AS `Dias Bloqueada`,
-       (SELECT count(*) FROM {tasks} WHERE status = 'Concluído' AND tarefa_id IN (
-          SELECT tarefa_id FROM {visits}
-          WHERE status_anterior = 'Em revisão' AND status = 'Fazendo'))
-         / (SELECT count(*) FROM {tasks} WHERE status = 'Concluído')
+WITH por_tarefa AS (
+  SELECT tarefa_id,
+         max(status) FILTER (WHERE saida_em IS NULL) AS onde,
+         max(dias_na_etapa) FILTER (WHERE saida_em IS NULL) AS parada,
+         sum(dias_na_etapa) FILTER (WHERE saida_em IS NOT NULL) AS dias,
+         count(dias_na_etapa) FILTER (WHERE saida_em IS NOT NULL) AS vezes,
+         sum(dias_na_etapa) FILTER (WHERE status = 'Impedido') AS bloqueada,
+         bool_or(status_anterior = 'Em revisão' AND status = 'Fazendo') AS voltou
+  FROM {visits} GROUP BY tarefa_id
+)
+SELECT sum(dias) / sum(vezes) AS `Tempo Médio na Etapa (dias)`,
+       count_if(onde NOT IN ('Concluído', 'Arquivada')) AS `Tarefas Paradas na Etapa`,
+       count_if(parada > 15) AS `Paradas há mais de 15 dias`,
+       sum(bloqueada) AS `Dias Bloqueada`,
+       count_if(onde = 'Concluído' AND voltou) / count_if(onde = 'Concluído')
          AS `% Concluídas com Retrabalho`,
-       (SELECT avg(ciclo_dias) FROM {tasks}) AS `Ciclo Médio (dias)`,
-       (SELECT median(ciclo_dias) FROM {tasks}) AS `Ciclo Mediano (dias)`
-FROM {visits}
+       (SELECT sum(ciclo_dias) / count(ciclo_dias) FROM {tasks}) AS `Ciclo Médio (dias)`,
+       (SELECT percentile(ciclo_dias, 0.5) FROM {tasks}) AS `Ciclo Mediano (dias)`
+FROM por_tarefa
 """
 PROJECT_NAMES = [
     "Projetos", "Projetos Ativos", "Projetos em Execução", "Projetos Concluídos",

@@ -227,11 +227,11 @@ def budget_rollup(spark, sf_dir):
 
 @query("audit_orphans", """
 SELECT 'pedidos' AS tabela, CAST(o_orderkey AS VARCHAR) AS id, 'pessoa_id inexistente' AS problema
-FROM orders WHERE o_custkey % 130 NOT IN (SELECT s_suppkey FROM supplier)
+FROM orders WHERE o_custkey NOT IN (SELECT s_suppkey FROM supplier)
 """)
 def audit_orphans(spark, sf_dir):
     """Orders whose owner is no supplier."""
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("id"), (F.col("o_custkey") % 130).alias("pessoa_id"))
+        F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("pessoa_id"))
     people = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"))
     return A.orphans(orders, "pessoa_id", people, "pedidos")

@@ -245,7 +245,8 @@ def moves_by_month(spark, sf_dir):
 
 
 @query("measures_by_axis", f"""
-SELECT portfolio, count(DISTINCT d.projeto_id) AS "Projetos", count(t.tarefa_id) AS "Tarefas",
+SELECT portfolio, count(DISTINCT d.projeto_id) AS "Projetos",
+       nullif(count(t.tarefa_id), 0) AS "Tarefas",
        {blank("t.status = 'Concluído'")} AS "Tarefas Concluídas",
        CAST(sum(v.n) AS BIGINT) AS "Mudanças de Status"
 FROM flow_dim d LEFT JOIN tickets t ON t.projeto_id = d.projeto_id
@@ -309,7 +310,8 @@ def blank_semantics(spark, sf_dir):
 
 @query("rls_by_role", """
 SELECT d.portfolio AS papel, count(DISTINCT d.projeto_id) AS "Projetos",
-       count(t.tarefa_id) AS "Tarefas", count(*) FILTER (WHERE t.aberta) AS "Tarefas Abertas",
+       nullif(count(t.tarefa_id), 0) AS "Tarefas",
+       nullif(count(*) FILTER (WHERE t.aberta), 0) AS "Tarefas Abertas",
        CAST(sum(v.n) AS BIGINT) AS "Mudanças de Status"
 FROM flow_dim d LEFT JOIN tickets t ON t.projeto_id = d.projeto_id
 LEFT JOIN (SELECT tarefa_id, count(*) AS n FROM visits GROUP BY 1) v ON v.tarefa_id = t.tarefa_id
