@@ -149,7 +149,10 @@ class _Group:
         return "inner" if self.restricted(table) else "left"
 
     def with_small(self, df: DataFrame, table: str, key: str, via: str) -> DataFrame:
-        """Bring in a table of fixed size (stages, calendar days) before any aggregation."""
+        """Bring in a table of fixed size (seven stages, calendar days) before any aggregation.
+
+        A date has at most 3,652,059 values, and the report's calendar a few thousand.
+        """
         if not self.touches(table):
             return df
         small = F.broadcast(self.key_rows(table, key, "_key"))

@@ -99,11 +99,13 @@ def task_facts(
     )
 
 
-def visit_facts(visits: DataFrame, tasks: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Stage visits of known tasks, with their project."""
+def visit_facts(
+    visits: DataFrame, tasks: DataFrame, hot_rows: int = HOT_ROWS, moves: DataFrame | None = None
+) -> DataFrame:
+    """Stage visits of known tasks, with their project. Hot tasks are cheaper to count in ``moves``."""
     owner = tasks.select(F.col("id").alias("tarefa_id"), "projeto_id")
     return conform(
-        skew_join(visits, owner, "tarefa_id", "inner", ["passagem_id"], hot_rows),
+        skew_join(visits, owner, "tarefa_id", "inner", ["passagem_id"], hot_rows, moves),
         "fato_passagem_status",
     )
 
@@ -169,7 +171,7 @@ def star(
         "fato_tarefa": lambda: task_facts(
             silver["tarefas"], history_rollup(visits()), ref, zone),
         "fato_passagem_status": lambda: visit_facts(
-            visits(), silver["tarefas"], hot_rows or HOT_ROWS),
+            visits(), silver["tarefas"], hot_rows or HOT_ROWS, silver["movimentacoes"]),
         "dim_projeto": lambda: project_dimension(
             silver["projetos"], silver["portfolios"], silver["usuarios"], ref),
         "dim_pessoa": lambda: people_dimension(silver["usuarios"], silver["portfolios"]),

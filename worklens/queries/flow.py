@@ -52,7 +52,8 @@ def join_inner(spark, sf_dir):
     """Visits with their ticket's project; hot tickets are salted, not sent to one task."""
     owner = W.flow_tasks(spark, sf_dir).select(F.col("id").alias("tarefa_id"), "projeto_id")
     visits = W.flow_visits(spark, sf_dir).select("passagem_id", "tarefa_id", "status")
-    return skew_join(visits, owner, "tarefa_id", "inner", ["passagem_id"])
+    return skew_join(visits, owner, "tarefa_id", "inner", ["passagem_id"],
+                     counted=W.flow_moves(spark, sf_dir))
 
 
 @query("join_left_rollup", """

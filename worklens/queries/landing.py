@@ -45,11 +45,13 @@ def landing_explode(spark, sf_dir):
     run = F.regexp_replace(F.substring("ocorrido_em", 1, 10), "-", "")
     record = F.struct("id", "tarefa_id", "etapa_nova", "usuario_id", "ocorrido_em",
                       F.lit("x").alias("campo_extra"))
-    page = F.floor(F.col("id").cast("bigint") / PAGE_ROWS)
+    # row numbers are unique, so no page outgrows its size whatever the ids hold
+    page = F.floor(F.monotonically_increasing_id() / PAGE_ROWS)
     pages = (
         _landed_moves(spark, sf_dir)
-        .groupBy(run.alias("_execucao"), page.alias("pagina"))
-        .agg(F.collect_list(record).alias("dados"))
+        .select(record.alias("r"), run.alias("_execucao"), page.alias("pagina"))
+        .groupBy("_execucao", "pagina")
+        .agg(F.collect_list("r").alias("dados"))
         .select(F.to_json(F.struct("dados", "_execucao", "pagina")).alias("pagina"))
     )
     return landing.records(landing.parse_pages(pages, "pagina", "movimentacoes"))
