@@ -18,8 +18,9 @@ from landed_pages import (
 from pyspark.sql import functions as F
 
 from worklens.operators.compare import diff_summary, table_diff
+from worklens.plans.refresh import refresh_silver, silver_from_records
 from worklens.plans.silver import candidates
-from worklens.sources.landing import read_pages, records
+from worklens.sources.landing import latest_meta, read_pages, records
 from worklens.sources.watermark import changed_since, run_log, window_start
 from worklens.streaming import landing_stream as S
 
@@ -93,6 +94,31 @@ def test_stream_lands_each_page_once(spark, folders, tmp_path):
     assert_same(streamed, silver(spark, full))
 
 
+def test_streamed_records_refresh_the_same_silver(spark, folders):
+    root, target, state = folders
+    write_all(root)
+    bad = root / "tarefas" / "data_carga=2026-09-01" / f"{RUN1}_p0009.json"
+    bad.write_text('{"dados": [ {"id": ')
+    S.land_run(spark, str(root), target, RUN1, state)
+    log = {r["recurso"]: r for r in spark.read.parquet(f"{target}/_controle/execucoes").collect()}
+    assert (log["tarefas"]["paginas"], log["tarefas"]["registros"]) == (2, len(TASKS))
+    assert log["tarefas"]["modo"] == "completo" and len(log) == 5
+    second_run(root)
+    S.land_run(spark, str(root), target, RUN2, state)
+    runs = spark.read.parquet(f"{target}/_controle/execucoes").where(f"_execucao = '{RUN2}'")
+    log = {r["recurso"]: r for r in runs.collect()}
+    assert str(log["tarefas"]["desde"]) == "2026-08-11 11:55:00"
+    assert (log["tarefas"]["modo"], log["usuarios"]["modo"]) == ("incremental", "completo")
+    stored = {n: S.stored(spark, target, n) for n in S.LANDED}
+    meta = latest_meta(read_pages(spark, str(root), "meta"))
+    counts = silver_from_records(spark, stored, meta)
+    streamed = [tuple(r) for r in spark.table("silver_rejeitados").select("id", "motivo").collect()]
+    assert counts["silver_rejeitados"] == 14  # the unreadable page is one of them
+    refresh_silver(spark, str(root))
+    direct = [tuple(r) for r in spark.table("silver_rejeitados").select("id", "motivo").collect()]
+    assert sorted(streamed) == sorted(direct)
+
+
 def test_failed_run_leaves_the_marks_and_is_repeated(spark, folders, monkeypatch):
     root, target, state = folders
     write_all(root)

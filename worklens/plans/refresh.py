@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,12 +27,9 @@ from worklens.sources.tables import save_table
 def refresh_silver(
     spark: SparkSession, root: str, fmt: str = "parquet", hot_rows: int = HOT_ROWS
 ) -> dict[str, int]:
-    """Clean, check and save every resource; returns rows per table.
+    """Clean, check and save every landed resource; returns rows per table.
 
-    Pages are parsed once, into a table of records. Each resource is then computed once: its
-    flagged rows are written, valid and rejected ones in separate partitions. The silver table is a
-    view over the valid partition, the rejects come from the other, and children check their keys
-    against the table just written.
+    Pages are parsed once, into a table of records.
     """
     tune(spark)
     counts: dict[str, int] = {}
@@ -40,6 +39,21 @@ def refresh_silver(
         pages = parsed(read_pages(spark, root, name))
         counts[table] = save_table(pages, table, fmt, ("ilegivel",))
         stored[name] = spark.table(table)
+    meta = latest_meta(read_pages(spark, root, "meta"))
+    return {**counts, **silver_from_records(spark, stored, meta, fmt, hot_rows)}
+
+
+def silver_from_records(
+    spark: SparkSession, stored: Mapping[str, DataFrame], meta: DataFrame, fmt: str = "parquet",
+    hot_rows: int = HOT_ROWS,
+) -> dict[str, int]:
+    """The same from records already parsed, such as those an incremental run landed.
+
+    Each resource is computed once: its flagged rows are written, valid and rejected ones in
+    separate partitions. The silver table is a view over the valid partition, the rejects come from
+    the other, and children check their keys against the table just written.
+    """
+    counts: dict[str, int] = {}
     landed = {name: parsed_records(df) for name, df in stored.items()}
 
     def write_flagged(name: str, flagged: DataFrame) -> DataFrame:
@@ -62,9 +76,7 @@ def refresh_silver(
     counts["silver_rejeitados"] = save_table(
         rejected.withColumn("processado_em", F.current_timestamp()), "silver_rejeitados", fmt
     )
-    counts["silver_meta"] = save_table(
-        latest_meta(read_pages(spark, root, "meta")), "silver_meta", fmt
-    )
+    counts["silver_meta"] = save_table(meta, "silver_meta", fmt)
     return counts
 
 

@@ -69,11 +69,19 @@ def parsed(pages: DataFrame) -> DataFrame:
     readable = F.col("dados").isNotNull()
     return pages.select(
         F.explode_outer("dados").alias("r"), "_execucao", (~readable).alias("ilegivel"),
-        F.when(~readable, F.col("_arquivo")).alias("_arquivo"), CORRUPT,
+        "_arquivo", CORRUPT,
     ).where(F.col("r").isNotNull() | F.col("ilegivel")).select(
         "r.*", "_execucao", "ilegivel", "_arquivo", CORRUPT)
 
 
+def parsed_schema(resource: str) -> str:
+    """Columns of :func:`parsed` for one resource."""
+    return (
+        f"{RESOURCES[resource]}, _execucao string, ilegivel boolean, _arquivo string, "
+        f"{CORRUPT} string"
+    )
+
+
 def parsed_records(stored: DataFrame) -> DataFrame:
     return stored.where(~F.col("ilegivel")).drop("ilegivel", "_arquivo", CORRUPT)
 
@@ -82,6 +90,13 @@ def parsed_rejects(stored: DataFrame, resource: str) -> DataFrame:
     return _page_rejects(stored.where("ilegivel"), resource)
 
 
+def parsed_pages(stored: DataFrame, resource: str) -> DataFrame:
+    """``recurso, _execucao, _arquivo, registros`` of every readable page, for the run log."""
+    return stored.where(~F.col("ilegivel")).groupBy(
+        F.lit(resource).alias("recurso"), "_execucao", "_arquivo"
+    ).agg(F.count(F.lit(1)).alias("registros"))
+
+
 def latest_meta(pages: DataFrame) -> DataFrame:
     """The reference date of the newest run, by file path."""
     return newest_row(pages, "_arquivo").select(

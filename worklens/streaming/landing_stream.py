@@ -6,7 +6,7 @@ into the same folder, and the marks of the failed run were never written.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +14,15 @@ from pyspark.sql import functions as F
 
 from worklens.schemas import CHANGE_COLUMN, RESOURCES
 from worklens.session import shared_folder
-from worklens.sources.landing import CORRUPT, envelope, records
-from worklens.sources.watermark import changes, watermarks
+from worklens.sources.landing import (
+    CORRUPT,
+    envelope,
+    parsed,
+    parsed_pages,
+    parsed_records,
+    parsed_schema,
+)
+from worklens.sources.watermark import changes, run_log, watermarks
 
 LANDED = [name for name in RESOURCES if name != "meta"]
 
@@ -26,12 +33,14 @@ def land_new_pages(
 ) -> None:
     """Append the records of pages not seen before, one folder per batch, then return.
 
-    Writing a batch replaces its own folder only, so a replay leaves no duplicate.
+    Writing a batch replaces its own folder only, so a replay leaves no duplicate. Unreadable pages
+    are kept in a partition of their own.
     """
     folder = f"{target}/{resource}"
 
     def write_batch(pages: DataFrame, batch: int) -> None:
-        records(pages).write.mode("overwrite").parquet(f"{folder}/lote={batch}")
+        parsed(pages).write.mode("overwrite").partitionBy("ilegivel").parquet(
+            f"{folder}/lote={batch}")
 
     pages = (
         spark.readStream.schema(f"{envelope(resource)}, {CORRUPT} string, data_carga date")
@@ -40,6 +49,7 @@ def land_new_pages(
         .option("pathGlobFilter", "*.json")
         .option("maxFilesPerTrigger", files_per_batch)
         .json(f"{root}/{resource}")
+        .withColumn("_arquivo", F.col("_metadata.file_path"))
     )
     (
         pages.writeStream.foreachBatch(write_batch)
@@ -50,12 +60,17 @@ def land_new_pages(
     )
 
 
-def landed(spark: SparkSession, target: str, resource: str) -> DataFrame:
-    """Everything landed so far; repeated records are settled by the silver versions."""
-    schema = f"{RESOURCES[resource]}, _execucao string, lote bigint"
+def stored(spark: SparkSession, target: str, resource: str) -> DataFrame:
+    """Everything parsed so far, as :func:`worklens.sources.landing.parsed` gives it."""
+    schema = f"{parsed_schema(resource)}, lote bigint"
     return spark.read.schema(schema).parquet(f"{target}/{resource}").drop("lote")
 
 
+def landed(spark: SparkSession, target: str, resource: str) -> DataFrame:
+    """Records landed so far; repeated ones are settled by the silver versions."""
+    return parsed_records(stored(spark, target, resource))
+
+
 def saved_marks(spark: SparkSession, target: str) -> DataFrame | None:
     """Marks of the newest committed run, None before the first."""
     try:
@@ -66,6 +81,21 @@ def saved_marks(spark: SparkSession, target: str) -> DataFrame | None:
     return runs.where(F.col("execucao").cast("string") == newest).select("recurso", "marca")
 
 
+def log_run(spark: SparkSession, target: str, run: str) -> DataFrame:
+    """Write what a run landed: mode, pages, records and window start per resource."""
+    pages = [
+        parsed_pages(stored(spark, target, name).where(F.col("_execucao") == run), name)
+        for name in LANDED
+    ]
+    landed_pages = reduce(DataFrame.unionByName, pages)
+    marks = saved_marks(spark, target)
+    if marks is not None:
+        marks = marks.withColumn("_execucao", F.lit(run))
+    folder = f"{target}/_controle/execucoes/execucao={run}"
+    run_log(landed_pages, marks).write.mode("overwrite").parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def commit_marks(spark: SparkSession, target: str, run: str) -> DataFrame:
     """Write this run's marks next to the earlier ones. Call only after every resource landed."""
     resources = {name: landed(spark, target, name) for name in CHANGE_COLUMN}
@@ -76,11 +106,11 @@ def commit_marks(spark: SparkSession, target: str, run: str) -> DataFrame:
 
 
 def land_run(
-    spark: SparkSession, root: str, target: str, run: str,
-    checkpoint: str | None = None, resources: Sequence[str] = tuple(LANDED),
+    spark: SparkSession, root: str, target: str, run: str, checkpoint: str | None = None
 ) -> DataFrame:
-    """Land every resource, then move the marks; returns the marks of this run."""
+    """Land every resource, log the run, then move the marks; returns the marks of this run."""
     state = f"{checkpoint or shared_folder(spark)}/landing"
-    for resource in resources:
+    for resource in LANDED:
         land_new_pages(spark, root, resource, target, state)
+    log_run(spark, target, run)
     return commit_marks(spark, target, run)
