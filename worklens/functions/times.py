@@ -67,4 +67,5 @@ def iso_weekday(value: Column | str) -> Column:
 def next_business_day(value: Column | str) -> Column:
     """The day itself, or the Monday after a weekend."""
     value = column(value)
-    return F.when(iso_weekday(value) > 5, F.date_add(value, 8 - iso_weekday(value))).otherwise(value)
+    weekday = iso_weekday(value)
+    return F.when(weekday > 5, F.date_add(value, 8 - weekday)).otherwise(value)

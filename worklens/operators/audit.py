@@ -33,7 +33,9 @@ def duplicates(df: DataFrame, table: str, column_name: str = "id") -> DataFrame:
         df.groupBy(F.col(column_name).cast("string").alias("id"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where("_rows > 1")
-        .select(F.lit(table).alias("tabela"), "id", F.lit(f"{column_name} duplicado").alias("problema"))
+        .select(
+            F.lit(table).alias("tabela"), "id",
+            F.lit(f"{column_name} duplicado").alias("problema"))
     )
 
 

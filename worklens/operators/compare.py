@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from worklens.schemas import VOLATILE
 
 
-def table_diff(left: DataFrame, right: DataFrame, ignore: Sequence[str] = tuple(VOLATILE)) -> DataFrame:
+def table_diff(
+    left: DataFrame, right: DataFrame, ignore: Sequence[str] = tuple(VOLATILE)
+) -> DataFrame:
     """Rows whose number of copies differs, with the copies on each side.
 
     Both directions come out of one aggregation over the union. Volatile columns are left out;

@@ -102,7 +102,7 @@ def task_facts(
 def visit_facts(
     visits: DataFrame, tasks: DataFrame, hot_rows: int = HOT_ROWS, moves: DataFrame | None = None
 ) -> DataFrame:
-    """Stage visits of known tasks, with their project. Hot tasks are cheaper to count in ``moves``."""
+    """Stage visits of known tasks, with their project; hot tasks may be counted in ``moves``."""
     owner = tasks.select(F.col("id").alias("tarefa_id"), "projeto_id")
     return conform(
         skew_join(visits, owner, "tarefa_id", "inner", ["passagem_id"], hot_rows, moves),

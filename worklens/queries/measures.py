@@ -352,13 +352,14 @@ SELECT 'de ' || replace(format('{:,}', (SELECT count(*) FROM dim)), ',', '.')
          AS "Contexto Horas Apontadas",
        (SELECT replace(format('{:,}', count(*)), ',', '.') || ' vieram de ideias' FROM dim
         WHERE origem = 'Ideia') AS "Contexto Projetos de Ideias",
-       'Dados até 30/06/2001' AS "Texto Referência"
+       'Dados até 30/06/2001' AS "Texto Referência", '30/06/2001' AS "Data de Referência"
 """)
 def context_texts(spark, sf_dir):
     names = [
         "Contexto Projetos Ativos", "Contexto Atrasados de Ativos", "Contexto Entregues no Prazo",
         "Contexto Tarefas Abertas", "Contexto Tarefas Concluídas", "Contexto Tarefas Vencidas",
         "Contexto Horas Apontadas", "Contexto Projetos de Ideias", "Texto Referência",
+        "Data de Referência",
     ]
     return measure(W.delivery_model(spark, sf_dir), names)
 
