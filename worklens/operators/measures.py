@@ -69,11 +69,16 @@ def total(fact: str, value: str, where: str = "true", takes: Sequence[str] = ())
     return Atom(fact, f"sum(CASE WHEN {where} THEN {value} END)", overrides=_taken(fact, takes))
 
 
+def _whole_hundredths(value: str) -> str:
+    """A two-decimal number times 100 is an integer but for its last bits, which ``rint`` drops."""
+    return f"CAST(rint({value} * 100) AS BIGINT)"
+
+
 def hundredths_total(
     fact: str, value: str, where: str = "true", takes: Sequence[str] = ()
 ) -> Atom:
     """Sum of a two-decimal column as whole hundredths: the same whatever the row order."""
-    return total(fact, f"CAST(round({value} * 100) AS BIGINT)", where, takes)
+    return total(fact, _whole_hundredths(value), where, takes)
 
 
 @dataclass(frozen=True)
@@ -172,7 +177,7 @@ class _Group:
         if median:  # pre-counted values keep the median exact and its state small
             (name, _), = atoms.items()
             counted = {"_copies": Atom(self.fact, "sum(1)")}
-            value = F.expr(f"CAST(round({median} * 100) AS BIGINT)")
+            value = F.expr(_whole_hundredths(median))
             parts = self._collapse(counted, {"_value": value})
             middle = F.percentile("_value", F.lit(0.5), F.col("_copies")) / 100
             known = parts.where(F.col("_value").isNotNull())

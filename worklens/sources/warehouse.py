@@ -165,7 +165,7 @@ def flow_tasks(spark: SparkSession, sf_dir: str, with_labels: bool = False) -> D
 
 def delivery_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hours and owner per order; logged hours add up as whole hundredths."""
-    hundredths = F.round(F.col("l_quantity") * (1 + F.col("l_tax")) * 100).cast("bigint")
+    hundredths = F.rint(F.col("l_quantity") * (1 + F.col("l_tax")) * 100).cast("bigint")
     return table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("estimativa_horas"),
         (F.sum(hundredths) / F.lit(100.0)).alias("horas_apontadas"),
