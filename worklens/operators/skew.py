@@ -44,12 +44,11 @@ def skew_join(
         .otherwise(F.coalesce(F.pmod(pick, F.col("_parts")), F.lit(0)))
         .cast("int")
     )
-    salted = many.join(parts, F.col(key) == F.col("_hot_key"), "left").withColumn("_salt", salt)
-    copies = one.join(parts, F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
-    )
-    internal = ("_hot_key", "_parts")
-    return salted.drop(*internal).join(copies.drop(*internal), [key, "_salt"], how).drop("_salt")
+    hot = F.col(key) == F.col("_hot_key")
+    copy = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
+    salted = many.join(parts, hot, "left").select(*many.columns, salt.alias("_salt"))
+    copies = one.join(parts, hot, "left").select(*one.columns, copy.alias("_salt"))
+    return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
 def ordered_history(
