@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm import rules
+from worklens.llm import rules, sentences, token_counts
 from worklens.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -35,3 +35,14 @@ def op2(table) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept", "log_ppl", F.col("low").alias("log_ppl_low"),
         F.col("high").alias("log_ppl_high"))
+
+
+@query("op3_sentencepiece")
+def op3(table) -> DataFrame:
+    return sentences.encode(table("documents").select("doc_id", "text")).select(
+        "doc_id", "ids", "n_pieces", "n_byte_pieces", "round_trip")
+
+
+@query("op9_token_counts")
+def op9(table) -> DataFrame:
+    return token_counts.add_counts(table("documents").select("doc_id", "text")).drop("text")
