@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm import rules, sentences, token_counts
+from worklens.llm import rules, sentences, simhash, token_counts
 from worklens.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -46,3 +46,8 @@ def op3(table) -> DataFrame:
 @query("op9_token_counts")
 def op9(table) -> DataFrame:
     return token_counts.add_counts(table("documents").select("doc_id", "text")).drop("text")
+
+
+@query("op7_simhash_neardup")
+def op7(table) -> DataFrame:
+    return simhash.near_duplicates(table("documents"))
