@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm import rules, sentences, simhash, token_counts
+from worklens.llm import langid, rules, sentences, simhash, token_counts
 from worklens.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -51,3 +51,9 @@ def op9(table) -> DataFrame:
 @query("op7_simhash_neardup")
 def op7(table) -> DataFrame:
     return simhash.near_duplicates(table("documents"))
+
+
+@query("op8_language_id")
+def op8(table) -> DataFrame:
+    found = langid.identify(table("documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", "held_out", "lang_pred", "score")
