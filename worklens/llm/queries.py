@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm import langid, rules, sentences, simhash, token_counts
+from worklens.llm import langid, mixing, rules, sentences, simhash, token_counts
 from worklens.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,8 @@ def op7(table) -> DataFrame:
 def op8(table) -> DataFrame:
     found = langid.identify(table("documents").select("doc_id", "text", "lang"))
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op10_mixing")
+def op10(table) -> DataFrame:
+    return mixing.mix(table("documents")).drop("row_hash", "source")
