@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm import langid, mixing, rules, sentences, simhash, token_counts
+from worklens.llm import langid, mixing, rules, sentences, simhash, token_counts, urls
 from worklens.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,9 @@ def op8(table) -> DataFrame:
 @query("op10_mixing")
 def op10(table) -> DataFrame:
     return mixing.mix(table("documents")).drop("row_hash", "source")
+
+
+@query("op1_url_filter")
+def op1(table) -> DataFrame:
+    pages = table("pages").select("page_id", "url")
+    return urls.judge(pages, urls.labelled_by_host(pages)).drop("url")
