@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm import langid, mixing, rules, sentences, simhash, token_counts, urls
+from worklens.llm import (
+    html_text, langid, mixing, rules, sentences, simhash, token_counts, urls,
+)
 from worklens.session import tune
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -68,3 +70,9 @@ def op10(table) -> DataFrame:
 def op1(table) -> DataFrame:
     pages = table("pages").select("page_id", "url")
     return urls.judge(pages, urls.labelled_by_host(pages)).drop("url")
+
+
+@query("op5_html_extraction")
+def op5(table) -> DataFrame:
+    return html_text.extract(table("pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", "n_chars")
