@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from worklens.llm import (
-    html_text, langid, mixing, rules, sentences, simhash, token_counts, urls,
+    html_text, langid, mixing, ranking, rules, sentences, simhash, token_counts, urls,
 )
 from worklens.session import tune
 
@@ -76,3 +76,9 @@ def op1(table) -> DataFrame:
 def op5(table) -> DataFrame:
     return html_text.extract(table("pages").select("page_id", "url", "html")).select(
         "page_id", "url", "text", "n_chars")
+
+
+@query("op6_quality_classifier")
+def op6(table) -> DataFrame:
+    docs = table("documents").select("doc_id", "text")
+    return ranking.classify(docs, table("labels")).drop("text")
