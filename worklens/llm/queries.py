@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from worklens.llm import (
-    html_text, langid, mixing, ranking, rules, sentences, simhash, token_counts, urls,
+    ann, html_text, langid, mixing, ranking, rules, sentences, simhash, token_counts, urls,
 )
 from worklens.session import tune
 
@@ -82,3 +82,8 @@ def op5(table) -> DataFrame:
 def op6(table) -> DataFrame:
     docs = table("documents").select("doc_id", "text")
     return ranking.classify(docs, table("labels")).drop("text")
+
+
+@query("op4_nearest_neighbours")
+def op4(table) -> DataFrame:
+    return ann.search(table("embeddings"))
