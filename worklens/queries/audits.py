@@ -81,7 +81,7 @@ UNION ALL SELECT 'tarefas', tarefa_id, 'horas negativas' FROM tasks
 WHERE o_orderkey % 40 = 1 AND centesimos IS NOT NULL
 UNION ALL SELECT 'tarefas', tarefa_id, 'data depois da referência' FROM tasks
 WHERE coalesce(data_conclusao, data_criacao) + CASE WHEN o_orderkey % 60 = 2 THEN 400 ELSE 0 END
-      > DATE '2001-06-30'
+      > DATE '2001-08-31'
 UNION ALL SELECT 'projetos', projeto_id, 'data de conclusão incoerente com o status' FROM projects
 WHERE (data_conclusao IS NOT NULL) <> (situacao = 'Concluído')
 UNION ALL SELECT 'projetos', projeto_id, 'situação ou farol desconhecido' FROM projects
@@ -166,10 +166,10 @@ SQL_PROGRESS = """
 @query("project_stage_from_tasks", SQL_PROGRESS + """
 SELECT projeto_id, CASE WHEN k % 34 = 0 THEN 'Arquivado' WHEN k % 17 = 0 THEN 'Ativo'
          WHEN coalesce(parado, TRUE) THEN 'Ativo'
-         WHEN encerrado AND data_inicio + 800 <= DATE '2001-06-30' THEN 'Concluído'
+         WHEN encerrado AND data_inicio + 800 <= DATE '2001-08-31' THEN 'Concluído'
          ELSE 'Ativo' END AS situacao,
        CASE WHEN k % 17 = 0 THEN 'Execução' WHEN coalesce(parado, TRUE) THEN 'Planejamento'
-         WHEN encerrado AND data_inicio + 800 <= DATE '2001-06-30' THEN 'Concluído'
+         WHEN encerrado AND data_inicio + 800 <= DATE '2001-08-31' THEN 'Concluído'
          WHEN parte >= 0.8 THEN 'Implantação' ELSE 'Execução' END AS etapa
 FROM projects LEFT JOIN progresso USING (projeto_id)
 """)
@@ -185,9 +185,9 @@ def project_stage_from_tasks(spark, sf_dir):
 
 @query("traffic_light", SQL_PROGRESS + """
 SELECT projeto_id, CASE WHEN situacao <> 'Ativo' THEN 'Encerrado'
-         WHEN data_limite < DATE '2001-06-30' THEN 'Vermelho'
+         WHEN data_limite < DATE '2001-08-31' THEN 'Vermelho'
          WHEN espera THEN 'Amarelo'
-         WHEN date_diff('day', data_inicio, DATE '2001-06-30')
+         WHEN date_diff('day', data_inicio, DATE '2001-08-31')
                 / greatest(date_diff('day', data_inicio, data_limite), 1)
                 - coalesce(parte, 0) > 0.05 THEN 'Amarelo'
          ELSE 'Verde' END AS farol

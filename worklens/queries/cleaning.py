@@ -167,7 +167,7 @@ def days_late_project(spark, sf_dir):
 @query("schedule_elapsed", """
 SELECT projeto_id, CAST(dias_planejados AS INTEGER) AS dias_planejados,
        CASE WHEN status IN ('Em execução', 'Planejamento') THEN
-         (20000 * date_diff('day', data_inicio, DATE '2001-06-30') + dias_planejados)
+         (20000 * date_diff('day', data_inicio, DATE '2001-08-31') + dias_planejados)
            // (2 * dias_planejados) / 10000 END AS percentual_prazo_decorrido
 FROM dim
 """)

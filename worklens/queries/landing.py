@@ -181,8 +181,8 @@ def _bounds(spark, sf_dir):
 
 SQL_BOUNDS = """
 SELECT least((SELECT min(data_criacao) FROM tasks), (SELECT min(data_inicio) FROM projects),
-             DATE '2001-06-30') AS primeiro_dia,
-       greatest((SELECT max(data_limite) FROM projects), DATE '2001-06-30') AS ultimo_dia
+             DATE '2001-08-31') AS primeiro_dia,
+       greatest((SELECT max(data_limite) FROM projects), DATE '2001-08-31') AS ultimo_dia
 """
 
 
@@ -200,7 +200,7 @@ SELECT data, CAST(year(data) AS INTEGER) AS ano, CAST(month(data) AS INTEGER) AS
        CAST(isodow(data) AS INTEGER) AS dia_semana,
        list_extract(['seg', 'ter', 'qua', 'qui', 'sex', 'sáb', 'dom'],
                     CAST(isodow(data) AS INTEGER)) AS dia_semana_nome,
-       isodow(data) <= 5 AS dia_util, data <= DATE '2001-06-30' AS ate_referencia
+       isodow(data) <= 5 AS dia_util, data <= DATE '2001-08-31' AS ate_referencia
 FROM (SELECT CAST(d AS DATE) AS data,
              list_extract(['jan', 'fev', 'mar', 'abr', 'mai', 'jun', 'jul', 'ago', 'set', 'out',
                            'nov', 'dez'], CAST(month(d) AS INTEGER)) AS mes_nome

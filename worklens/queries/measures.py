@@ -344,7 +344,7 @@ SELECT 'de ' || replace(format('{:,}', (SELECT count(*) FROM dim)), ',', '.')
        (SELECT CAST((200 * count(*) FILTER (WHERE status = 'Concluído') + count(*))
                       // (2 * count(*)) AS VARCHAR) || '% de todas as tarefas' FROM tasks)
          AS "Contexto Tarefas Concluídas",
-       (SELECT CAST((200 * count(*) FILTER (WHERE data_limite < DATE '2001-06-30') + count(*))
+       (SELECT CAST((200 * count(*) FILTER (WHERE data_limite < DATE '2001-08-31') + count(*))
                       // (2 * count(*)) AS VARCHAR) || '% das abertas' FROM tasks
         WHERE aberta AND data_limite IS NOT NULL) AS "Contexto Tarefas Vencidas",
        (SELECT '+' || CAST(CAST(round(sum(centesimos) / sum(estimativa) - 100) AS INTEGER)
@@ -352,7 +352,7 @@ SELECT 'de ' || replace(format('{:,}', (SELECT count(*) FROM dim)), ',', '.')
          AS "Contexto Horas Apontadas",
        (SELECT replace(format('{:,}', count(*)), ',', '.') || ' vieram de ideias' FROM dim
         WHERE origem = 'Ideia') AS "Contexto Projetos de Ideias",
-       'Dados até 30/06/2001' AS "Texto Referência", '30/06/2001' AS "Data de Referência"
+       'Dados até 31/08/2001' AS "Texto Referência", '31/08/2001' AS "Data de Referência"
 """)
 def context_texts(spark, sf_dir):
     names = [

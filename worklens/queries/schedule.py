@@ -25,7 +25,7 @@ SQL_MONTHS = """
 ), barras AS (
   SELECT *, CASE WHEN data_conclusao IS NOT NULL THEN data_conclusao
                  WHEN status = 'Arquivado' THEN data_limite
-                 ELSE greatest(coalesce(data_limite, DATE '2001-06-30'), DATE '2001-06-30') END
+                 ELSE greatest(coalesce(data_limite, DATE '2001-08-31'), DATE '2001-08-31') END
             AS fim,
          CASE WHEN situacao_prazo = 'Atrasado' THEN '#E44A5D'
               WHEN status = 'Arquivado' THEN '#364259' WHEN status = 'Concluído' THEN '#5D7398'
@@ -33,7 +33,7 @@ SQL_MONTHS = """
   FROM dim
 ), linhas AS (
   SELECT projeto_id, titulo, min(data_criacao) AS inicio,
-         coalesce(max(data_conclusao), DATE '2001-06-30') AS fim, max(status) AS status,
+         coalesce(max(data_conclusao), DATE '2001-08-31') AS fim, max(status) AS status,
          max(situacao_prazo) AS prazo
   FROM tasks GROUP BY projeto_id, titulo
 ), linhas_cor AS (

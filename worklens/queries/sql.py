@@ -68,7 +68,7 @@ WITH moves AS (
 ), kept AS (
   SELECT *, CAST(o_orderdate AS DATE) AS criada,
          CAST(o_orderdate AS DATE) + CAST(o_orderkey % 150 AS INTEGER) AS pronta
-  FROM orders WHERE CAST(o_orderdate AS DATE) <= DATE '2001-06-30'
+  FROM orders
 ), tasks0 AS (
   SELECT o_orderkey, CAST(o_orderkey AS VARCHAR) AS tarefa_id,
          CAST(o_custkey AS VARCHAR) AS projeto_id,
@@ -77,13 +77,13 @@ WITH moves AS (
                       CAST(o_orderkey % 3 + 1 AS INTEGER)) AS tipo,
          CASE left(o_orderpriority, 1) WHEN '1' THEN 'Crítica' WHEN '2' THEN 'Alta'
               WHEN '3' THEN 'Média' WHEN '4' THEN 'Não informada' ELSE 'Baixa' END AS prioridade,
-         CASE WHEN o_orderstatus = 'F' AND pronta <= DATE '2001-06-30' THEN 'Concluído'
+         CASE WHEN o_orderstatus = 'F' AND pronta <= DATE '2001-08-31' THEN 'Concluído'
               WHEN o_orderstatus = 'O' AND o_orderkey % 10 = 0 THEN 'Arquivada'
               WHEN o_orderstatus = 'P' THEN 'Impedido' ELSE 'Fazendo' END AS status,
          criada AS data_criacao,
          CASE left(o_orderpriority, 1) WHEN '1' THEN criada + 30 WHEN '2' THEN criada + 60
               WHEN '3' THEN criada + 90 WHEN '5' THEN criada + 120 END AS data_limite,
-         CASE WHEN o_orderstatus = 'F' AND pronta <= DATE '2001-06-30' THEN pronta END
+         CASE WHEN o_orderstatus = 'F' AND pronta <= DATE '2001-08-31' THEN pronta END
            AS data_conclusao,
          h.estimativa, h.centesimos, h.responsavel_id
   FROM kept LEFT JOIN hours h ON h.l_orderkey = o_orderkey
@@ -94,13 +94,13 @@ WITH moves AS (
               WHEN status = 'Concluído' AND data_conclusao <= data_limite
                 THEN 'Concluída no prazo'
               WHEN status = 'Concluído' THEN 'Concluída com atraso'
-              WHEN data_limite < DATE '2001-06-30' THEN 'Vencida'
+              WHEN data_limite < DATE '2001-08-31' THEN 'Vencida'
               ELSE 'No prazo' END AS situacao_prazo,
          CASE WHEN status = 'Arquivada' THEN NULL
               WHEN data_limite IS NULL THEN 0
               WHEN status = 'Concluído'
                 THEN greatest(date_diff('day', data_limite, data_conclusao), 0)
-              ELSE greatest(date_diff('day', data_limite, DATE '2001-06-30'), 0) END
+              ELSE greatest(date_diff('day', data_limite, DATE '2001-08-31'), 0) END
            AS dias_atraso
   FROM tasks0
 ), spans AS (
@@ -137,11 +137,11 @@ WITH moves AS (
                 CASE WHEN data_conclusao <= data_limite THEN 'Concluído no prazo'
                      ELSE 'Concluído com atraso' END
               WHEN status IN ('Em execução', 'Planejamento') THEN
-                CASE WHEN data_limite < DATE '2001-06-30' THEN 'Atrasado' ELSE 'No prazo' END
+                CASE WHEN data_limite < DATE '2001-08-31' THEN 'Atrasado' ELSE 'No prazo' END
               ELSE status END AS situacao_prazo,
          CASE WHEN status IN ('Concluído', 'Em execução', 'Planejamento') THEN
                 greatest(coalesce(date_diff('day', data_limite,
-                         coalesce(data_conclusao, DATE '2001-06-30')), 0), 0) END AS dias_atraso,
+                         coalesce(data_conclusao, DATE '2001-08-31')), 0), 0) END AS dias_atraso,
          date_diff('day', data_inicio, data_limite) AS dias_planejados
   FROM projects
 ), flow_dim AS (

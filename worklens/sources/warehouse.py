@@ -27,9 +27,10 @@ from worklens.plans.gold import (
 )
 from worklens.sources.calendar import stage_catalog
 
-# fixed values: reference dates and mappings of the source tables
+# fixed values: reference dates (not before the last event and the last order) and mappings of the
+# source tables
 FLOW_REF = date(2024, 1, 31)
-DELIVERY_REF = date(2001, 6, 30)
+DELIVERY_REF = date(2001, 8, 31)
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 EVENT_STAGE = {
     "signup": "Backlog", "click": "Fazendo", "error": "Impedido", "purchase": "Concluído",
@@ -177,7 +178,7 @@ def delivery_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as silver tasks; those without lines keep NULL hours and no owner."""
     key = F.col("o_orderkey")
     ref = F.lit(DELIVERY_REF)
-    orders = table(spark, sf_dir, "orders").where(F.to_date("o_orderdate") <= ref)
+    orders = table(spark, sf_dir, "orders")
     finished = F.date_add(F.to_date("o_orderdate"), (key % 150).cast("int"))
     done = (F.col("o_orderstatus") == "F") & (finished <= ref)
     stage = (
@@ -239,7 +240,6 @@ def projects(spark: SparkSession, sf_dir: str, view: str = "delivery") -> DataFr
     if view == "delivery":
         spans = (
             table(spark, sf_dir, "orders")
-            .where(F.to_date("o_orderdate") <= F.lit(DELIVERY_REF))
             .groupBy(F.col("o_custkey").alias("c_custkey"))
             .agg(F.to_date(F.min("o_orderdate")).alias("inicio"),
                  F.to_date(F.max("o_orderdate")).alias("fim"))
