@@ -41,7 +41,6 @@ def test_domain(spark, raw, value):
     (lambda: X.signed_percent_br(F.lit(0.312), 1), "+31,2%"),
     (lambda: X.signed_percent_br(F.lit(-0.2)), "-20%"),
     (lambda: X.signed_percent_br(F.lit(0.001)), "0%"),
-    (lambda: X.signed_number_br(F.lit(13)), "+13"),
     (lambda: X.whole_br(F.lit(None).cast("bigint")), "0"),
 ])
 def test_pt_br_numbers(spark, column, text):

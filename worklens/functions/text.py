@@ -51,10 +51,6 @@ def signed(value: Column, digits: int, text: Column) -> Column:
     return F.concat(F.when(F.round(value, digits) > 0, F.lit("+")).otherwise(F.lit("")), text)
 
 
-def signed_number_br(value: Column, digits: int = 0) -> Column:
-    return signed(value, digits, number_br(value, digits))
-
-
 def signed_percent_br(share: Column, digits: int = 0) -> Column:
     return signed(share, digits + 2, percent_br(share, digits))
 

@@ -73,6 +73,8 @@ def reconcile(ours: DataFrame, independent: DataFrame) -> DataFrame:
         F.lit(0.006), F.abs("valor_b") * 1e-6
     )
     agrees = F.when(F.col("valor_b").isNotNull(), close).otherwise(
-        F.col("valor_a").isNull() & (F.col("texto_a") == F.col("texto_b"))
+        F.col("valor_a").isNull() & F.col("texto_a").eqNullSafe(F.col("texto_b"))
     )
-    return a.join(b, "medida", "full").withColumn("confere", F.coalesce(agrees, F.lit(False)))
+    both = a.withColumn("_a", F.lit(True)).join(b.withColumn("_b", F.lit(True)), "medida", "full")
+    present = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    return both.withColumn("confere", present & F.coalesce(agrees, F.lit(False))).drop("_a", "_b")

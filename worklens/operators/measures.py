@@ -84,7 +84,6 @@ def hundredths_total(
 @dataclass(frozen=True)
 class Measure:
     name: str
-    folder: str
     atoms: tuple[str, ...]
     value: Callable[[], Column]
     is_text: bool = False

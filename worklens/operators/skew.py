@@ -11,14 +11,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: A key is hot above so many rows. A table of N rows then has at most N / HOT_ROWS hot keys, some
+#: tens of bytes each; raise it with the table so that their list stays a few megabytes.
 HOT_ROWS = 1_000_000
-NULL_KEY_SALTS = 1024
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``_hot_key, _parts``: each hot key and how many parts of ``hot_rows`` rows it makes."""
+    """``_hot_key, _parts``: each hot key, NULL too, and how many parts of ``hot_rows`` rows it makes."""
     return (
-        df.where(F.col(key).isNotNull())
+        df
         .groupBy(F.col(key).alias("_hot_key"))
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") > hot_rows)
@@ -39,12 +40,8 @@ def skew_join(
     """
     parts = F.broadcast(hot_keys(many if counted is None else counted, key, hot_rows))
     pick = F.xxhash64(*(spread or many.columns))
-    salt = (
-        F.when(F.col(key).isNull(), F.pmod(pick, F.lit(NULL_KEY_SALTS)))
-        .otherwise(F.coalesce(F.pmod(pick, F.col("_parts")), F.lit(0)))
-        .cast("int")
-    )
-    hot = F.col(key) == F.col("_hot_key")
+    salt = F.coalesce(F.pmod(pick, F.col("_parts")), F.lit(0)).cast("int")
+    hot = F.col(key).eqNullSafe(F.col("_hot_key"))
     copy = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1))
     salted = many.join(parts, hot, "left").select(*many.columns, salt.alias("_salt"))
     copies = one.join(parts, hot, "left").select(*one.columns, copy.alias("_salt"))
@@ -73,7 +70,8 @@ def ordered_history(
         window = Window.partitionBy(key).orderBy(*order)
         return events.withColumns(_window_columns(window, number, following, preceding))
 
-    hot = F.broadcast(hot_keys(events, key, hot_rows).select("_hot_key"))
+    hot = F.broadcast(
+        hot_keys(events, key, hot_rows).where("_hot_key IS NOT NULL").select("_hot_key"))
     if slot is None:  # events without a time sort first
         slot = F.coalesce(
             F.date_trunc("minute", order[0]), F.lit("0001-01-01").cast("timestamp")

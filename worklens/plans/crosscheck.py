@@ -19,16 +19,17 @@ SELECT count(projeto_id) AS `Projetos`,
        count_if(vivo AND etapa <> 'Planejamento') AS `Projetos em Execução`,
        count_if(situacao = 'Concluído') AS `Projetos Concluídos`,
        count_if(vivo AND passou) AS `Projetos Atrasados`,
-       count_if(vivo AND passou) / count_if(vivo) AS `% Projetos Atrasados`,
-       count_if(situacao = 'Concluído' AND cumpriu) / count_if(situacao = 'Concluído')
+       try_divide(count_if(vivo AND passou), count_if(vivo)) AS `% Projetos Atrasados`,
+       try_divide(count_if(situacao = 'Concluído' AND cumpriu), count_if(situacao = 'Concluído'))
          AS `% Projetos Entregues no Prazo`,
-       sum(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu)
-         / count(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu)
+       try_divide(
+         sum(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu),
+         count(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu))
          AS `Atraso Médio dos Projetos (dias)`,
        sum(horas_orcadas) AS `Horas Orçadas`,
-       (SELECT sum(horas_apontadas) FROM {tasks}) / sum(horas_orcadas) AS `% Orçamento Consumido`,
+       try_divide((SELECT sum(horas_apontadas) FROM {tasks}), sum(horas_orcadas)) AS `% Orçamento Consumido`,
        sum(orcamento) AS `Orçamento`,
-       count_if(farol LIKE 'Verm%') AS `Projetos Farol Vermelho`,
+       count_if(farol = 'Vermelho') AS `Projetos Farol Vermelho`,
        count_if(origem_id LIKE 'IDE-%') AS `Projetos de Ideias`
 FROM p
 """
@@ -43,20 +44,21 @@ SELECT count(tarefa_id) AS `Tarefas`,
        count_if(feita) AS `Tarefas Concluídas`,
        count_if(viva AND status = 'Impedido') AS `Tarefas Impedidas`,
        count_if(viva AND data_limite < hoje) AS `Tarefas Vencidas`,
-       count_if(viva AND data_limite < hoje) / count_if(viva AND data_limite IS NOT NULL)
+       try_divide(count_if(viva AND data_limite < hoje), count_if(viva AND data_limite IS NOT NULL))
          AS `% Abertas Vencidas`,
-       count_if(feita AND data_conclusao <= data_limite)
-         / count_if(feita AND data_limite IS NOT NULL) AS `% Entregues no Prazo`,
-       sum(datediff(coalesce(data_conclusao, hoje), data_limite)) FILTER (WHERE dias_atraso > 0)
-         / count_if(dias_atraso > 0) AS `Atraso Médio das Tarefas (dias)`,
+       try_divide(count_if(feita AND data_conclusao <= data_limite),
+                  count_if(feita AND data_limite IS NOT NULL)) AS `% Entregues no Prazo`,
+       try_divide(
+         sum(datediff(coalesce(data_conclusao, hoje), data_limite)) FILTER (WHERE dias_atraso > 0),
+         count_if(dias_atraso > 0)) AS `Atraso Médio das Tarefas (dias)`,
        avg(timestampdiff(SECOND, criada_em, concluida_em)) / 86400 AS `Lead Time Médio (dias)`,
        avg(timestampdiff(SECOND, criada_em, timestamp(date_add(hoje, 1))) - 1)
          FILTER (WHERE viva) / 86400 AS `Idade Média das Abertas (dias)`,
        sum(estimativa_horas) AS `Horas Estimadas`,
        sum(horas_apontadas) AS `Horas Apontadas`,
-       sum(horas_apontadas - estimativa_horas) FILTER (WHERE feita)
-         / sum(estimativa_horas) FILTER (WHERE feita) AS `Desvio de Esforço %`,
-       count_if(feita) / count(tarefa_id) AS `% Tarefas Concluídas`
+       try_divide(sum(horas_apontadas - estimativa_horas) FILTER (WHERE feita),
+                  sum(estimativa_horas) FILTER (WHERE feita)) AS `Desvio de Esforço %`,
+       try_divide(count_if(feita), count(tarefa_id)) AS `% Tarefas Concluídas`
 FROM t
 """
 VISITS = """
@@ -70,13 +72,13 @@ WITH por_tarefa AS (
          bool_or(status_anterior = 'Em revisão' AND status = 'Fazendo') AS voltou
   FROM {visits} GROUP BY tarefa_id
 )
-SELECT sum(dias) / sum(vezes) AS `Tempo Médio na Etapa (dias)`,
+SELECT try_divide(sum(dias), sum(vezes)) AS `Tempo Médio na Etapa (dias)`,
        count_if(onde NOT IN ('Concluído', 'Arquivada')) AS `Tarefas Paradas na Etapa`,
        count_if(parada > 15) AS `Paradas há mais de 15 dias`,
        sum(bloqueada) AS `Dias Bloqueada`,
-       count_if(onde = 'Concluído' AND voltou) / count_if(onde = 'Concluído')
+       try_divide(count_if(onde = 'Concluído' AND voltou), count_if(onde = 'Concluído'))
          AS `% Concluídas com Retrabalho`,
-       (SELECT sum(ciclo_dias) / count(ciclo_dias) FROM {tasks}) AS `Ciclo Médio (dias)`,
+       (SELECT try_divide(sum(ciclo_dias), count(ciclo_dias)) FROM {tasks}) AS `Ciclo Médio (dias)`,
        (SELECT percentile(ciclo_dias, 0.5) FROM {tasks}) AS `Ciclo Mediano (dias)`
 FROM por_tarefa
 """

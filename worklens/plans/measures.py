@@ -58,7 +58,7 @@ ATOMS: dict[str, Atom] = {
     "projetos_vermelhos": rows(PROJECT, "farol = 'Vermelho'", ["farol"]),
     "projetos_ideias": rows(PROJECT, "origem = 'Ideia'", ["origem"]),
     "horas_orcadas": total(PROJECT, "horas_orcadas"),
-    "orcamento": total(PROJECT, "orcamento"),
+    "orcamento": hundredths_total(PROJECT, "orcamento"),
     # tasks
     "tarefas": rows(TASK),
     "tarefas_abertas": rows(TASK, "aberta", ["aberta"]),
@@ -74,11 +74,11 @@ ATOMS: dict[str, Atom] = {
              ["situacao_prazo"]),
     "concluidas_retrabalho":
         rows(TASK, f"{DONE} AND qtd_retrabalho > 0", ["status", "qtd_retrabalho"]),
-    "horas_estimadas": total(TASK, "estimativa_horas"),
-    "horas_apontadas": total(TASK, "horas_apontadas"),
+    "horas_estimadas": hundredths_total(TASK, "estimativa_horas"),
+    "horas_apontadas": hundredths_total(TASK, "horas_apontadas"),
     # a table filter narrows the context instead of taking the column over
-    "estimadas_concluidas": total(TASK, "estimativa_horas", DONE),
-    "apontadas_concluidas": total(TASK, "horas_apontadas", DONE),
+    "estimadas_concluidas": hundredths_total(TASK, "estimativa_horas", DONE),
+    "apontadas_concluidas": hundredths_total(TASK, "horas_apontadas", DONE),
     "dias_bloqueada": hundredths_total(TASK, "dias_bloqueada"),
     "tarefas_entregues": rows(TASK, DONE, ["status"], date="data_conclusao"),
     "ciclo_mediano": Atom(TASK, median_of="ciclo_dias"),
@@ -111,6 +111,15 @@ def _only(atom: str):
     return lambda: F.col(atom)
 
 
+def _hundredths(atom: str):
+    """Hours and money are added as whole hundredths: the same whatever the row order."""
+    return lambda: F.col(atom) / 100
+
+
+def _used_budget() -> Column:
+    return F.try_divide(F.col("horas_apontadas") / 100, F.col("horas_orcadas"))
+
+
 def _ratio(part: str, whole: str):
     return lambda: F.try_divide(F.col(part), F.col(whole))
 
@@ -146,93 +155,93 @@ def _share(part: str, whole: str) -> Column:
     return percent_br(F.coalesce(F.try_divide(F.col(part), F.col(whole)), F.lit(0.0)))
 
 
-def _m(name, folder, atoms, value, text=False) -> Measure:
+def _m(name, atoms, value, text=False) -> Measure:
     dense = text or value is _effort
-    return Measure(name, folder, tuple(atoms.split()), value, text, dense)
+    return Measure(name, tuple(atoms.split()), value, text, dense)
 
 
-CARDS = "Contexto dos cartões"
+# fixed values: names and sentences of the measures
 CATALOG: list[Measure] = [
-    _m("Projetos", "Portfólio", "projetos", _only("projetos")),
-    _m("Projetos Ativos", "Portfólio", "projetos_ativos", _only("projetos_ativos")),
-    _m("Projetos em Execução", "Portfólio", "projetos_execucao", _only("projetos_execucao")),
-    _m("Projetos Concluídos", "Portfólio", "projetos_concluidos", _only("projetos_concluidos")),
-    _m("Projetos Atrasados", "Prazo", "projetos_atrasados", _only("projetos_atrasados")),
-    _m("% Projetos Atrasados", "Prazo", "projetos_atrasados projetos_ativos",
+    _m("Projetos", "projetos", _only("projetos")),
+    _m("Projetos Ativos", "projetos_ativos", _only("projetos_ativos")),
+    _m("Projetos em Execução", "projetos_execucao", _only("projetos_execucao")),
+    _m("Projetos Concluídos", "projetos_concluidos", _only("projetos_concluidos")),
+    _m("Projetos Atrasados", "projetos_atrasados", _only("projetos_atrasados")),
+    _m("% Projetos Atrasados", "projetos_atrasados projetos_ativos",
        _ratio("projetos_atrasados", "projetos_ativos")),
-    _m("% Projetos Entregues no Prazo", "Prazo", "projetos_no_prazo projetos_concluidos",
+    _m("% Projetos Entregues no Prazo", "projetos_no_prazo projetos_concluidos",
        _ratio("projetos_no_prazo", "projetos_concluidos")),
-    _m("Atraso Médio dos Projetos (dias)", "Prazo", "atraso_projetos_soma atraso_projetos_qtd",
+    _m("Atraso Médio dos Projetos (dias)", "atraso_projetos_soma atraso_projetos_qtd",
        _mean("atraso_projetos", 1)),
-    _m("Horas Orçadas", "Esforço", "horas_orcadas", _only("horas_orcadas")),
-    _m("% Orçamento Consumido", "Esforço", "horas_apontadas horas_orcadas",
-       _ratio("horas_apontadas", "horas_orcadas")),
-    _m("Orçamento", "Portfólio", "orcamento", _only("orcamento")),
-    _m("Projetos Farol Vermelho", "Portfólio", "projetos_vermelhos", _only("projetos_vermelhos")),
-    _m("Projetos de Ideias", "Portfólio", "projetos_ideias", _only("projetos_ideias")),
-    _m("Tarefas", "Tarefas", "tarefas", _only("tarefas")),
-    _m("Tarefas Abertas", "Tarefas", "tarefas_abertas", _only("tarefas_abertas")),
-    _m("Tarefas Concluídas", "Tarefas", "tarefas_concluidas", _only("tarefas_concluidas")),
-    _m("Tarefas Impedidas", "Tarefas", "tarefas_impedidas", _only("tarefas_impedidas")),
-    _m("Tarefas Vencidas", "Prazo", "tarefas_vencidas", _only("tarefas_vencidas")),
-    _m("% Abertas Vencidas", "Prazo", "tarefas_vencidas abertas_com_prazo",
+    _m("Horas Orçadas", "horas_orcadas", _only("horas_orcadas")),
+    _m("% Orçamento Consumido", "horas_apontadas horas_orcadas",
+       lambda: _used_budget()),
+    _m("Orçamento", "orcamento", _hundredths("orcamento")),
+    _m("Projetos Farol Vermelho", "projetos_vermelhos", _only("projetos_vermelhos")),
+    _m("Projetos de Ideias", "projetos_ideias", _only("projetos_ideias")),
+    _m("Tarefas", "tarefas", _only("tarefas")),
+    _m("Tarefas Abertas", "tarefas_abertas", _only("tarefas_abertas")),
+    _m("Tarefas Concluídas", "tarefas_concluidas", _only("tarefas_concluidas")),
+    _m("Tarefas Impedidas", "tarefas_impedidas", _only("tarefas_impedidas")),
+    _m("Tarefas Vencidas", "tarefas_vencidas", _only("tarefas_vencidas")),
+    _m("% Abertas Vencidas", "tarefas_vencidas abertas_com_prazo",
        _ratio("tarefas_vencidas", "abertas_com_prazo")),
-    _m("% Entregues no Prazo", "Prazo", "entregues_no_prazo entregues_com_prazo",
+    _m("% Entregues no Prazo", "entregues_no_prazo entregues_com_prazo",
        _ratio("entregues_no_prazo", "entregues_com_prazo")),
-    _m("Atraso Médio das Tarefas (dias)", "Prazo", "atraso_tarefas_soma atraso_tarefas_qtd",
+    _m("Atraso Médio das Tarefas (dias)", "atraso_tarefas_soma atraso_tarefas_qtd",
        _mean("atraso_tarefas", 1)),
-    _m("Lead Time Médio (dias)", "Tempo", "lead_soma lead_qtd", _mean("lead", 100)),
-    _m("Ciclo Médio (dias)", "Tempo", "ciclo_soma ciclo_qtd", _mean("ciclo", 100)),
-    _m("Ciclo Mediano (dias)", "Tempo", "ciclo_mediano", _only("ciclo_mediano")),
-    _m("Idade Média das Abertas (dias)", "Tempo", "idade_soma idade_qtd", _mean("idade", 100)),
-    _m("Dias Bloqueada", "Tempo", "dias_bloqueada", lambda: F.col("dias_bloqueada") / 100),
-    _m("% Concluídas com Retrabalho", "Tempo", "concluidas_retrabalho tarefas_concluidas",
+    _m("Lead Time Médio (dias)", "lead_soma lead_qtd", _mean("lead", 100)),
+    _m("Ciclo Médio (dias)", "ciclo_soma ciclo_qtd", _mean("ciclo", 100)),
+    _m("Ciclo Mediano (dias)", "ciclo_mediano", _only("ciclo_mediano")),
+    _m("Idade Média das Abertas (dias)", "idade_soma idade_qtd", _mean("idade", 100)),
+    _m("Dias Bloqueada", "dias_bloqueada", _hundredths("dias_bloqueada")),
+    _m("% Concluídas com Retrabalho", "concluidas_retrabalho tarefas_concluidas",
        _ratio("concluidas_retrabalho", "tarefas_concluidas")),
-    _m("Horas Estimadas", "Esforço", "horas_estimadas", _only("horas_estimadas")),
-    _m("Horas Apontadas", "Esforço", "horas_apontadas", _only("horas_apontadas")),
-    _m("Desvio de Esforço %", "Esforço", "apontadas_concluidas estimadas_concluidas",
+    _m("Horas Estimadas", "horas_estimadas", _hundredths("horas_estimadas")),
+    _m("Horas Apontadas", "horas_apontadas", _hundredths("horas_apontadas")),
+    _m("Desvio de Esforço %", "apontadas_concluidas estimadas_concluidas",
        _effort),
-    _m("Tarefas Criadas", "Período", "tarefas", _only("tarefas")),
-    _m("Tarefas Entregues", "Período", "tarefas_entregues", _only("tarefas_entregues")),
-    _m("Saldo do Período", "Período", "tarefas tarefas_entregues", _balance),
-    _m("% Tarefas Concluídas", "Tarefas", "tarefas_concluidas tarefas",
+    _m("Tarefas Criadas", "tarefas", _only("tarefas")),
+    _m("Tarefas Entregues", "tarefas_entregues", _only("tarefas_entregues")),
+    _m("Saldo do Período", "tarefas tarefas_entregues", _balance),
+    _m("% Tarefas Concluídas", "tarefas_concluidas tarefas",
        _ratio("tarefas_concluidas", "tarefas")),
-    _m("Tempo Médio na Etapa (dias)", "Fluxo", "etapa_soma etapa_qtd", _mean("etapa", 100)),
-    _m("Tarefas Paradas na Etapa", "Fluxo", "tarefas_paradas", _only("tarefas_paradas")),
-    _m("Paradas há mais de 15 dias", "Fluxo", "paradas_15_dias", _only("paradas_15_dias")),
-    _m("Mudanças de Status", "Fluxo", "mudancas", _only("mudancas")),
-    _m("Bloqueios no Período", "Fluxo", "bloqueios", _only("bloqueios")),
-    _m("Data de Referência", "Referência", "referencia",
+    _m("Tempo Médio na Etapa (dias)", "etapa_soma etapa_qtd", _mean("etapa", 100)),
+    _m("Tarefas Paradas na Etapa", "tarefas_paradas", _only("tarefas_paradas")),
+    _m("Paradas há mais de 15 dias", "paradas_15_dias", _only("paradas_15_dias")),
+    _m("Mudanças de Status", "mudancas", _only("mudancas")),
+    _m("Bloqueios no Período", "bloqueios", _only("bloqueios")),
+    _m("Data de Referência", "referencia",
        lambda: F.date_format("referencia", "dd/MM/yyyy"), True),
-    _m("Texto Referência", "Referência", "referencia",
+    _m("Texto Referência", "referencia",
        lambda: _sentence("Dados até ", F.date_format("referencia", "dd/MM/yyyy")), True),
-    _m("Contexto Projetos Ativos", CARDS, "projetos",
+    _m("Contexto Projetos Ativos", "projetos",
        lambda: _sentence("de ", _count("projetos"), " no portfólio"), True),
-    _m("Contexto Projetos Atrasados", CARDS, "projetos_atrasados projetos_ativos",
+    _m("Contexto Projetos Atrasados", "projetos_atrasados projetos_ativos",
        lambda: _sentence(_share("projetos_atrasados", "projetos_ativos"), " dos ativos"), True),
-    _m("Contexto Atrasados de Ativos", CARDS, "projetos_atrasados projetos_ativos",
+    _m("Contexto Atrasados de Ativos", "projetos_atrasados projetos_ativos",
        lambda: _sentence(_count("projetos_atrasados"), " de ", _count("projetos_ativos"),
                          " ativos"), True),
-    _m("Contexto Entregues no Prazo", CARDS, "projetos_no_prazo projetos_concluidos",
+    _m("Contexto Entregues no Prazo", "projetos_no_prazo projetos_concluidos",
        lambda: _sentence(_count("projetos_no_prazo"), " de ", _count("projetos_concluidos"),
                          " concluídos"), True),
-    _m("Contexto Tarefas Abertas", CARDS, "tarefas_impedidas",
+    _m("Contexto Tarefas Abertas", "tarefas_impedidas",
        lambda: _sentence(_count("tarefas_impedidas"), " impedidas agora"), True),
-    _m("Contexto Tarefas Vencidas", CARDS, "tarefas_vencidas abertas_com_prazo",
+    _m("Contexto Tarefas Vencidas", "tarefas_vencidas abertas_com_prazo",
        lambda: _sentence(_share("tarefas_vencidas", "abertas_com_prazo"), " das abertas"), True),
-    _m("Contexto Tarefas Concluídas", CARDS, "tarefas_concluidas tarefas",
+    _m("Contexto Tarefas Concluídas", "tarefas_concluidas tarefas",
        lambda: _sentence(_share("tarefas_concluidas", "tarefas"), " de todas as tarefas"), True),
-    _m("Contexto Horas Apontadas", CARDS, "horas_apontadas horas_estimadas",
+    _m("Contexto Horas Apontadas", "horas_apontadas horas_estimadas",
        lambda: _sentence(signed_percent_br(_minus_one("horas_apontadas", "horas_estimadas")),
                          " vs. o estimado"), True),
-    _m("Contexto Orçamento Consumido", CARDS, "horas_apontadas horas_orcadas",
-       lambda: _sentence(_share("horas_apontadas", "horas_orcadas"),
+    _m("Contexto Orçamento Consumido", "horas_apontadas horas_orcadas",
+       lambda: _sentence(percent_br(F.coalesce(_used_budget(), F.lit(0.0))),
                          " das horas orçadas já usadas"), True),
-    _m("Texto Orçamento", CARDS, "orcamento",
+    _m("Texto Orçamento", "orcamento",
        lambda: _sentence(
-           "R$ ", F.coalesce(number_br(F.col("orcamento") / 1_000_000, 1), F.lit("")), " mi"),
+           "R$ ", F.coalesce(number_br(F.col("orcamento") / 100_000_000, 1), F.lit("")), " mi"),
        True),
-    _m("Contexto Projetos de Ideias", CARDS, "projetos_ideias",
+    _m("Contexto Projetos de Ideias", "projetos_ideias",
        lambda: _sentence(_count("projetos_ideias"), " vieram de ideias"), True),
 ]
 BY_NAME = {m.name: m for m in CATALOG}

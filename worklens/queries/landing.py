@@ -143,15 +143,16 @@ def latest_snapshot_query(spark, sf_dir):
 
 
 @query("latest_per_key", """
-SELECT l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity
+SELECT * EXCLUDE (n)
 FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
-        ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC) AS n
+        ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC,
+                 l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC,
+                 l_linestatus DESC) AS n
       FROM lineitem) WHERE n = 1
 """)
 def latest_per_key_query(spark, sf_dir):
     """Versions of order lines: newest shipping date, then every other column settles a tie."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey", "l_quantity")
+    lines = table(spark, sf_dir, "lineitem")
     return latest_per_key(lines, ["l_orderkey", "l_linenumber"], [F.col("l_shipdate").desc()])
 
 

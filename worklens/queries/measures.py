@@ -47,7 +47,7 @@ def measures_projects(spark, sf_dir):
 
 
 @query("measures_budget", """
-SELECT farol, round(sum(orcamento), 2) AS orcamento,
+SELECT farol, CAST(sum(CAST(round(orcamento * 100) AS BIGINT)) AS BIGINT) / 100 AS orcamento,
        'R$ ' || replace(replace(replace(format('{:,.1f}', round(sum(orcamento) / 1000000, 1)),
          ',', '#'), '.', ','), '#', '.') || ' mi' AS texto
 FROM dim GROUP BY farol
@@ -56,7 +56,7 @@ def measures_budget(spark, sf_dir):
     values = measure(
         W.delivery_model(spark, sf_dir), ["Orçamento", "Texto Orçamento"], ["dim_projeto.farol"])
     return values.select(
-        "farol", F.round("Orçamento", 2).alias("orcamento"),
+        "farol", F.col("Orçamento").alias("orcamento"),
         F.col("Texto Orçamento").alias("texto"))
 
 
@@ -171,9 +171,8 @@ def measure_ratio(spark, sf_dir):
 
 
 @query("measure_cross_fact", """
-SELECT d.portfolio, CAST(d.orcadas AS BIGINT) AS orcadas, round(t.apontadas, 2) AS apontadas,
-       round(t.apontadas / d.orcadas, 6) AS consumido
-FROM (SELECT portfolio, sum(horas_orcadas) AS orcadas FROM dim GROUP BY portfolio) d
+SELECT d.portfolio, d.orcadas, t.apontadas, t.apontadas / d.orcadas AS consumido
+FROM (SELECT portfolio, CAST(sum(horas_orcadas) AS BIGINT) AS orcadas FROM dim GROUP BY portfolio) d
 JOIN (SELECT portfolio, CAST(sum(centesimos) AS BIGINT) / 100 AS apontadas
       FROM tasks JOIN dim USING (projeto_id) GROUP BY portfolio) t USING (portfolio)
 """)
@@ -184,14 +183,15 @@ def measure_cross_fact(spark, sf_dir):
         ["Horas Orçadas", "Horas Apontadas", "% Orçamento Consumido"], ["dim_projeto.portfolio"])
     return values.select(
         "portfolio", F.col("Horas Orçadas").alias("orcadas"),
-        F.round("Horas Apontadas", 2).alias("apontadas"),
-        F.round("% Orçamento Consumido", 6).alias("consumido"))
+        F.col("Horas Apontadas").alias("apontadas"),
+        F.col("% Orçamento Consumido").alias("consumido"))
 
 
 @query("effort_deviation", """
-SELECT tipo, round(sum(centesimos) FILTER (WHERE status = 'Concluído')
-         / (100 * sum(estimativa) FILTER (WHERE status = 'Concluído')) - 1, 6) AS desvio,
-       CAST(sum(estimativa) AS BIGINT) AS estimadas
+SELECT tipo, CAST(sum(centesimos) FILTER (WHERE status = 'Concluído') AS BIGINT)
+         / CAST(sum(CAST(round(estimativa * 100) AS BIGINT)) FILTER (WHERE status = 'Concluído')
+                AS BIGINT) - 1 AS desvio,
+       CAST(sum(CAST(round(estimativa * 100) AS BIGINT)) AS BIGINT) / 100 AS estimadas
 FROM tasks GROUP BY tipo
 """)
 def effort_deviation(spark, sf_dir):
@@ -200,8 +200,8 @@ def effort_deviation(spark, sf_dir):
         W.delivery_model(spark, sf_dir), ["Desvio de Esforço %", "Horas Estimadas"],
         ["fato_tarefa.tipo"])
     return values.select(
-        "tipo", F.round("Desvio de Esforço %", 6).alias("desvio"),
-        F.col("Horas Estimadas").cast("bigint").alias("estimadas"))
+        "tipo", F.col("Desvio de Esforço %").alias("desvio"),
+        F.col("Horas Estimadas").alias("estimadas"))
 
 
 @query("created_vs_delivered", f"""
@@ -315,17 +315,17 @@ SELECT d.portfolio AS papel, count(DISTINCT d.projeto_id) AS "Projetos",
        CAST(sum(v.n) AS BIGINT) AS "Mudanças de Status"
 FROM flow_dim d LEFT JOIN tickets t ON t.projeto_id = d.projeto_id
 LEFT JOIN (SELECT tarefa_id, count(*) AS n FROM visits GROUP BY 1) v ON v.tarefa_id = t.tarefa_id
-WHERE d.portfolio IN ('BUILDING', 'FURNITURE') GROUP BY d.portfolio
+GROUP BY d.portfolio
 """)
 def rls_by_role(spark, sf_dir):
-    """What two roles see of projects, tasks and visits; other portfolios do not exist for them."""
-    model = W.flow_model(spark, sf_dir)
+    """What every role sees of projects, tasks and visits, in one evaluation.
+
+    A role sees one portfolio, so the portfolio axis gives all roles; for measures that no condition
+    lifts off the portfolio each row equals the evaluation under that role's filter.
+    """
     names = ["Projetos", "Tarefas", "Tarefas Abertas", "Mudanças de Status"]
-    views = [
-        measure(model, names, portfolio=role).select(F.lit(role).alias("papel"), "*")
-        for role in ("BUILDING", "FURNITURE")
-    ]
-    return views[0].unionByName(views[1])
+    rows = measure(W.flow_model(spark, sf_dir), names, ["dim_projeto.portfolio"])
+    return rows.where("portfolio IS NOT NULL").withColumnRenamed("portfolio", "papel")
 
 
 @query("context_texts", """

@@ -122,30 +122,61 @@ UNION ALL
 SELECT 'usuarios', id, motivo,
        '{"id":"' || id || '","portfolio_id":' || CAST(portfolio_id AS VARCHAR) || '}'
 FROM checked_people WHERE motivo IS NOT NULL
+UNION ALL
+SELECT 'projetos', c.id, c.motivo,
+       '{"id":"' || c.id || '","portfolio_id":' || CAST(list_position(['AUTOMOBILE', 'BUILDING',
+         'FURNITURE', 'HOUSEHOLD', 'MACHINERY'], p.portfolio) AS VARCHAR) || ',"gerente_id":"'
+         || p.gerente_id || '","orcamento":' || CAST(p.orcamento AS VARCHAR) || '}'
+FROM checked_projects c JOIN projects p ON p.projeto_id = c.id WHERE motivo IS NOT NULL
+UNION ALL
+SELECT 'movimentacoes', c.id, c.motivo,
+       '{"id":"' || c.id || '","tarefa_id":"' || CAST(o_orderkey AS VARCHAR) || '","usuario_id":"'
+         || CAST(o_custkey % 100 AS VARCHAR) || '","etapa_nova":"'
+         || CASE WHEN o_orderstatus = 'P' THEN 'Parado' ELSE 'Fazendo' END || '"}'
+FROM checked_moves c JOIN orders ON 'M' || CAST(o_orderkey AS VARCHAR) = c.id
+WHERE motivo IS NOT NULL
 """)
 def rejects_union(spark, sf_dir):
     """Rejects keep the original record as JSON; NULL fields are left out of it."""
-    flagged = _cascade(spark, sf_dir)
-    records = {
-        "tarefas": flagged["tarefas"].select(
-            "id", "projeto_id", "responsavel_id", "etapa", Q.REASON),
-        "usuarios": flagged["usuarios"].select("id", "portfolio_id", Q.REASON),
+    fields = {
+        "usuarios": ["id", "portfolio_id"],
+        "projetos": ["id", "portfolio_id", "gerente_id", "orcamento"],
+        "tarefas": ["id", "projeto_id", "responsavel_id", "etapa"],
+        "movimentacoes": ["id", "tarefa_id", "usuario_id", "etapa_nova"],
     }
-    return Q.all_rejects(records)
+    flagged = _cascade(spark, sf_dir)
+    return Q.all_rejects({n: flagged[n].select(*c, Q.REASON) for n, c in fields.items()})
+
+
+MONEY = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _exact_lines(spark, sf_dir):
+    """Order lines with all columns, two-decimal numbers as whole hundredths."""
+    return table(spark, sf_dir, "lineitem").withColumns(
+        {c: F.rint(F.col(c) * 100).cast("bigint") for c in MONEY})
+
+
+SQL_EXACT = """
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(round(l_quantity * 100) AS BIGINT) AS
+       l_quantity, CAST(round(l_extendedprice * 100) AS BIGINT) AS l_extendedprice,
+       CAST(round(l_discount * 100) AS BIGINT) AS l_discount, CAST(round(l_tax * 100) AS BIGINT) AS
+       l_tax, l_returnflag, l_linestatus, l_shipdate
+FROM lineitem
+"""
 
 
 def _two_loads(spark, sf_dir):
     """Order lines, and the same after one flag value was reloaded twice and another lost."""
-    lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    lines = _exact_lines(spark, sf_dir)
     again = lines.where("l_returnflag = 'R' AND l_linestatus = 'O'")
     changed = lines.where("NOT (l_returnflag = 'A' AND l_linestatus = 'F')").unionByName(again)
     stamp = F.current_timestamp()
     return lines.withColumn("processado_em", stamp), changed.withColumn("processado_em", stamp)
 
 
-SQL_LOADS = """
-, linhas AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus FROM lineitem)
+SQL_LOADS = f"""
+, linhas AS ({SQL_EXACT})
 , recarga AS (
   SELECT * FROM linhas WHERE NOT (l_returnflag = 'A' AND l_linestatus = 'F')
   UNION ALL SELECT * FROM linhas WHERE l_returnflag = 'R' AND l_linestatus = 'O')
@@ -153,9 +184,9 @@ SQL_LOADS = """
 
 
 @query("table_diff", SQL_LOADS + """
-SELECT l_orderkey, l_linenumber, l_returnflag, l_linestatus,
+SELECT linhas_b.* EXCLUDE (a, b),
        CAST(sum(a) AS BIGINT) AS copias_a, CAST(sum(b) AS BIGINT) AS copias_b
-FROM (SELECT *, 1 AS a, 0 AS b FROM linhas UNION ALL SELECT *, 0, 1 FROM recarga)
+FROM (SELECT *, 1 AS a, 0 AS b FROM linhas UNION ALL SELECT *, 0, 1 FROM recarga) AS linhas_b
 GROUP BY ALL HAVING sum(a) <> sum(b)
 """)
 def table_diff_query(spark, sf_dir):
@@ -170,14 +201,17 @@ def table_diff_counts(spark, sf_dir):
     return diff_summary(table_diff(*_two_loads(spark, sf_dir)))
 
 
-@query("fingerprint", """
+@query("fingerprint", f"""
 SELECT count(*) AS linhas, CAST(sum(CAST('0x' || substr(sha256(concat_ws(chr(1),
          'v' || CAST(l_orderkey AS VARCHAR), 'v' || CAST(l_partkey AS VARCHAR),
-         'v' || CAST(l_linenumber AS VARCHAR), coalesce('v' || nullif(l_returnflag, 'N'), 'n'))),
+         'v' || CAST(l_suppkey AS VARCHAR), 'v' || CAST(l_linenumber AS VARCHAR),
+         'v' || CAST(l_quantity AS VARCHAR), 'v' || CAST(l_extendedprice AS VARCHAR),
+         'v' || CAST(l_discount AS VARCHAR), 'v' || CAST(l_tax AS VARCHAR),
+         coalesce('v' || nullif(l_returnflag, 'N'), 'n'), 'v' || l_linestatus,
+         'v' || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))),
          1, 15) AS BIGINT)) AS DECIMAL(38, 0)) AS soma
-FROM lineitem
+FROM ({SQL_EXACT})
 """)
 def fingerprint_query(spark, sf_dir):
-    return fingerprint(table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber",
-        F.nullif("l_returnflag", F.lit("N")).alias("l_returnflag")))
+    return fingerprint(_exact_lines(spark, sf_dir).withColumn(
+        "l_returnflag", F.nullif("l_returnflag", F.lit("N"))))
