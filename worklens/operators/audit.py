@@ -15,6 +15,10 @@ from worklens.schemas import LIGHTS, PROJECT_STATES, STAGE_NAMES, TIME_ZONE
 
 
 
+# fixed values: stages nothing leaves, and the texts of the findings below
+FINAL = ["Concluído", "Arquivada"]
+
+
 def _findings(df: DataFrame, table: str, rules: list[Rule], row_id: str = "id") -> DataFrame:
     """One row per broken rule: unlike the quarantine, a record may have several."""
     problems = F.array_compact(F.array(*[F.when(broken, F.lit(text)) for broken, text in rules]))
@@ -90,7 +94,9 @@ def task_coherence(tasks: DataFrame, ref: Column | date, zone: str = TIME_ZONE)
         (F.to_date(local("atualizado_em", zone)) > column(ref), "data depois da referência"),
         (F.col("concluida_em").isNotNull() != done,
          "data de conclusão incoerente com o status"),
-        (F.col("horas_apontadas") < 0, "horas negativas"),
+        # asked of tasks that are still open
+        (~F.coalesce(F.col("etapa").isin(FINAL), F.lit(False)) & (F.col("horas_apontadas") < 0),
+         "horas negativas"),
     ])
 
 

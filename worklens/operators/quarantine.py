@@ -21,6 +21,7 @@ def outside(name: str, domain: Sequence[str]) -> Column:
 
 def row_rules(table: str) -> list[Rule]:
     """Rules of a silver table, in the order their reasons take precedence."""
+    # fixed values: rules and their reasons
     rules = {
         "projetos": [
             (F.col("situacao").isNull() | outside("situacao", PROJECT_STATES),
@@ -42,7 +43,7 @@ def row_rules(table: str) -> list[Rule]:
     return rules.get(table, [])
 
 
-# child table, its column, parent table: parents first, so orphans cascade downwards
+# fixed values: child table, its column, parent table; parents first, so orphans cascade downwards
 FOREIGN_KEYS = [
     ("usuarios", "portfolio_id", "portfolios"),
     ("projetos", "portfolio_id", "portfolios"),

@@ -67,6 +67,7 @@ def _counts(violations: dict[str, DataFrame]) -> DataFrame:
 
 def require_consistent(model: Model) -> None:
     """Raise when any check fails. The result collected is one row per check."""
-    failed = [row["checagem"] for row in gold_checks(model).where("violacoes > 0").collect()]
+    checks = gold_checks(model).unionByName(calendar_coverage(model))
+    failed = [row["checagem"] for row in checks.where("violacoes > 0").collect()]
     if failed:
         raise AssertionError(f"inconsistent model: {failed}")

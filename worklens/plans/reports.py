@@ -51,13 +51,45 @@ def created_delivered(
     return ordered(result, "dim_data.mes_ano")
 
 
-def _project_rows(model: Model, filters: Filters) -> DataFrame:
-    df = model["dim_projeto"]
+def sliced(model: Model, filters: Filters) -> Model:
+    """The model under slicers on projects, people and tasks: tasks follow the keys of the others.
+
+    A slicer on anything else does not reach these rows and is an error, not ignored.
+    """
+    own: dict[str, list[Column]] = {"dim_projeto": [], "dim_pessoa": [], "fato_tarefa": []}
     for ref, values in (filters or {}).items():
         table, name = ref.split(".", 1)
-        if table == "dim_projeto":
-            df = df.where(F.col(name).isin(list(values)))
-    return df
+        if table not in own:
+            raise ValueError(f"a slicer on {ref} does not reach this report")
+        own[table].append(F.col(name).isin(list(values)))
+
+    def under(name: str) -> DataFrame:
+        df = model[name]
+        for condition in own[name]:
+            df = df.where(condition)
+        return df
+
+    def tasks() -> DataFrame:
+        df = under("fato_tarefa")
+        for table, key, link in (("dim_projeto", "projeto_id", "projeto_id"),
+                                 ("dim_pessoa", "pessoa_id", "responsavel_id")):
+            if own[table]:
+                keys = under(table).select(F.col(key).alias(link))
+                df = df.join(keys, link, "left_semi").select(*df.columns)
+        return df
+
+    if not filters:
+        return model
+    return model.replacing({
+        "dim_projeto": lambda: under("dim_projeto"), "dim_pessoa": lambda: under("dim_pessoa"),
+        "fato_tarefa": tasks})
+
+
+def _project_rows(model: Model, filters: Filters) -> DataFrame:
+    beyond = [ref for ref in filters or {} if not ref.startswith("dim_projeto.")]
+    if beyond:
+        raise ValueError(f"slicers on {beyond} do not reach a table of projects")
+    return sliced(model, filters)["dim_projeto"]
 
 
 def at_risk(model: Model, filters: Filters = None) -> DataFrame:
@@ -105,8 +137,9 @@ def stalled(model: Model, filters: Filters = None) -> DataFrame:
     return ordered(result, "fato_passagem_status.status")
 
 
-def overdue(model: Model) -> DataFrame:
+def overdue(model: Model, filters: Filters = None) -> DataFrame:
     """Overdue tasks with who owns them, latest first."""
+    model = sliced(model, filters)
     people = model["dim_pessoa"].select(F.col("pessoa_id").alias("responsavel_id"), "pessoa")
     late = model["fato_tarefa"].where(F.col("situacao_prazo") == "Vencida")
     # people and titles repeat: a table shows each combination once
@@ -119,22 +152,25 @@ def overdue(model: Model) -> DataFrame:
 
 
 def schedule(
-    model: Model, ref: Column | date, years: Sequence[int] = REPORT_YEARS
+    model: Model, ref: Column | date, years: Sequence[int] = REPORT_YEARS,
+    filters: Filters = None, counted: DataFrame | None = None,
 ) -> DataFrame:
     """Schedule in long form: one row per project or task and month, with colour and label.
 
     Project rows have no title. Bars get their project's name before they spread over months, and
-    months carry the calendar's label and order.
+    months carry the calendar's label and order. ``counted`` is a cheaper table with the tasks'
+    ``projeto_id``, such as their source, to count hot projects in.
     """
+    days, model = model["dim_data"], sliced(model, filters)
     first, last = date(min(years), 1, 1), date(max(years), 12, 31)
     names = model["dim_projeto"].select("projeto_id", "projeto")
     tasks = skew_join(
         task_bars(model["fato_tarefa"], ref), names, "projeto_id", "inner", ["titulo"],
-        counted=model["fato_tarefa"])
+        counted=model["fato_tarefa"] if counted is None else counted)
     projects = project_bars(model["dim_projeto"], ref).withColumn(
         "titulo", F.lit(None).cast("string"))
     cells = months_covered(projects.unionByName(tasks), "inicio", "fim", first, last)
-    months = model["dim_data"].where(F.dayofmonth("data") == 1).select(
+    months = days.where(F.dayofmonth("data") == 1).select(
         F.col("data").alias("mes_inicio"), "ano", "ano_mes", "mes_ano")
     return (
         cells.join(F.broadcast(months), "mes_inicio")  # one row per calendar month
@@ -145,9 +181,11 @@ def schedule(
 
 
 def schedule_matrix(cells: DataFrame, months: Sequence[str]) -> DataFrame:
-    """The same as a matrix, one column per listed month; months without a bar are NULL."""
-    return cells.groupBy("projeto_id", "projeto", "titulo").pivot("mes_ano", list(months)).agg(
-        F.max("cor"))
+    """The same as a matrix, one column per listed month; months without a bar are NULL.
+
+    Rows are project names and titles, so projects of one name share a row.
+    """
+    return cells.groupBy("projeto", "titulo").pivot("mes_ano", list(months)).agg(F.max("cor"))
 
 
 def cards(model: Model, filters: Filters = None) -> DataFrame:

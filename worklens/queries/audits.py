@@ -78,7 +78,7 @@ def audit_history(spark, sf_dir):
 SELECT 'tarefas' AS tabela, tarefa_id AS id, 'data de conclusão incoerente com o status' AS problema
 FROM tasks WHERE o_orderkey % 50 = 0 AND status = 'Concluído'
 UNION ALL SELECT 'tarefas', tarefa_id, 'horas negativas' FROM tasks
-WHERE o_orderkey % 40 = 1 AND centesimos IS NOT NULL
+WHERE o_orderkey % 40 = 1 AND centesimos IS NOT NULL AND aberta
 UNION ALL SELECT 'tarefas', tarefa_id, 'data depois da referência' FROM tasks
 WHERE coalesce(data_conclusao, data_criacao) + CASE WHEN o_orderkey % 60 = 2 THEN 400 ELSE 0 END
       > DATE '2001-08-31'

@@ -133,6 +133,19 @@ def run_log_query(spark, sf_dir):
     return run_log(pages, marks)
 
 
+@query("file_lineage", """
+SELECT 'events.parquet' AS arquivo, count(*) AS registros, min(event_id) AS primeiro,
+       max(event_id) AS ultimo
+FROM events
+""")
+def file_lineage(spark, sf_dir):
+    """Records by the file they were read from; the name comes from the scan itself."""
+    return table(spark, sf_dir, "events").groupBy(
+        F.regexp_extract(F.col("_metadata.file_path"), r"(events\.parquet)", 1).alias("arquivo")
+    ).agg(F.count(F.lit(1)).alias("registros"), F.min("event_id").alias("primeiro"),
+          F.max("event_id").alias("ultimo"))
+
+
 @query("latest_snapshot", """
 SELECT event_id, strftime(ts, '%Y%m%d') AS _execucao FROM events
 WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)

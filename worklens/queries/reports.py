@@ -83,6 +83,19 @@ def rpt_overdue(spark, sf_dir):
     return reports.overdue(W.delivery_model(spark, sf_dir))
 
 
+@query("rpt_overdue_sliced", """
+SELECT DISTINCT titulo, s_name AS pessoa, CAST(dias_atraso AS INTEGER) AS dias_atraso
+FROM tasks LEFT JOIN supplier ON CAST(s_suppkey AS VARCHAR) = responsavel_id
+WHERE situacao_prazo = 'Vencida' AND projeto_id IN (
+  SELECT projeto_id FROM dim WHERE portfolio IN ('BUILDING', 'MACHINERY')
+  AND status = 'Em execução')
+ORDER BY dias_atraso DESC, titulo, pessoa
+""")
+def rpt_overdue_sliced(spark, sf_dir):
+    return reports.overdue(W.delivery_model(spark, sf_dir), {
+        "dim_projeto.portfolio": ["BUILDING", "MACHINERY"], "dim_projeto.status": ["Em execução"]})
+
+
 @query("rpt_kpis", """
 SELECT (SELECT count(*) FROM dim WHERE status IN ('Em execução', 'Planejamento'))
          AS projetos_ativos,

@@ -12,6 +12,9 @@ from worklens.sources.warehouse import DELIVERY_REF
 
 FIRST, LAST = date(1999, 1, 1), date(2000, 12, 31)
 YEARS = [1999, 2000]
+# fixed values: every month of the axis
+MONTHS = [f"{m}/{y}" for y in ("99", "00") for m in
+          "jan fev mar abr mai jun jul ago set out nov dez".split()]
 
 SQL_MONTHS = """
 , meses AS (
@@ -69,19 +72,35 @@ def gantt_task_months(spark, sf_dir):
     return task_months(tasks, FIRST, LAST, DELIVERY_REF)
 
 
+def _schedule(spark, sf_dir, filters=None):
+    """Hot projects are counted in the orders, not in the task facts made from them."""
+    orders = W.table(spark, sf_dir, "orders").select(
+        W.F.col("o_custkey").cast("string").alias("projeto_id"))
+    return schedule(W.delivery_model(spark, sf_dir), DELIVERY_REF, YEARS, filters, orders)
+
+
 @query("rpt_gantt", SQL_MONTHS + """
 SELECT projeto_id, projeto, titulo, ano_mes, mes_ano, cor, ' ' AS cronograma FROM celulas
 """)
 def rpt_gantt(spark, sf_dir):
-    return schedule(W.delivery_model(spark, sf_dir), DELIVERY_REF, YEARS)
+    return _schedule(spark, sf_dir)
 
 
 @query("rpt_gantt_matrix", SQL_MONTHS + """
-SELECT projeto_id, projeto, titulo, max(cor) FILTER (WHERE mes_ano = 'jan/99') AS "jan/99",
-       max(cor) FILTER (WHERE mes_ano = 'jun/99') AS "jun/99",
-       max(cor) FILTER (WHERE mes_ano = 'dez/00') AS "dez/00"
-FROM celulas GROUP BY projeto_id, projeto, titulo
+SELECT projeto, titulo, """ + ", ".join(
+    f"max(cor) FILTER (WHERE mes_ano = '{m}') AS \"{m}\"" for m in MONTHS) + """
+FROM celulas GROUP BY projeto, titulo
 """)
 def rpt_gantt_matrix(spark, sf_dir):
-    cells = schedule(W.delivery_model(spark, sf_dir), DELIVERY_REF, YEARS)
-    return schedule_matrix(cells, ["jan/99", "jun/99", "dez/00"])
+    return schedule_matrix(_schedule(spark, sf_dir), MONTHS)
+
+
+@query("rpt_gantt_sliced", SQL_MONTHS + """
+SELECT projeto_id, projeto, titulo, ano_mes, mes_ano, cor, ' ' AS cronograma
+FROM celulas SEMI JOIN (SELECT projeto_id FROM dim WHERE portfolio IN ('BUILDING', 'MACHINERY')
+                        AND status = 'Em execução') USING (projeto_id)
+""")
+def rpt_gantt_sliced(spark, sf_dir):
+    """The slicers of the report's page: portfolio and project status."""
+    return _schedule(spark, sf_dir, {"dim_projeto.portfolio": ["BUILDING", "MACHINERY"],
+                                     "dim_projeto.status": ["Em execução"]})

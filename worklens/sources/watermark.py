@@ -11,7 +11,6 @@ from worklens.functions.times import instant
 from worklens.schemas import CHANGE_COLUMN
 
 OVERLAP = "INTERVAL 5 MINUTES"
-LOWEST = "0001-01-01"
 
 
 def changes(resources: Mapping[str, DataFrame]) -> DataFrame:
@@ -48,14 +47,16 @@ def changed_since(
 ) -> DataFrame:
     """Records strictly newer than the window start; everything without a mark for the resource.
 
-    A record without a time is always kept: nothing says it is old. The mark, or the lowest instant
-    where there is none, enters as a scalar, so the comparison reaches the scan.
+    A record without a time is always kept: nothing says it is old. The mark is read first (one
+    value), so that the comparison is a plain filter that reaches the scan.
     """
     if marks is None:
         return records
     start = window_start(marks.where(F.col("recurso") == resource), overlap).agg(F.max("desde"))
-    since = F.coalesce(start.scalar(), F.lit(LOWEST).cast("timestamp"))
-    return records.where((F.col(column) > since) | F.col(column).isNull())
+    since = start.first()[0]
+    if since is None:
+        return records
+    return records.where((F.col(column) > F.lit(since)) | F.col(column).isNull())
 
 
 def run_log(pages: DataFrame, marks: DataFrame | None = None) -> DataFrame:
