@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from worklens.operators.compare import diff_summary, table_diff
 from worklens.plans.refresh import refresh_silver, silver_from_records
-from worklens.plans.silver import candidates
+from worklens.plans.silver import candidates, current
 from worklens.sources.landing import latest_meta, read_pages, records
 from worklens.sources.watermark import changed_since, run_log, window_start
 from worklens.streaming import landing_stream as S
@@ -157,12 +157,51 @@ def test_window_is_strict_and_overlaps(spark):
         F.col("t").cast("timestamp").alias("t"))
     marks_df = df.agg(F.max("t").alias("marca")).select(F.lit("tarefas").alias("recurso"), "marca")
     kept = [str(r["t"]) for r in changed_since(df, "tarefas", "t", marks_df).collect()]
-    assert kept == ["2026-09-01 09:55:01", "2026-09-01 10:00:00"]
+    # a record without a time is never taken for an old one
+    assert kept == ["2026-09-01 09:55:01", "2026-09-01 10:00:00", "None"]
     assert changed_since(df, "projetos", "t", marks_df).count() == 5
     assert changed_since(df, "tarefas", "t", None).count() == 5
     assert str(window_start(marks_df).first()["desde"]) == "2026-09-01 09:55:00"
 
 
+def test_an_empty_page_is_logged(spark, folders):
+    root, target, state = folders
+    write_all(root)
+    S.land_run(spark, str(root), target, RUN1, state)
+    second_run(root)
+    write_page(root, "projetos", RUN2, [])  # an incremental resource without changes
+    S.land_run(spark, str(root), target, RUN2, state)
+    runs = spark.read.parquet(f"{target}/_controle/execucoes").where(f"_execucao = '{RUN2}'")
+    log = {r["recurso"]: r for r in runs.collect()}
+    assert (log["projetos"]["paginas"], log["projetos"]["registros"]) == (1, 0)
+    assert S.landed(spark, target, "projetos").count() == len(PROJECTS)
+
+
+def test_a_run_reads_only_its_own_files(spark, folders):
+    root, target, state = folders
+    write_all(root)
+    S.land_run(spark, str(root), target, RUN1, state)
+    second_run(root)
+    S.land_run(spark, str(root), target, RUN2, state)
+    own = S.stored_run(spark, target, "tarefas", RUN2)
+    assert own.count() == 2
+    files = {r[0] for r in own.select(F.input_file_name()).distinct().collect()}
+    assert files and all(f"_execucao={RUN2}" in f for f in files)
+    plan = own._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_execucao" in plan
+
+
+def test_a_broken_snapshot_deletes_nobody(spark, folders):
+    root, target, state = folders
+    write_all(root)
+    S.land_run(spark, str(root), target, RUN1, state)
+    write_page(root, "usuarios", RUN2, PEOPLE[:1])  # the run broke off after its first page
+    S.land_new_pages(spark, str(root), "usuarios", target, f"{state}/landing")
+    people = S.landed(spark, target, "usuarios")
+    assert current(people, "usuarios").count() == 1
+    assert current(people, "usuarios", S.committed_runs(spark, target)).count() == len(PEOPLE)
+
+
 def test_run_log(spark, tmp_path):
     root = write_all(tmp_path)
     pages = read_pages(spark, str(root), "tarefas").select(

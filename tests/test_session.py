@@ -4,14 +4,23 @@ import pytest
 from pyspark.sql import functions as F
 
 from worklens.operators.latest import latest_per_key, latest_snapshot, newest_row
-from worklens.session import INITIAL_PARTITIONS, RUNTIME, shared_folder, tune
+from worklens.session import (
+    INITIAL_PARTITIONS, PARTITIONS_PER_CORE, RUNTIME, shared_folder, tune,
+)
 from worklens.sources.tables import save_table
 
 
-def test_tune_sets_sql_options_and_leaves_small_sessions_alone(spark):
+def test_tune_sets_sql_options_and_leaves_given_partitions_alone(spark):
     tune(spark)
     assert all(spark.conf.get(k) == v for k, v in RUNTIME.items())
-    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    first = spark.conf.get(INITIAL_PARTITIONS)
+    assert int(first) == spark.sparkContext.defaultParallelism * PARTITIONS_PER_CORE
+    try:
+        spark.conf.set(INITIAL_PARTITIONS, "11")
+        tune(spark)
+        assert spark.conf.get(INITIAL_PARTITIONS) == "11"
+    finally:
+        spark.conf.set(INITIAL_PARTITIONS, first)
 
 
 class Session:

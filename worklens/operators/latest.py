@@ -16,7 +16,7 @@ def latest_snapshot(
     ``committed`` optionally lists finished runs (one column named ``run``), to skip a partial one.
     """
     if committed is not None:
-        df = df.join(F.broadcast(committed.select(run).distinct()), run, "left_semi")
+        df = df.join(committed.select(run).distinct(), run, "left_semi")
     newest = df.agg(F.max(run)).scalar()
     return df.where(F.col(run) == newest)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from worklens.operators.quarantine import REASON, all_rejects, cascade
 from worklens.operators.skew import HOT_ROWS
 from worklens.plans.checks import require_consistent
 from worklens.plans.gold import open_model, star
-from worklens.plans.silver import candidates
+from worklens.plans.silver import PARSED, candidates, unparsed
 from worklens.schemas import RESOURCES, TIME_ZONE
 from worklens.session import tune
 from worklens.sources.landing import (
@@ -45,10 +46,13 @@ def refresh_silver(
 
 def silver_from_records(
     spark: SparkSession, stored: Mapping[str, DataFrame], meta: DataFrame, fmt: str = "parquet",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, committed: DataFrame | None = None,
 ) -> dict[str, int]:
     """The same from records already parsed, such as those an incremental run landed.
 
+    ``committed`` lists the runs whose snapshots are whole. Texts of times that could not be read
+    are counted by table and column in ``silver_nao_lidos``.
+
     Each resource is computed once: its flagged rows are written, valid and rejected ones in
     separate partitions. The silver table is a view over the valid partition, the rejects come from
     the other, and children check their keys against the table just written.
@@ -69,7 +73,7 @@ def silver_from_records(
         return spark.table(table).select(*flagged.columns)
 
     flagged = cascade(
-        candidates(landed), stage=write_flagged, hot_rows=hot_rows, sources=landed)
+        candidates(landed, committed), stage=write_flagged, hot_rows=hot_rows, sources=landed)
     rejected = all_rejects(flagged)
     for name, df in stored.items():
         rejected = rejected.unionByName(parsed_rejects(df, name))
@@ -77,6 +81,9 @@ def silver_from_records(
         rejected.withColumn("processado_em", F.current_timestamp()), "silver_rejeitados", fmt
     )
     counts["silver_meta"] = save_table(meta, "silver_meta", fmt)
+    failed = [unparsed(landed[name], name) for name in PARSED]
+    counts["silver_nao_lidos"] = save_table(
+        reduce(DataFrame.unionByName, failed).where("falhas > 0"), "silver_nao_lidos", fmt)
     return counts
 
 

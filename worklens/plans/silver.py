@@ -15,14 +15,18 @@ from worklens.schemas import CHANGE_COLUMN, PRIORITIES, PRIORITY_UNKNOWN
 RUN = "_execucao"
 
 
-def current(records: DataFrame, resource: str) -> DataFrame:
+def current(
+    records: DataFrame, resource: str, committed: DataFrame | None = None
+) -> DataFrame:
     """Newest version of each id: by change time, then by run; snapshots keep the last run only.
 
-    A move never changes, so its newest run stands whatever its time.
+    ``committed`` lists the finished runs (``_execucao``): the snapshot of a run that broke off may
+    be partial, and what it lacks has not been deleted. A move never changes, so its newest run stands whatever its time.
     """
     newest_run = F.col(RUN).desc()
     if resource not in CHANGE_COLUMN:
-        return latest_per_key(latest_snapshot(records, RUN), ["id"], [newest_run])
+        return latest_per_key(
+            latest_snapshot(records, RUN, committed), ["id"], [newest_run])
     order = [newest_run]
     if resource != "movimentacoes":
         order.insert(0, instant(CHANGE_COLUMN[resource]).desc())
@@ -92,9 +96,12 @@ CLEANERS: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
-def candidates(landed: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def candidates(
+    landed: Mapping[str, DataFrame], committed: DataFrame | None = None
+) -> dict[str, DataFrame]:
     """Clean current rows of every resource, not yet checked."""
-    return {name: clean(current(landed[name], name)) for name, clean in CLEANERS.items()}
+    return {
+        name: clean(current(landed[name], name, committed)) for name, clean in CLEANERS.items()}
 
 
 # columns read as time or date, per resource: source text that fails to parse becomes NULL

@@ -14,22 +14,22 @@ RUNTIME = {
 }
 
 
-# above this many cores a session is a cluster, and shuffles start out wide
-CLUSTER_CORES = 64
-PARTITIONS_PER_CORE = 8
+#: Shuffles start with so many partitions a core, at every size of session; adaptive execution merges
+#: the small ones.
+PARTITIONS_PER_CORE = 4
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings.
 
-    On a cluster, shuffles start with several partitions per core, so that each fits in memory, and
-    adaptive execution merges the small ones; a number set by whoever started the session stands.
+    The caller's session is changed: zone, adaptive execution and the number of partitions a shuffle
+    starts with. A number of partitions set by whoever started the session stands.
     """
     for key, value in RUNTIME.items():
         spark.conf.set(key, value)
     cores = spark.sparkContext.defaultParallelism
-    if cores > CLUSTER_CORES and not spark.conf.get(INITIAL_PARTITIONS, None):
+    if not spark.conf.get(INITIAL_PARTITIONS, None):
         spark.conf.set(INITIAL_PARTITIONS, str(cores * PARTITIONS_PER_CORE))
     return spark
 

@@ -65,25 +65,29 @@ def _page_rejects(pages: DataFrame, resource: str) -> DataFrame:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """Records and unreadable pages of one parse, to be written once and read as either."""
+    """Records, unreadable and empty pages of one parse, to be written once and read as either.
+
+    A page without records leaves one row marked ``vazia``, so that the run log knows of it.
+    """
     readable = F.col("dados").isNotNull()
     return pages.select(
         F.explode_outer("dados").alias("r"), "_execucao", (~readable).alias("ilegivel"),
-        "_arquivo", CORRUPT,
-    ).where(F.col("r").isNotNull() | F.col("ilegivel")).select(
-        "r.*", "_execucao", "ilegivel", "_arquivo", CORRUPT)
+        (readable & (F.size("dados") == 0)).alias("vazia"), "_arquivo", CORRUPT,
+    ).where(F.col("r").isNotNull() | F.col("ilegivel") | F.col("vazia")).select(
+        "r.*", "_execucao", "ilegivel", "vazia", "_arquivo", CORRUPT)
 
 
 def parsed_schema(resource: str) -> str:
     """Columns of :func:`parsed` for one resource."""
     return (
-        f"{RESOURCES[resource]}, _execucao string, ilegivel boolean, _arquivo string, "
-        f"{CORRUPT} string"
+        f"{RESOURCES[resource]}, _execucao string, ilegivel boolean, vazia boolean, "
+        f"_arquivo string, {CORRUPT} string"
     )
 
 
 def parsed_records(stored: DataFrame) -> DataFrame:
-    return stored.where(~F.col("ilegivel")).drop("ilegivel", "_arquivo", CORRUPT)
+    return stored.where(~F.col("ilegivel") & ~F.col("vazia")).drop(
+        "ilegivel", "vazia", "_arquivo", CORRUPT)
 
 
 def parsed_rejects(stored: DataFrame, resource: str) -> DataFrame:
@@ -91,10 +95,10 @@ def parsed_rejects(stored: DataFrame, resource: str) -> DataFrame:
 
 
 def parsed_pages(stored: DataFrame, resource: str) -> DataFrame:
-    """``recurso, _execucao, _arquivo, registros`` of every readable page, for the run log."""
+    """``recurso, _execucao, _arquivo, registros`` of every readable page, empty ones too."""
     return stored.where(~F.col("ilegivel")).groupBy(
         F.lit(resource).alias("recurso"), "_execucao", "_arquivo"
-    ).agg(F.count(F.lit(1)).alias("registros"))
+    ).agg(F.count_if(~F.col("vazia")).alias("registros"))
 
 
 def latest_meta(pages: DataFrame) -> DataFrame:

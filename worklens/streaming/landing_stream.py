@@ -33,13 +33,13 @@ def land_new_pages(
 ) -> None:
     """Append the records of pages not seen before, one folder per batch, then return.
 
-    Writing a batch replaces its own folder only, so a replay leaves no duplicate. Unreadable pages
-    are kept in a partition of their own.
+    Writing a batch replaces its own folder only, so a replay leaves no duplicate. Inside it each run
+    and the unreadable pages have partitions of their own, so a run can be read without the others.
     """
     folder = f"{target}/{resource}"
 
     def write_batch(pages: DataFrame, batch: int) -> None:
-        parsed(pages).write.mode("overwrite").partitionBy("ilegivel").parquet(
+        parsed(pages).write.mode("overwrite").partitionBy("_execucao", "ilegivel").parquet(
             f"{folder}/lote={batch}")
 
     pages = (
@@ -66,6 +66,23 @@ def stored(spark: SparkSession, target: str, resource: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{target}/{resource}").drop("lote")
 
 
+def stored_run(spark: SparkSession, target: str, resource: str, run: str) -> DataFrame:
+    """What one run brought; the files of other runs are not opened."""
+    return stored(spark, target, resource).where(F.col("_execucao") == run)
+
+
+def committed_runs(spark: SparkSession, target: str) -> DataFrame | None:
+    """``_execucao`` of the runs whose marks were written, None before the first.
+
+    A snapshot of any other run may be partial and must not delete anything.
+    """
+    try:
+        marks = spark.read.parquet(f"{target}/_controle/marcas")
+    except AnalysisException:
+        return None
+    return marks.select(F.col("execucao").cast("string").alias("_execucao")).distinct()
+
+
 def landed(spark: SparkSession, target: str, resource: str) -> DataFrame:
     """Records landed so far; repeated ones are settled by the silver versions."""
     return parsed_records(stored(spark, target, resource))
@@ -84,8 +101,7 @@ def saved_marks(spark: SparkSession, target: str) -> DataFrame | None:
 def log_run(spark: SparkSession, target: str, run: str) -> DataFrame:
     """Write what a run landed: mode, pages, records and window start per resource."""
     pages = [
-        parsed_pages(stored(spark, target, name).where(F.col("_execucao") == run), name)
-        for name in LANDED
+        parsed_pages(stored_run(spark, target, name, run), name) for name in LANDED
     ]
     landed_pages = reduce(DataFrame.unionByName, pages)
     marks = saved_marks(spark, target)
@@ -97,8 +113,12 @@ def log_run(spark: SparkSession, target: str, run: str) -> DataFrame:
 
 
 def commit_marks(spark: SparkSession, target: str, run: str) -> DataFrame:
-    """Write this run's marks next to the earlier ones. Call only after every resource landed."""
-    resources = {name: landed(spark, target, name) for name in CHANGE_COLUMN}
+    """Write this run's marks next to the earlier ones. Call only after every resource landed.
+
+    Only the run's own records are read; the marks of earlier runs stand for theirs.
+    """
+    resources = {
+        name: parsed_records(stored_run(spark, target, name, run)) for name in CHANGE_COLUMN}
     marks = watermarks(changes(resources), saved_marks(spark, target))
     folder = f"{target}/_controle/marcas/execucao={run}"
     marks.write.mode("overwrite").parquet(folder)
