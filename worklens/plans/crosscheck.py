@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 
 from worklens.plans.gold import Model
@@ -82,6 +84,78 @@ SELECT try_divide(sum(dias), sum(vezes)) AS `Tempo Médio na Etapa (dias)`,
        (SELECT percentile(ciclo_dias, 0.5) FROM {tasks}) AS `Ciclo Mediano (dias)`
 FROM por_tarefa
 """
+
+
+def _br(count: str) -> str:
+    return f"translate(format_number({count}, 0), ',', '.')"
+
+
+def _percent(ratio: str) -> str:
+    return f"concat({_br(f'round(coalesce({ratio}, 0), 2) * 100')}, '%')"
+
+
+PROJECT_TEXTS = f"""
+WITH p AS (
+  SELECT *, etapa <> 'Concluído' AND situacao = 'Ativo' AND etiquetas NOT LIKE '%Em espera%' AS vivo,
+         coalesce(data_limite < (SELECT max(data_referencia) FROM {{ref}}), false) AS passou,
+         coalesce(data_conclusao <= data_limite, false) AS cumpriu
+  FROM {{projects}}
+), n AS (
+  SELECT count(projeto_id) AS todos, count_if(vivo) AS vivos, count_if(vivo AND passou) AS tarde,
+         count_if(situacao = 'Concluído') AS feitos,
+         count_if(situacao = 'Concluído' AND cumpriu) AS cumpridos,
+         count_if(origem_id LIKE 'IDE-%') AS ideias, sum(orcamento) AS dinheiro,
+         try_divide((SELECT sum(horas_apontadas) FROM {{tasks}}), sum(horas_orcadas)) AS gasto,
+         (SELECT date_format(max(data_referencia), 'dd/MM/yyyy') FROM {{ref}}) AS hoje
+  FROM p
+)
+SELECT hoje AS `Data de Referência`, concat('Dados até ', hoje) AS `Texto Referência`,
+       concat('de ', {_br('todos')}, ' no portfólio') AS `Contexto Projetos Ativos`,
+       concat({_percent('try_divide(tarde, vivos)')}, ' dos ativos')
+         AS `Contexto Projetos Atrasados`,
+       concat({_br('tarde')}, ' de ', {_br('vivos')}, ' ativos') AS `Contexto Atrasados de Ativos`,
+       concat({_br('cumpridos')}, ' de ', {_br('feitos')}, ' concluídos')
+         AS `Contexto Entregues no Prazo`,
+       concat({_percent('gasto')}, ' das horas orçadas já usadas') AS `Contexto Orçamento Consumido`,
+       concat('R$ ', coalesce(translate(format_number(round(dinheiro / 1000000, 1), 1), ',.', '.,'),
+              ''), ' mi') AS `Texto Orçamento`,
+       concat({_br('ideias')}, ' vieram de ideias') AS `Contexto Projetos de Ideias`
+FROM n
+"""
+TASK_TEXTS = f"""
+WITH t AS (
+  SELECT *, concluida_em IS NOT NULL AS feita, concluida_em IS NULL AND status <> 'Arquivada' AS viva,
+         (SELECT max(data_referencia) FROM {{ref}}) AS hoje
+  FROM {{tasks}}
+), n AS (
+  SELECT count_if(viva AND status = 'Impedido') AS impedidas, count(tarefa_id) AS todas,
+         count_if(viva AND data_limite < hoje) AS vencidas, count_if(feita) AS feitas,
+         count_if(viva AND data_limite IS NOT NULL) AS com_prazo,
+         coalesce(try_divide(sum(horas_apontadas), sum(estimativa_horas)), 0) - 1 AS desvio
+  FROM t
+)
+SELECT concat({_br('impedidas')}, ' impedidas agora') AS `Contexto Tarefas Abertas`,
+       concat({_percent('try_divide(vencidas, com_prazo)')}, ' das abertas')
+         AS `Contexto Tarefas Vencidas`,
+       concat({_percent('try_divide(feitas, todas)')}, ' de todas as tarefas')
+         AS `Contexto Tarefas Concluídas`,
+       concat(CASE WHEN round(desvio, 2) > 0 THEN '+' ELSE '' END, {_percent('desvio')},
+              ' vs. o estimado') AS `Contexto Horas Apontadas`
+FROM n
+"""
+PERIOD = """
+SELECT nullif(criadas, 0) AS `Tarefas Criadas`, nullif(entregues, 0) AS `Tarefas Entregues`,
+       CASE WHEN criadas + entregues > 0 THEN criadas - entregues END AS `Saldo do Período`
+FROM (SELECT count_if(date_format(data_criacao, 'yyyyMM') = '{month}') AS criadas,
+             count_if(status = 'Concluído' AND date_format(data_conclusao, 'yyyyMM') = '{month}')
+               AS entregues
+      FROM {tasks})
+"""
+PERIOD_VISITS = """
+SELECT nullif(count(*), 0) AS `Mudanças de Status`,
+       nullif(count_if(status = 'Impedido'), 0) AS `Bloqueios no Período`
+FROM {visits} WHERE date_format(data_entrada, 'yyyyMM') = '{month}'
+"""
 PROJECT_NAMES = [
     "Projetos", "Projetos Ativos", "Projetos em Execução", "Projetos Concluídos",
     "Projetos Atrasados", "% Projetos Atrasados", "% Projetos Entregues no Prazo",
@@ -94,7 +168,18 @@ TASK_NAMES = [
     "Lead Time Médio (dias)", "Idade Média das Abertas (dias)", "Horas Estimadas",
     "Horas Apontadas", "Desvio de Esforço %", "% Tarefas Concluídas",
 ]
-NAMES = PROJECT_NAMES + TASK_NAMES
+PROJECT_TEXT_NAMES = [
+    "Data de Referência", "Texto Referência", "Contexto Projetos Ativos",
+    "Contexto Projetos Atrasados", "Contexto Atrasados de Ativos", "Contexto Entregues no Prazo",
+    "Contexto Orçamento Consumido", "Texto Orçamento", "Contexto Projetos de Ideias",
+]
+TASK_TEXT_NAMES = [
+    "Contexto Tarefas Abertas", "Contexto Tarefas Vencidas", "Contexto Tarefas Concluídas",
+    "Contexto Horas Apontadas",
+]
+PERIOD_NAMES = ["Tarefas Criadas", "Tarefas Entregues", "Saldo do Período"]
+PERIOD_VISIT_NAMES = ["Mudanças de Status", "Bloqueios no Período"]
+NAMES = PROJECT_NAMES + TASK_NAMES + PROJECT_TEXT_NAMES + TASK_TEXT_NAMES
 FLOW_NAMES = [
     "Tempo Médio na Etapa (dias)", "Tarefas Paradas na Etapa", "Paradas há mais de 15 dias",
     "Dias Bloqueada", "% Concluídas com Retrabalho", "Ciclo Médio (dias)", "Ciclo Mediano (dias)",
@@ -107,13 +192,34 @@ def _tables(model: Model) -> dict[str, DataFrame]:
 
 
 def independent(spark: SparkSession, model: Model) -> DataFrame:
-    """Project and task measures, without any filter."""
+    """Project and task measures and the texts made of them, without any filter."""
     tables = _tables(model)
-    projects = long_form(spark.sql(PROJECTS, **tables), PROJECT_NAMES)
-    return projects.unionByName(long_form(spark.sql(TASKS, **tables), TASK_NAMES))
+    parts = [
+        long_form(spark.sql(text, **tables), names) for text, names in (
+            (PROJECTS, PROJECT_NAMES), (TASKS, TASK_NAMES), (PROJECT_TEXTS, PROJECT_TEXT_NAMES),
+            (TASK_TEXTS, TASK_TEXT_NAMES))
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def independent_flow(spark: SparkSession, model: Model) -> DataFrame:
     """Measures of the visit history, without any filter."""
     tables = {**_tables(model), "visits": model["fato_passagem_status"]}
     return long_form(spark.sql(VISITS, **tables), FLOW_NAMES)
+
+
+def independent_period(spark: SparkSession, model: Model, month: str) -> DataFrame:
+    """Tasks created and delivered in a month (``yyyyMM``)."""
+    tasks = model["fato_tarefa"]
+    return long_form(spark.sql(PERIOD, tasks=tasks, month=_digits(month)), PERIOD_NAMES)
+
+
+def independent_period_flow(spark: SparkSession, model: Model, month: str) -> DataFrame:
+    """Moves and blocks of a month (``yyyyMM``)."""
+    visits = model["fato_passagem_status"]
+    return long_form(
+        spark.sql(PERIOD_VISITS, visits=visits, month=_digits(month)), PERIOD_VISIT_NAMES)
+
+
+def _digits(month: str) -> int:
+    return int(month)

@@ -364,38 +364,158 @@ def context_texts(spark, sf_dir):
     return measure(W.delivery_model(spark, sf_dir), names)
 
 
-@query("reconcile_measures", """
-SELECT medida, TRUE AS confere FROM (VALUES ('Projetos'), ('Projetos Ativos'),
-  ('Projetos em Execução'), ('Projetos Concluídos'), ('Projetos Atrasados'),
-  ('% Projetos Atrasados'), ('% Projetos Entregues no Prazo'),
-  ('Atraso Médio dos Projetos (dias)'), ('Horas Orçadas'), ('% Orçamento Consumido'),
-  ('Orçamento'), ('Projetos Farol Vermelho'), ('Projetos de Ideias'), ('Tarefas'),
-  ('Tarefas Abertas'), ('Tarefas Concluídas'), ('Tarefas Impedidas'), ('Tarefas Vencidas'),
-  ('% Abertas Vencidas'), ('% Entregues no Prazo'), ('Atraso Médio das Tarefas (dias)'),
-  ('Lead Time Médio (dias)'), ('Idade Média das Abertas (dias)'), ('Horas Estimadas'),
-  ('Horas Apontadas'), ('Desvio de Esforço %'), ('% Tarefas Concluídas')) AS m(medida)
+def _row(name: str, value: str) -> str:
+    return f"{{'medida': '{name}', 'valor': CAST({value} AS DOUBLE), 'texto': CAST(NULL AS VARCHAR)}}"
+
+
+def _text(name: str, text: str) -> str:
+    return f"{{'medida': '{name}', 'valor': CAST(NULL AS DOUBLE), 'texto': {text}}}"
+
+
+def _whole(count: str) -> str:
+    return f"replace(format('{{:,}}', {count}), ',', '.')"
+
+
+def _rounded(part: str, whole: str) -> str:
+    """Whole per cent, half upwards, exactly."""
+    return f"CAST((200 * {part} + {whole}) // (2 * {whole}) AS VARCHAR) || '%'"
+
+
+PROJECT_ROWS = ", ".join([
+    _row("Projetos", "todos"), _row("Projetos Ativos", "nullif(ativos, 0)"),
+    _row("Projetos em Execução", "nullif(andando, 0)"), _row("Projetos Concluídos", "nullif(feitos, 0)"),
+    _row("Projetos Atrasados", "nullif(tarde, 0)"), _row("% Projetos Atrasados", "tarde / ativos"),
+    _row("% Projetos Entregues no Prazo", "cumpridos / feitos"),
+    _row("Atraso Médio dos Projetos (dias)", "atraso"), _row("Horas Orçadas", "orcadas"),
+    _row("% Orçamento Consumido", "centesimos / 100 / orcadas"), _row("Orçamento", "dinheiro / 100"),
+    _row("Projetos Farol Vermelho", "nullif(vermelhos, 0)"),
+    _row("Projetos de Ideias", "nullif(ideias, 0)"), _row("Tarefas", "n"),
+    _row("Tarefas Abertas", "abertas"), _row("Tarefas Concluídas", "feitas"),
+    _row("Tarefas Impedidas", "impedidas"), _row("Tarefas Vencidas", "vencidas"),
+    _row("% Abertas Vencidas", "vencidas / com_prazo"),
+    _row("% Entregues no Prazo", "pontuais / entregues_com_prazo"),
+    _row("Atraso Médio das Tarefas (dias)", "atraso_t"), _row("Lead Time Médio (dias)", "lead"),
+    _row("Idade Média das Abertas (dias)", "idade"), _row("Horas Estimadas", "estimados / 100"),
+    _row("Horas Apontadas", "centesimos / 100"),
+    _row("Desvio de Esforço %", "gastos_feitas / estimados_feitas - 1"),
+    _row("% Tarefas Concluídas", "feitas / n"), _row("Tarefas Criadas", "criadas"),
+    _row("Tarefas Entregues", "entregues"), _row("Saldo do Período", "criadas - entregues"),
+    _text("Data de Referência", "'31/08/2001'"), _text("Texto Referência", "'Dados até 31/08/2001'"),
+    _text("Contexto Projetos Ativos", f"'de ' || {_whole('todos')} || ' no portfólio'"),
+    _text("Contexto Projetos Atrasados", f"{_rounded('tarde', 'ativos')} || ' dos ativos'"),
+    _text("Contexto Atrasados de Ativos",
+          f"{_whole('tarde')} || ' de ' || {_whole('ativos')} || ' ativos'"),
+    _text("Contexto Entregues no Prazo",
+          f"{_whole('cumpridos')} || ' de ' || {_whole('feitos')} || ' concluídos'"),
+    _text("Contexto Orçamento Consumido",
+          "replace(format('{:,}', CAST(round(centesimos / orcadas) AS BIGINT)), ',', '.')"
+          " || '% das horas orçadas já usadas'"),
+    _text("Texto Orçamento", "'R$ ' || replace(replace(replace(format('{:,.1f}', round(dinheiro"
+          " / 100000000, 1)), ',', '#'), '.', ','), '#', '.') || ' mi'"),
+    _text("Contexto Projetos de Ideias", f"{_whole('ideias')} || ' vieram de ideias'"),
+    _text("Contexto Tarefas Abertas", f"{_whole('impedidas')} || ' impedidas agora'"),
+    _text("Contexto Tarefas Vencidas", f"{_rounded('vencidas', 'com_prazo')} || ' das abertas'"),
+    _text("Contexto Tarefas Concluídas", f"{_rounded('feitas', 'n')} || ' de todas as tarefas'"),
+    _text("Contexto Horas Apontadas", "'+' || CAST(CAST(round(100 * centesimos / estimados - 100)"
+          " AS INTEGER) AS VARCHAR) || '% vs. o estimado'"),
+])
+
+
+@query("reconcile_measures", f"""
+, numeros AS (
+  SELECT * FROM (
+    SELECT count(*) AS todos, count(*) FILTER (WHERE {RUNNING}) AS ativos,
+           count(*) FILTER (WHERE status = 'Em execução') AS andando,
+           count(*) FILTER (WHERE status = 'Concluído') AS feitos,
+           count(*) FILTER (WHERE situacao_prazo = 'Atrasado') AS tarde,
+           count(*) FILTER (WHERE situacao_prazo = 'Concluído no prazo') AS cumpridos,
+           avg(dias_atraso) FILTER (WHERE situacao_prazo IN ('Atrasado', 'Concluído com atraso'))
+             AS atraso,
+           CAST(sum(horas_orcadas) AS BIGINT) AS orcadas,
+           CAST(sum(CAST(round(orcamento * 100) AS BIGINT)) AS BIGINT) AS dinheiro,
+           count(*) FILTER (WHERE farol = 'Vermelho') AS vermelhos,
+           count(*) FILTER (WHERE origem = 'Ideia') AS ideias
+    FROM dim), (
+    SELECT count(*) AS n, count(*) FILTER (WHERE aberta) AS abertas,
+           count(*) FILTER (WHERE status = 'Concluído') AS feitas,
+           count(*) FILTER (WHERE status = 'Impedido') AS impedidas,
+           count(*) FILTER (WHERE situacao_prazo = 'Vencida') AS vencidas,
+           count(*) FILTER (WHERE aberta AND data_limite IS NOT NULL) AS com_prazo,
+           count(*) FILTER (WHERE situacao_prazo = 'Concluída no prazo') AS pontuais,
+           count(*) FILTER (WHERE situacao_prazo IN ('Concluída no prazo', 'Concluída com atraso'))
+             AS entregues_com_prazo,
+           avg(dias_atraso) FILTER (WHERE situacao_prazo IN ('Vencida', 'Concluída com atraso'))
+             AS atraso_t,
+           avg(date_diff('day', data_criacao, data_conclusao)) AS lead,
+           CAST(sum((date_diff('day', data_criacao, DATE '2001-09-01') * 8640000 - 100 + 43200)
+                    // 86400) FILTER (WHERE aberta) AS BIGINT)
+             / count(*) FILTER (WHERE aberta) / 100 AS idade,
+           CAST(sum(CAST(round(estimativa * 100) AS BIGINT)) AS BIGINT) AS estimados,
+           CAST(sum(centesimos) AS BIGINT) AS centesimos,
+           CAST(sum(centesimos) FILTER (WHERE status = 'Concluído') AS BIGINT) AS gastos_feitas,
+           CAST(sum(CAST(round(estimativa * 100) AS BIGINT)) FILTER (WHERE status = 'Concluído')
+                AS BIGINT) AS estimados_feitas,
+           count(*) FILTER (WHERE strftime(data_criacao, '%Y%m') = '200106') AS criadas,
+           count(*) FILTER (WHERE status = 'Concluído'
+                            AND strftime(data_conclusao, '%Y%m') = '200106') AS entregues
+    FROM tasks)
+), linhas_r AS (SELECT unnest([{PROJECT_ROWS}], recursive := true) FROM numeros)
+SELECT medida, round(valor, 6) AS valor, texto, TRUE AS confere FROM linhas_r
 """)
 def reconcile_measures(spark, sf_dir):
-    """Measures against a second definition in SQL; every one must agree within tolerance."""
+    """Measures against a second definition in SQL, those of a period in one month."""
     model = W.delivery_model(spark, sf_dir)
-    independent = crosscheck.independent(spark, model)
-    names = crosscheck.NAMES
-    ours = long_form(measure(model, names), names)
-    return reconcile(ours, independent).select("medida", "confere")
-
-
-@query("reconcile_flow", """
-SELECT medida, TRUE AS confere FROM (VALUES ('Tempo Médio na Etapa (dias)'),
-  ('Tarefas Paradas na Etapa'), ('Paradas há mais de 15 dias'), ('Dias Bloqueada'),
-  ('% Concluídas com Retrabalho'), ('Ciclo Médio (dias)'), ('Ciclo Mediano (dias)'))
-  AS m(medida)
+    names, period = crosscheck.NAMES, crosscheck.PERIOD_NAMES
+    ours = long_form(measure(model, names), names).unionByName(long_form(
+        measure(model, period, filters={"dim_data.mes_ano": ["jun/01"]}), period))
+    theirs = crosscheck.independent(spark, model).unionByName(
+        crosscheck.independent_period(spark, model, "200106"))
+    return _reconciled(ours, theirs)
+
+
+def _reconciled(ours, theirs):
+    return reconcile(ours, theirs).select(
+        "medida", F.round("valor_a", 6).alias("valor"), F.col("texto_a").alias("texto"), "confere")
+
+
+FLOW_ROWS = ", ".join([
+    _row("Tempo Médio na Etapa (dias)", "tempo"), _row("Tarefas Paradas na Etapa", "paradas"),
+    _row("Paradas há mais de 15 dias", "nullif(muito, 0)"), _row("Dias Bloqueada", "bloqueada"),
+    _row("% Concluídas com Retrabalho", "refeitas / feitas"), _row("Ciclo Médio (dias)", "ciclo"),
+    _row("Ciclo Mediano (dias)", "mediano"), _row("Mudanças de Status", "mudancas"),
+    _row("Bloqueios no Período", "bloqueios"),
+])
+
+
+@query("reconcile_flow", f"""
+, numeros AS (
+  SELECT * FROM (
+    SELECT CAST(sum({hundredths('segundos')}) FILTER (WHERE NOT atual) AS BIGINT)
+             / count(segundos) FILTER (WHERE NOT atual) / 100 AS tempo,
+           count(DISTINCT tarefa_id) FILTER (WHERE atual AND NOT final) AS paradas,
+           count(DISTINCT tarefa_id) FILTER (WHERE atual AND NOT final
+             AND {hundredths('segundos')} > 1500) AS muito,
+           count(*) FILTER (WHERE strftime(ts - INTERVAL 3 HOUR, '%Y%m') = '202401') AS mudancas,
+           count(*) FILTER (WHERE strftime(ts - INTERVAL 3 HOUR, '%Y%m') = '202401'
+                            AND etapa = 'Impedido') AS bloqueios
+    FROM visits), (
+    SELECT CAST(sum(bloqueada) AS BIGINT) / 100 AS bloqueada,
+           nullif(count(*) FILTER (WHERE status = 'Concluído' AND retrabalho > 0), 0) AS refeitas,
+           nullif(count(*) FILTER (WHERE status = 'Concluído'), 0) AS feitas,
+           CAST(sum(ciclo_c) AS BIGINT) / count(ciclo_c) / 100 AS ciclo,
+           median(ciclo_c) / 100 AS mediano
+    FROM flow_tasks)
+), linhas_r AS (SELECT unnest([{FLOW_ROWS}], recursive := true) FROM numeros)
+SELECT medida, round(valor, 6) AS valor, texto, TRUE AS confere FROM linhas_r
 """)
 def reconcile_flow(spark, sf_dir):
     model = W.flow_model(spark, sf_dir)
-    independent = crosscheck.independent_flow(spark, model)
-    names = crosscheck.FLOW_NAMES
-    ours = long_form(measure(model, names), names)
-    return reconcile(ours, independent).select("medida", "confere")
+    names, period = crosscheck.FLOW_NAMES, crosscheck.PERIOD_VISIT_NAMES
+    ours = long_form(measure(model, names), names).unionByName(long_form(
+        measure(model, period, filters={"dim_data.mes_ano": ["jan/24"]}), period))
+    theirs = crosscheck.independent_flow(spark, model).unionByName(
+        crosscheck.independent_period_flow(spark, model, "202401"))
+    return _reconciled(ours, theirs)
 
 
 @query("sql_subqueries", """
