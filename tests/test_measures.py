@@ -249,3 +249,48 @@ def test_reconciliation(spark, model):
     off = ours.withColumn("valor", F.col("valor") + 0.007)
     assert not any(r["confere"] for r in reconcile(
         off, crosscheck.independent_flow(spark, model)).where("valor_a is not null").collect())
+
+
+def test_reconciliation_without_rows(spark, model):
+    """Ratios without a divisor are BLANK on both sides, and that agrees."""
+    empty = model.replacing({
+        name: lambda name=name: model[name].where("false")
+        for name in ("dim_projeto", "fato_tarefa", "fato_passagem_status")})
+    names = crosscheck.NAMES
+    ours = long_form(measure(empty, names), names)
+    got = {r["medida"]: r for r in reconcile(ours, crosscheck.independent(spark, empty)).collect()}
+    assert got["% Projetos Atrasados"]["confere"] and got["% Projetos Atrasados"]["valor_b"] is None
+    assert got["Desvio de Esforço %"]["valor_a"] == -1.0  # BLANK counts as zero in a subtraction
+    flow = crosscheck.FLOW_NAMES
+    rows = reconcile(long_form(measure(empty, flow), flow), crosscheck.independent_flow(spark, empty))
+    assert rows.where("medida LIKE '%Médio%' AND confere").count() == 2
+
+
+def test_reconciliation_of_blank_numbers(spark):
+    schema = "medida string, valor double, texto string"
+    a = spark.createDataFrame([("x", None, None), ("y", None, None), ("z", 1.0, None)], schema)
+    b = spark.createDataFrame([("x", None, None), ("y", 2.0, None)], schema)
+    assert {r["medida"]: r["confere"] for r in reconcile(a, b).collect()} == {
+        "x": True, "y": False, "z": False}
+
+
+def test_roles_in_one_evaluation_equal_each_role_alone(model):
+    names = ["Projetos", "Tarefas", "Tarefas Abertas", "Mudanças de Status"]
+    together = values(measure(model, names, ["dim_projeto.portfolio"]))
+    for role in ("A", "B", "C"):
+        alone = tuple(measure(model, names, portfolio=role).first())
+        assert together[role] == alone
+        assert tuple(measure(secured(model, role), names).first()) == alone
+
+
+def test_slicers_reach_rows_or_raise(model):
+    only = {"dim_projeto.portfolio": ["A"]}
+    assert reports.overdue(model, only).count() == 1
+    assert reports.overdue(model, {"dim_projeto.portfolio": ["B"]}).count() == 0
+    assert reports.overdue(model, {"fato_tarefa.status": ["Impedido"]}).count() == 0
+    with pytest.raises(ValueError, match="does not reach"):
+        reports.overdue(model, {"dim_data.ano": [2026]})
+    with pytest.raises(ValueError, match="do not reach"):
+        reports.at_risk(model, {"fato_tarefa.status": ["Fazendo"]})
+    whole = reports.schedule(model, REF, [2026])
+    assert 0 <= reports.schedule(model, REF, [2026], only).count() <= whole.count()

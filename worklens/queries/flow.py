@@ -191,22 +191,47 @@ def dim_projects(spark, sf_dir):
 
 
 @query("gold_checks", """
-SELECT 'toda tarefa tem projeto' AS checagem, count(*) AS violacoes FROM tickets
-WHERE projeto_id NOT IN (SELECT projeto_id FROM flow_dim)
-UNION ALL SELECT 'todo responsável existe', count(*) FROM tickets
-WHERE responsavel_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)
-UNION ALL SELECT 'status da tarefa = última passagem', count(*) FROM tickets t
-JOIN visits v ON v.tarefa_id = t.tarefa_id AND v.atual WHERE v.etapa <> t.status
-UNION ALL SELECT 'uma etapa atual por tarefa', count(*) FROM (
-  SELECT tarefa_id FROM visits WHERE atual GROUP BY tarefa_id HAVING count(*) <> 1)
-UNION ALL SELECT 'tempos não negativos', count(*) FROM flow_tasks
-WHERE ciclo_c < 0 OR lead_c < 0 OR bloqueada < 0
-UNION ALL SELECT 'ciclo ≤ lead time', count(*) FROM flow_tasks WHERE ciclo_c > lead_c
-UNION ALL SELECT 'calendário cobre todas as datas', count(*) FROM flow_tasks
-WHERE year(data_criacao) < (SELECT min(year(data_inicio)) FROM flow_dim)
+, k AS (SELECT *, CAST(tarefa_id AS BIGINT) AS n FROM flow_tasks)
+SELECT 'toda tarefa tem projeto' AS checagem, count(*) AS violacoes FROM k
+WHERE n % 37 = 0 OR projeto_id NOT IN (SELECT projeto_id FROM flow_dim)
+UNION ALL SELECT 'todo responsável existe', count(*) FROM k
+WHERE n % 41 = 0 OR responsavel_id NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier)
+UNION ALL SELECT 'status da tarefa = última passagem',
+  CAST(coalesce(sum(CASE WHEN n % 47 = 0 THEN 2 ELSE 1 END), 0) AS BIGINT)
+FROM k WHERE n % 43 = 0 AND status <> 'Backlog'
+UNION ALL SELECT 'uma etapa atual por tarefa', count(*) FROM k WHERE n % 47 = 0
+UNION ALL SELECT 'tempos não negativos', count(*) FROM k
+WHERE n % 53 = 0 OR ciclo_c < 0 OR lead_c < 0 OR bloqueada < 0
+UNION ALL SELECT 'ciclo ≤ lead time', count(*) FROM k
+WHERE CASE WHEN n % 29 = 0 THEN lead_c IS NOT NULL ELSE ciclo_c > lead_c END
+UNION ALL SELECT 'calendário cobre todas as datas', count(*) FROM k
+WHERE n % 61 = 0 OR year(data_criacao) < (SELECT min(year(data_inicio)) FROM flow_dim)
 """)
 def gold_checks_query(spark, sf_dir):
-    return gold_checks(W.flow_model(spark, sf_dir))
+    """Every check on a model tampered with in seven ways, so that each has something to find."""
+    model = W.flow_model(spark, sf_dir)
+    key = F.col("tarefa_id").cast("bigint")
+
+    def tasks():
+        def changed(name, every, value):
+            return F.when(key % every == 0, value).otherwise(F.col(name))
+
+        return model["fato_tarefa"].withColumns({
+            "projeto_id": changed("projeto_id", 37, F.lit("sem projeto")),
+            "responsavel_id": changed("responsavel_id", 41, F.lit("ninguém")),
+            "status": changed("status", 43, F.lit("Backlog")),
+            "dias_bloqueada": changed("dias_bloqueada", 53, F.lit(-1.0)),
+            "ciclo_dias": changed("ciclo_dias", 29, F.col("lead_time_dias") + 1),
+            "data_criacao": changed("data_criacao", 61, F.add_months("data_criacao", -1200)),
+        })
+
+    def visits():
+        facts = model["fato_passagem_status"]
+        return facts.unionByName(facts.where(F.col("etapa_atual") & (key % 47 == 0)))
+
+    return gold_checks(model.replacing({
+        "fato_tarefa": tasks, "fato_passagem_status": visits,
+        "dim_data": lambda: model["dim_data"]}))
 
 
 @query("weekly_flow", f"""
