@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from worklens.llm.common import columns, saved
+from worklens.llm.common import columns, hash_sample, saved
 
 #: Centroids of a half at most; fewer for few vectors. Cells are their pairs.
 CENTROIDS = 128
@@ -127,7 +127,7 @@ def nearest(query: np.ndarray, points: np.ndarray, ids: np.ndarray, own_id: int,
 def build(rows: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> tuple[DataFrame, Index]:
     """(vec_id, v, cell) of every vector, and the index; ``rows`` is saved and not empty."""
     spark = rows.sparkSession
-    some = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("v").toArrow()
+    some = hash_sample(rows, sample, "vec_id").select("v").toArrow()
     points = _matrix(some.column("v"))
     half = max(1, points.shape[1] // 2)
     k = max(1, min(centroids, int(np.sqrt(len(points))) * 2))
@@ -156,7 +156,7 @@ def enough_for(indexed: DataFrame, index: Index, queries: DataFrame, k: int, rec
     A bounded number of queries goes to every task; each task returns its nearest few of them.
     """
     spark = indexed.sparkSession
-    some = queries.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(measured).toArrow()
+    some = hash_sample(queries, measured, "vec_id").toArrow()
     if not some.num_rows:
         return 0
     ids, points = some.column("vec_id").to_numpy(), _matrix(some.column("v"))

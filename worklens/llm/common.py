@@ -6,12 +6,22 @@ import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 #: Bytes of text handled at once inside a task; one longer text makes a slice of its own.
 SLICE_BYTES = 2_000_000
 
 
+#: Rows and bytes of an Arrow batch: what a task holds at once besides its slice, whatever the texts.
+BATCH_ROWS, BATCH_BYTES = 2000, 16_000_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches; called by every operator that sends texts to Python."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def saved(df: DataFrame) -> DataFrame:
     """``df`` cut from its lineage by a checkpoint in the folder that all executors share.
 
@@ -38,6 +48,48 @@ def row_key(*names: str) -> Column:
     return F.xxhash64(*(F.col(n) for n in names))
 
 
+#: Hashes that samples are drawn by lie below this.
+_HASHES = 1 << 40
+
+
+def _hash(keys) -> Column:
+    return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(_HASHES))
+
+
+def hash_sample(df: DataFrame, size: int, *keys: str) -> DataFrame:
+    """At most ``size`` rows, those of the smallest hash of ``keys``.
+
+    A filter on the hash leaves about twice as many first, so what is sorted does not grow with the
+    table, nor with the number of tasks.
+    """
+    share = min(_HASHES, 2 * size * _HASHES // max(1, df.count()))
+    return df.where(_hash(keys) < share).orderBy(_hash(keys), *keys).limit(size)
+
+
+def hash_sample_by(df: DataFrame, group: str, size: int, *keys: str) -> DataFrame:
+    """The same for each value of ``group``; rows equal in group and keys count once.
+
+    The driver holds one count a group: only for columns of few values, such as languages.
+    """
+    counts = df.groupBy(group).count().collect()
+    if not counts:
+        return df
+    shares = [x for r in counts for x in (
+        F.lit(r[0]), F.lit(min(_HASHES, 2 * size * _HASHES // max(1, r["count"]))))]
+    few = df.where(_hash(keys) < F.create_map(*shares)[F.col(group)])
+    rest = [c for c in df.columns if c != group and c not in keys]
+    few = few.groupBy(group, *keys).agg(*(F.first(c).alias(c) for c in rest)) if rest else (
+        few.distinct())
+    rank = Window.partitionBy(group).orderBy(_hash(keys), *keys)
+    return few.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= size).drop(
+        "_rank")
+
+
+def few_rows(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` (saved) to be broadcast if it has at most ``rows`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def slices(texts: list[bytes], limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, or of one longer text."""
     first = size = 0

@@ -23,6 +23,8 @@ from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from worklens.llm.common import bounded_batches
+
 # -- fixed values: kinds of elements -----------------------------------------------------------
 
 INLINE = frozenset(
@@ -275,6 +277,7 @@ def main_text(html: str, nodes: list[Node]) -> str:
 
 def extract(pages: DataFrame, nodes: list[Node] | None = None, html: str = "html") -> DataFrame:
     """``pages`` with ``text`` and ``n_chars`` (code points); columns of these names are replaced."""
+    bounded_batches(pages.sparkSession)
     tree = [tuple(n) for n in (nodes or train(pages.sparkSession))]
     rest = pages.drop(*({"text", "n_chars"} - {html}))
     names = [F.col(f"`{c}`") for c in rest.columns if c not in ("text", "n_chars")]

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from worklens.llm.common import slices
+from worklens.llm.common import bounded_batches, slices
 from worklens.llm.spans import span_hashes
 from worklens.llm.trie import (
     BYTE, MARK, NORMAL, Vocabulary, best_paths, double_array, lattice, ragged, vocabulary,
@@ -152,6 +152,7 @@ def encoder(spark: SparkSession, path: str = VOCABULARY):
     ``round_trip`` decodes the ids and compares with the text. The trie is broadcast: its size is
     that of the vocabulary.
     """
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(tuple(coder(path)))
 
     @F.arrow_udf("struct<ids:array<int>,n_byte_pieces:long,round_trip:boolean>")

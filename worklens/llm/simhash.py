@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from worklens.llm.common import columns, keep_rows, saved, text_key, utf8
+from worklens.llm.common import bounded_batches, columns, hash_sample, keep_rows, saved, text_key, utf8
 
 BITS, RADIUS, SHINGLE, SEED = 64, 3, 3, 42
 #: Points that choose the vantage points, however many there are.
@@ -69,6 +69,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(fps.view(np.int64))],
                 names=["doc_id", "text_key", "fp"])
 
+    bounded_batches(docs.sparkSession)
     rows = columns(docs, doc_id="long", text="string").withColumn("text_key", text_key())
     return rows.mapInArrow(run, "doc_id long, text_key long, fp long")
 
@@ -155,7 +156,7 @@ def links(points: DataFrame, shard: int = SHARD, largest: int = LARGEST) -> Data
     smallest hash; the tree made from it is bounded by its depth.
     """
     spark = points.sparkSession
-    sample = points.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).toArrow().column("fp")
+    sample = hash_sample(points, SAMPLE, "fp").toArrow().column("fp")
     sample = np.asarray(sample.to_numpy(), dtype=np.int64).view(np.uint64)
     levels = plant(sample, points.count(), shard) if len(sample) else []
 

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from worklens.llm.common import slices
+from worklens.llm.common import bounded_batches, slices
 from worklens.llm.sentences import VOCABULARY, Coder, Segments, coder, segments
 from worklens.llm.trie import Lattice, best_paths, char_bytes
 
@@ -114,6 +114,7 @@ def count_tokens(own: Coder, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray
 
 def counter(spark: SparkSession, path: str = VOCABULARY):
     """A column function: text to ``struct<n_tokens, n_pretokens>``."""
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(tuple(coder(path)))
 
     @F.arrow_udf("struct<n_tokens:long,n_pretokens:long>")

@@ -18,7 +18,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from worklens.llm.common import saved
+from worklens.llm.common import hash_sample, saved
 
 
 class Rule(NamedTuple):
@@ -123,11 +123,11 @@ def with_features(urls: DataFrame, suffixes: DataFrame, url: str = "url") -> Dat
 def train(labelled: DataFrame, sample: int = SAMPLE):
     """(model, suffix statistics) from ``url, label``; the model is NULL without two labels.
 
-    The trees are fitted on the ``sample`` distinct URLs of the smallest hash, the suffix statistics
-    on the same rows, so both are bounded.
+    The trees are fitted on the distinct URLs among the ``sample`` rows of the smallest hash, the
+    suffix statistics on the same rows, so both are bounded.
     """
-    rows = with_parts(labelled.select("url", "label").where("label is not null").dropDuplicates(["url"]))
-    rows = saved(rows.orderBy(F.xxhash64("url"), "url").limit(sample))
+    known = labelled.select("url", "label").where("label is not null")
+    rows = saved(with_parts(hash_sample(known, sample, "url").dropDuplicates(["url"])))
     base = rows.agg(F.avg("label"), F.min("label"), F.max("label")).first()
     suffixes = saved(rows.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(
         ((F.sum("label") + PRIOR_ROWS * F.lit(base[0] or 0.0)) / (F.count(F.lit(1)) + PRIOR_ROWS))
