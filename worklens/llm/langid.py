@@ -20,9 +20,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from worklens.llm.common import columns, saved
+from worklens.llm.common import bounded_batches, columns, hash_sample_by, saved
 from worklens.llm.sentences import VOCABULARY, coder
 from worklens.llm.trie import forward, lattice, piece_weights, ragged
 
@@ -35,7 +35,7 @@ PRIOR = 0.05
 #: Words whose likelihoods a task remembers.
 REMEMBERED = 200_000
 #: Distinct words put into one lattice.
-LATTICE_WORDS = 40_000
+LATTICE_WORDS = 20_000
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -105,13 +105,12 @@ def learn(labelled: DataFrame, path: str = VOCABULARY, sample: int = SAMPLE,
     """(languages, log probability of each piece in each) from (doc_id, text, lang).
 
     What the driver holds is languages times pieces. The sample is at most ``sample`` whole
-    documents a language, ranked in each task before anything is shuffled.
+    documents a language; a filter on their hash leaves few more than that to be shuffled.
     """
     spark = labelled.sparkSession
     rows = columns(labelled, doc_id="long", text="string", lang="string").where(
         "lang is not null and text is not null")
-    rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), F.xxhash64("text"))
-    chosen = rows.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= sample)
+    chosen = hash_sample_by(rows.withColumn("key", F.xxhash64("text")), "lang", sample, "doc_id", "key")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,6 +203,7 @@ def is_held_out() -> Column:
 
 def identify(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """``docs`` with ``held_out``, ``lang_pred`` and ``score``; columns of these names are replaced."""
+    bounded_batches(docs.sparkSession)
     rest = docs.drop("held_out", "lang_pred", "score")
     model = learn(rest.where(~is_held_out()), path)
     kept = [F.col(f"`{c}`") for c in rest.columns]
