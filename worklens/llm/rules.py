@@ -19,7 +19,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from worklens.llm.common import columns, keep_rows, saved, slices, text_key, utf8
+from worklens.llm.common import (
+    bounded_batches, columns, few_rows, keep_rows, saved, slices, text_key, utf8,
+)
 from worklens.llm.spans import mix, span_hashes, sums, words_of
 
 ORDER = 4
@@ -29,6 +31,8 @@ MODEL_ROWS = 4_000_000
 #: that length (they shrink with the root of its length), and never narrower than ``LEAST`` a side.
 DEVIATIONS, LEAST = 4.5, 0.05
 LEAST_WORDS, MOST_REPEATED = 50, 50
+#: Rows of one per language that may be broadcast.
+LANGUAGES = 10_000
 
 BEGIN, END = 0x0002, 0x0003
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -202,7 +206,7 @@ def _last(size: int):
 def _discounted(grams: DataFrame) -> DataFrame:
     """Adds ``cut``, the discount of each count by the modified rule: 1, 2, and 3 or more.
 
-    The discounts are one row a language; they are joined, not collected.
+    The discounts are one row a language, and so few that they are broadcast behind a check.
     """
     ones = [F.sum((F.col("n") == k).cast("double")).alias(f"n{k}") for k in range(1, 5)]
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
@@ -216,7 +220,8 @@ def _discounted(grams: DataFrame) -> DataFrame:
         "lang", discount(1, 0.5), discount(2, 1.0), discount(3, 1.5))
     cut = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(
         F.col("d3"))
-    return grams.join(rates, "lang").select("lang", "key", "n", cut.alias("cut"))
+    return grams.join(few_rows(saved(rates), LANGUAGES), "lang").select(
+        "lang", "key", "n", cut.alias("cut"))
 
 
 def pack(keys: np.ndarray, *values: np.ndarray) -> tuple:
@@ -351,6 +356,7 @@ def score(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     broadcast as sorted hash arrays; beyond that the grams of the texts are joined with it. Both
     ways give the same sums.
     """
+    bounded_batches(docs.sparkSession)
     docs = columns(docs, doc_id="long", text="string", lang="string").withColumns(
         {"lang": F.coalesce("lang", F.lit("")), "text_key": text_key()})
     table = kneser_ney(count_grams(docs))
@@ -381,7 +387,8 @@ def bands(scored: DataFrame) -> DataFrame:
             F.expr("percentile(v, 0.5D, n)").alias(name))
 
     passed = scored.where(~F.col("base_failed"))
-    middle = median(passed.withColumn("v", F.col("log_ppl")), "middle")
+    middle = few_rows(
+        saved(median(passed.withColumn("v", F.col("log_ppl")), "middle")), LANGUAGES)
     away = F.abs(F.col("log_ppl") - F.col("middle")) * F.sqrt("n_grams")
     spread = median(passed.join(middle, "lang").withColumn("v", F.round(away, 2)), "away")
     return middle.join(spread, "lang").select(
@@ -392,7 +399,7 @@ def judge(docs: DataFrame, deviations: float = DEVIATIONS, least: float = LEAST)
     """Every document with its counts, ``log_ppl``, its band, ``base_failed`` and ``kept``."""
     scored = score(docs)
     side = F.greatest(F.lit(least), deviations * F.col("spread") / F.sqrt("n_grams"))
-    judged = scored.join(saved(bands(scored)), "lang", "left").withColumns(
+    judged = scored.join(few_rows(saved(bands(scored)), LANGUAGES), "lang", "left").withColumns(
         {"low": F.col("middle") - side, "high": F.col("middle") + side})
     inside = F.col("log_ppl").between(F.col("low"), F.col("high"))
     return judged.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop(
