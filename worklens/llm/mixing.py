@@ -28,7 +28,7 @@ STEPS = 40
 #: Rates are whole millionths.
 UNIT = 1_000_000
 #: Rows of equal source and size that are numbered in one task.
-CELL = 4096
+CELL = 256
 
 EXACT = "decimal(38,0)"
 
