@@ -96,3 +96,13 @@ def test_edges(spark):
     kept = sorted(r.doc_id for r in simhash.filter_documents(df).collect())
     assert kept == [1, 3, 7, 8]
     assert simhash.near_duplicates(df.where("false")).count() == 0
+
+
+def test_one_row_of_each_component_whatever_its_ids(spark):
+    texts = [" ".join(f"{word}{i}" for i in range(40)) for word in ("ant", "bee", "cow", "dog", "eel")]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (None, texts[2]),  # no ids
+            (4, texts[3]), (4, texts[4]), (4, texts[4]), (6, texts[3])]  # an id of two components
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in simhash.filter_documents(df).collect()), key=repr)
+    assert kept == sorted([(None, t) for t in texts[:3]] + [(4, t) for t in texts[3:]], key=repr)
+    assert simhash.components_of(df).select("root").distinct().count() == 5

@@ -228,15 +228,18 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def components_of(docs: DataFrame, shard: int = SHARD, largest: int = LARGEST) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) of every row of ``docs``."""
+    """(doc_id, text_key, fp, root, component_id) of every row of ``docs``.
+
+    ``root`` is the component's smallest fingerprint, its own whatever the ids are.
+    """
     rows = saved(fingerprints(docs))
     points = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = components(links(points, shard, largest))
     joined = points.join(roots, F.col("fp") == F.col("point"), "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = saved(joined.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = joined.join(ids, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_key", "fp", "component_id")
+    named = joined.join(ids, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -246,8 +249,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: a row of the smallest doc_id."""
-    found = components_of(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    one = found.groupBy("component_id").agg(F.min("text_key").alias("text_key"))
-    kept = keep_rows(docs, one.select(F.col("component_id").alias("doc_id"), "text_key"))
-    return kept.dropDuplicates(["doc_id"])
+    """One document of each component, with all its columns: a row of the smallest doc_id.
+
+    A component without ids keeps one row too, and components that share an id keep one each.
+    """
+    first = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    one = components_of(docs).groupBy("root").agg(F.min(first).alias("one"))
+    kept = keep_rows(docs, one.select("one.doc_id", "one.text_key"))
+    return kept.withColumn("_key", text_key()).dropDuplicates(["doc_id", "_key"]).drop("_key")
