@@ -116,3 +116,28 @@ def test_odd_rows(spark, small):
     assert out.count() == 5 and out.where("base_failed").count() == 5
     assert rules.filter_documents(df).columns == df.columns
     assert rules.judge(df.where("false")).count() == 0
+
+
+def test_copies_set_neither_model_nor_band(spark):
+    """One text as two thirds of a language: the others are judged as without its copies."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang = 'en'")
+    few = docs.select("doc_id", "text", "lang").orderBy("doc_id").limit(150).cache()
+    one = few.where(F.length("text") > 1500).orderBy("doc_id").limit(1)
+    copies = one.crossJoin(spark.range(300).withColumnRenamed("id", "n")).select(
+        (F.col("n") + 10_000_000).alias("doc_id"), "text", "lang")
+    plain = {r.doc_id: r for r in rules.judge(few).collect()}
+    out = {r.doc_id: r for r in rules.judge(few.unionByName(copies)).collect()}
+    assert len(out) == len(few.collect()) + 300
+    for i, r in plain.items():
+        assert (out[i].kept, out[i].log_ppl, out[i].low, out[i].high) == (
+            r.kept, r.log_ppl, r.low, r.high)
+    passed = [r for r in plain.values() if not r.base_failed]
+    assert sum(r.kept for r in passed) > 0.8 * len(passed) > 40
+
+
+@pytest.mark.parametrize("copied", [0, 100])
+def test_distinct_texts(spark, copied):
+    rows = [("a", "x"), ("a", "x"), ("b", "x"), ("a", "y"), ("a", None), ("a", ""), ("b", "z z")]
+    out = rules.distinct_texts(spark.createDataFrame(rows, "lang string, text string"), copied)
+    assert sorted(map(tuple, out.collect())) == [
+        ("a", ""), ("a", "x"), ("a", "y"), ("b", "x"), ("b", "z z")]

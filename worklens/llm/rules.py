@@ -1,7 +1,8 @@
 """Quality rules: counted word and line rules, and perplexity bands under a Kneser-Ney model.
 
 The model is a character model of order four per language with modified Kneser-Ney smoothing. Spark
-counts the highest order over every text; the lower orders, the discounts and the weights follow
+counts the highest order over every distinct text of a language; copies are judged like any row but
+set neither model nor band. The lower orders, the discounts and the weights follow
 from those counts by DataFrame aggregations. A gram is four 16-bit text units packed in one 64-bit
 key, so no two grams share a key. The finished model is a set of sorted hash arrays per language and
 order.
@@ -33,6 +34,8 @@ DEVIATIONS, LEAST = 4.5, 0.05
 LEAST_WORDS, MOST_REPEATED = 50, 50
 #: Rows of one per language that may be broadcast.
 LANGUAGES = 10_000
+#: Hashes of repeated texts that may be broadcast: some 50 bytes each, so at most about 25 MB.
+COPIED = 500_000
 
 BEGIN, END = 0x0002, 0x0003
 _SYMBOL = np.zeros(256, dtype=bool)
@@ -349,17 +352,35 @@ def _logp_by_join(docs: DataFrame, table: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("n") * F.col("logp")).alias("logp")))
 
 
+def distinct_texts(docs: DataFrame, copied: int = COPIED) -> DataFrame:
+    """Each (lang, text) once; a NULL text is an empty one.
+
+    Up to ``copied`` repeated texts are told by the broadcast list of their hashes, so that only
+    they are dealt anew and a text that occurs once stays where it is; beyond that all are. Texts
+    that share a hash are compared themselves.
+    """
+    texts = docs.select("lang", F.coalesce("text", F.lit("")).alias("text"))
+    keyed = texts.withColumn("_key", F.xxhash64("text"))
+    again = saved(keyed.groupBy("lang", "_key").agg(F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").drop("n"))
+    if again.limit(copied + 1).count() > copied:
+        return texts.distinct()
+    again = F.broadcast(again)
+    return keyed.join(again, ["lang", "_key"], "left_anti").drop("_key").unionByName(
+        keyed.join(again, ["lang", "_key"], "left_semi").drop("_key").distinct())
+
+
 def score(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     """Counted rules and log perplexity (nats a unit) of every document.
 
-    The model is counted over the same documents, copies included. Up to ``model_rows`` grams it is
-    broadcast as sorted hash arrays; beyond that the grams of the texts are joined with it. Both
-    ways give the same sums.
+    The model is counted over the same documents, each distinct text of a language once. Up to
+    ``model_rows`` grams it is broadcast as sorted hash arrays; beyond that the grams of the texts
+    are joined with it. Both ways give the same sums.
     """
     bounded_batches(docs.sparkSession)
     docs = columns(docs, doc_id="long", text="string", lang="string").withColumns(
         {"lang": F.coalesce("lang", F.lit("")), "text_key": text_key()})
-    table = kneser_ney(count_grams(docs))
+    table = kneser_ney(count_grams(distinct_texts(docs)))
     if table.limit(model_rows + 1).count() <= model_rows:
         scored = _scored(docs, hash_arrays(table))
     else:
@@ -379,14 +400,15 @@ def score(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
 def bands(scored: DataFrame) -> DataFrame:
     """(lang, middle, spread): median log perplexity, and deviation of a text of one unit.
 
-    Both come from histograms of rounded values over the documents that pass the counted rules, so
-    no language is sorted in one task.
+    Both come from histograms of rounded values over the distinct texts that pass the counted rules,
+    so no language is sorted in one task and copies do not move the band.
     """
     def median(values: DataFrame, name: str) -> DataFrame:
         return values.groupBy("lang", "v").agg(F.count(F.lit(1)).alias("n")).groupBy("lang").agg(
             F.expr("percentile(v, 0.5D, n)").alias(name))
 
-    passed = scored.where(~F.col("base_failed"))
+    passed = saved(scored.where(~F.col("base_failed")).groupBy("lang", "text_key").agg(
+        F.min("log_ppl").alias("log_ppl"), F.min("n_grams").alias("n_grams")))
     middle = few_rows(
         saved(median(passed.withColumn("v", F.col("log_ppl")), "middle")), LANGUAGES)
     away = F.abs(F.col("log_ppl") - F.col("middle")) * F.sqrt("n_grams")
