@@ -68,3 +68,15 @@ def test_edges(spark):
     assert urls.judge(df.where("false"), urls.labelled_by_host(df)).count() == 0
     nothing = urls.judge(df, urls.labelled_by_host(df.where("false")))
     assert nothing.count() == 3
+
+
+def test_hosts_of_unseen_suffixes(spark):
+    """Every suffix has one host: what tells hosts apart is their text, not their own label."""
+    rows = [(f"http://{'a-b-' if i % 4 == 0 or i % 40 == 1 else 'abcd'}.s{i:04d}.org/p{i}",
+             float(i % 4 == 0)) for i in range(600)]
+    df = spark.createDataFrame(rows, "url string, label double")
+    new = df.where("substring_index(url, 'p', -1) % 3 = 0")
+    out = urls.judge(new, df.exceptAll(new), rules=(urls.Rule("allow", "none/"),)).collect()
+    hit, false = ([r.verdict == "block" for r in out if r.label == x] for x in (1, 0))
+    assert sum(hit) > 0.9 * len(hit) > 40 and sum(false) < 0.1 * len(false)
+    assert urls.train(df, 50)[1].agg(F.count("suffix"), F.sum("seen")).first() == (600, 600)

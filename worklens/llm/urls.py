@@ -18,7 +18,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from worklens.llm.common import hash_sample, saved
+from worklens.llm.common import few_rows, hash_sample, saved
 
 
 class Rule(NamedTuple):
@@ -42,6 +42,8 @@ SAMPLE = 20_000
 TREES, DEPTH = 15, 4
 #: Blocked share given to a suffix as if seen so many times more.
 PRIOR_ROWS = 20
+#: Rows of suffix statistics that may be broadcast, some 100 bytes each.
+SUFFIXES = 100_000
 
 
 def host_of(url: Column) -> Column:
@@ -111,32 +113,57 @@ def with_parts(pages: DataFrame, url: str = "url") -> DataFrame:
     return pages.withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
 
 
-def with_features(urls: DataFrame, suffixes: DataFrame, url: str = "url") -> DataFrame:
-    """``urls`` (with host and path) with ``features``."""
-    seen = urls.join(suffixes, suffix_of(F.col("host")) == F.col("suffix"), "left")
+def half_of(host: Column) -> Column:
+    """0 or 1, the same for all URLs of a host."""
+    return F.pmod(F.xxhash64(host), F.lit(2))
+
+
+def with_features(urls: DataFrame, suffixes: DataFrame, base: float, url: str = "url",
+                  halves: bool = False) -> DataFrame:
+    """``urls`` (with host and path) with ``features``.
+
+    A suffix without statistics has the share ``base``. With ``halves`` the statistics are those of
+    the hosts in the half that a row's own host is not in.
+    """
+    fits = suffix_of(F.col("host")) == F.col("suffix")
+    if halves:
+        fits = fits & (half_of(F.col("host")) != F.col("half"))
+    seen = urls.join(few_rows(suffixes, SUFFIXES), fits, "left")
     values = lexical_features(F.col(url), F.col("host"), F.col("path")) + [
-        F.coalesce("blocked_share", F.lit(0.0)), F.log1p(F.coalesce("seen", F.lit(0)))]
+        F.coalesce("blocked_share", F.lit(base)), F.log1p(F.coalesce("seen", F.lit(0)))]
     vector = array_to_vector(F.array(*(v.cast("double") for v in values)))
-    return seen.withColumn("features", vector).drop("suffix", "blocked_share", "seen")
+    return seen.withColumn("features", vector).drop("suffix", "half", "blocked_share", "seen")
 
 
 def train(labelled: DataFrame, sample: int = SAMPLE):
-    """(model, suffix statistics) from ``url, label``; the model is NULL without two labels.
+    """(model, suffix statistics, base rate) from ``url, label``.
 
-    The trees are fitted on the distinct URLs among the ``sample`` rows of the smallest hash, the
-    suffix statistics on the same rows, so both are bounded.
+    The model is the label itself where there is one only, and NULL without labels. The trees are
+    fitted on the distinct URLs among the ``sample`` rows of the smallest hash; the statistics cover
+    all rows. A row is fitted with the statistics of the hosts in the other half, counted double to
+    stand for the whole, so that neither it nor its host gives its own label away.
     """
     known = labelled.select("url", "label").where("label is not null")
     rows = saved(with_parts(hash_sample(known, sample, "url").dropDuplicates(["url"])))
-    base = rows.agg(F.avg("label"), F.min("label"), F.max("label")).first()
-    suffixes = saved(rows.groupBy(suffix_of(F.col("host")).alias("suffix")).agg(
-        ((F.sum("label") + PRIOR_ROWS * F.lit(base[0] or 0.0)) / (F.count(F.lit(1)) + PRIOR_ROWS))
-        .alias("blocked_share"), F.count(F.lit(1)).alias("seen")))
-    if base[0] is None or base[1] == base[2]:
-        return base[0], suffixes
+    host = host_of(F.col("url"))
+    counts = saved(known.groupBy(suffix_of(host).alias("suffix"), half_of(host).alias("half")).agg(
+        F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")))
+    n, bad = counts.agg(F.sum("n"), F.sum("bad")).first()
+    base = bad / n if n else 0.0
+
+    def statistics(of: DataFrame) -> DataFrame:
+        share = (F.col("bad") + PRIOR_ROWS * F.lit(base)) / (F.col("n") + PRIOR_ROWS)
+        return saved(of.withColumn("blocked_share", share).withColumnRenamed("n", "seen").drop("bad"))
+
+    suffixes = statistics(counts.groupBy("suffix").agg(
+        F.sum("bad").alias("bad"), F.sum("n").alias("n")))
+    if not n or base in (0.0, 1.0):
+        return (base if n else None), suffixes, base
+    halves = statistics(counts.withColumns({"bad": 2 * F.col("bad"), "n": 2 * F.col("n")}))
     learner = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, labelCol="label",
                             featuresCol="features", stepSize=0.2)
-    return learner.fit(with_features(rows, suffixes).select("features", "label")), suffixes
+    fitted = with_features(rows, halves, base, halves=True)
+    return learner.fit(fitted.select("features", "label")), suffixes, base
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -145,15 +172,15 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[Rule, ...] = RULES
     Columns of these names are replaced.
     """
     made = ("host", "path", "rule", "blocked_score", "verdict", "features", "rawPrediction",
-            "probability", "prediction", "suffix", "blocked_share", "seen", "_matched")
+            "probability", "prediction", "suffix", "half", "blocked_share", "seen", "_matched")
     rest = pages.drop(*made)
     names = [F.col(f"`{c}`") for c in rest.columns]
-    model, suffixes = train(labelled)
+    model, suffixes, base = train(labelled)
     parts = with_parts(rest)
     if model is None or isinstance(model, float):
         scored = parts.withColumn("blocked_score", F.lit(float(model or 0.0)))
     else:
-        scored = model.transform(with_features(parts, suffixes)).withColumn(
+        scored = model.transform(with_features(parts, suffixes, base)).withColumn(
             "blocked_score", vector_to_array("probability")[1])
     method = F.when(F.col("blocked_score") >= 0.5, "block").otherwise("allow")
     matched = scored.withColumn("_matched", matching_rule(F.col("host"), F.col("path"), rules))
