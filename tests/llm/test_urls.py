@@ -80,3 +80,14 @@ def test_hosts_of_unseen_suffixes(spark):
     hit, false = ([r.verdict == "block" for r in out if r.label == x] for x in (1, 0))
     assert sum(hit) > 0.9 * len(hit) > 40 and sum(false) < 0.1 * len(false)
     assert urls.train(df, 50)[1].agg(F.count("suffix"), F.sum("seen")).first() == (600, 600)
+
+
+def test_copies_do_not_fill_the_sample(spark):
+    """A URL with over half of the rows and the smallest hash is one URL of the sample."""
+    rows = [(f"http://{'a-b' if i % 4 == 0 else 'ab'}.s{i % 9}.org/p{i}", float(i % 4 == 0))
+            for i in range(300)]
+    df = spark.createDataFrame(rows, "url string, label double")
+    least = df.orderBy(F.pmod(F.xxhash64("url"), F.lit(1 << 40))).limit(1)
+    model, suffixes, base = urls.train(df.unionByName(least.crossJoin(spark.range(400)).drop("id")), 100)
+    assert model.featureImportances.numNonzeros() > 0
+    assert (base, suffixes.agg(F.sum("seen")).first()[0]) == (0.25, 300)

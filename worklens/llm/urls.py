@@ -138,13 +138,13 @@ def with_features(urls: DataFrame, suffixes: DataFrame, base: float, url: str =
 def train(labelled: DataFrame, sample: int = SAMPLE):
     """(model, suffix statistics, base rate) from ``url, label``.
 
-    The model is the label itself where there is one only, and NULL without labels. The trees are
-    fitted on the distinct URLs among the ``sample`` rows of the smallest hash; the statistics cover
-    all rows. A row is fitted with the statistics of the hosts in the other half, counted double to
+    Copies of a URL with the same label count once. The model is the label itself where there is one
+    only, and NULL without labels. The trees are fitted on the ``sample`` distinct URLs of the
+    smallest hash; the statistics cover all distinct URLs. A row is fitted with the statistics of the hosts in the other half, counted double to
     stand for the whole, so that neither it nor its host gives its own label away.
     """
-    known = labelled.select("url", "label").where("label is not null")
-    rows = saved(with_parts(hash_sample(known, sample, "url").dropDuplicates(["url"])))
+    known = saved(labelled.select("url", "label").where("label is not null").distinct())
+    rows = saved(with_parts(hash_sample(known, sample, "url", "label")))
     host = host_of(F.col("url"))
     counts = saved(known.groupBy(suffix_of(host).alias("suffix"), half_of(host).alias("half")).agg(
         F.sum("label").alias("bad"), F.count(F.lit(1)).alias("n")))
