@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from worklens.llm.common import (
     bounded_batches, columns, few_rows, keep_rows, saved, slices, text_key, utf8,
 )
-from worklens.llm.spans import mix, span_hashes, sums, words_of
+from worklens.llm.spans import distinct_spans, mix, sums, windows, words_of
 
 ORDER = 4
 #: Grams whose arrays may be broadcast: 16 bytes each, so at most 64 MB.
@@ -51,30 +51,27 @@ def base_counts(texts: list[bytes]) -> dict[str, np.ndarray]:
     n_words = np.diff(w.first)
     lead = (w.buf & 0xC0) != 0x80
     chars = np.concatenate(([0], np.cumsum(lead)))
-    hashes = span_hashes(w.buf, w.start, w.end)
+    _, number = distinct_spans(w.buf, w.start, w.end)
     return {
         "n_words": n_words,
         "word_chars": sums(chars[w.end] - chars[w.start], w.first),
         "n_symbols": sums(_SYMBOL[w.buf], w.text_start),
         "n_dup_lines": _repeated_lines(w),
-        "n_repeat_words": _repeated_words(hashes, w.first),
+        "n_repeat_words": _repeated_words(number, w.first),
     }
 
 
-def _repeated_words(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+def _repeated_words(number: np.ndarray, first: np.ndarray) -> np.ndarray:
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    covered = np.zeros(len(hashes), dtype=bool)
-    if len(hashes) > 2:
-        at = np.flatnonzero(text[2:] == text[:-2])
-        window = mix(mix(mix(hashes[at]) + hashes[at + 1]) + hashes[at + 2])
-        window = mix(window + text[at].astype(np.uint64))
-        ordered = np.sort(window)
-        twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
-        if len(twice):
-            place = np.minimum(np.searchsorted(twice, window), len(twice) - 1)
-            again = at[twice[place] == window]
-            for k in range(3):
-                covered[again + k] = True
+    covered = np.zeros(len(number), dtype=bool)
+    at, window = windows(number, text, 3)
+    ordered = np.sort(window)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if len(twice):
+        place = np.minimum(np.searchsorted(twice, window), len(twice) - 1)
+        again = at[twice[place] == window]
+        for k in range(3):
+            covered[again + k] = True
     return sums(covered, first)
 
 
@@ -84,10 +81,10 @@ def _repeated_lines(w) -> np.ndarray:
     worded = np.searchsorted(w.start, end) > np.searchsorted(w.start, start)
     start, end = start[worded], end[worded]
     text = np.searchsorted(w.text_start, start, side="right") - 1
-    key = mix(span_hashes(w.buf, start, end) + text.astype(np.uint64))
-    _, kept = np.unique(key, return_index=True)
-    lines = np.bincount(text, minlength=len(w.text_start) - 1)
-    return lines - np.bincount(text[kept], minlength=len(lines))
+    n_texts = len(w.text_start) - 1
+    _, line = distinct_spans(w.buf, start, end)
+    _, kept = np.unique(line * n_texts + text, return_index=True)
+    return np.bincount(text, minlength=n_texts) - np.bincount(text[kept], minlength=n_texts)
 
 
 # -- model -------------------------------------------------------------------------------------

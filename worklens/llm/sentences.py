@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from worklens.llm.common import bounded_batches, slices
-from worklens.llm.spans import span_hashes
+from worklens.llm.spans import distinct_spans
 from worklens.llm.trie import (
     BYTE, MARK, NORMAL, Vocabulary, best_paths, double_array, lattice, ragged, vocabulary,
 )
@@ -87,7 +87,7 @@ def segments(coder: Coder, texts: list[bytes]) -> Segments:
     inside[np.searchsorted(start, stop)] = False
     start, end = start[inside], end[inside]
     first = np.searchsorted(start, text_start)
-    _, at, used = np.unique(span_hashes(buf, start, end), return_index=True, return_inverse=True)
+    at, used = distinct_spans(buf, start, end)
     length = end[at] - start[at]
     place = np.concatenate(([0], np.cumsum(length + 1)))
     own = np.zeros(int(place[-1]), dtype=np.uint8)
