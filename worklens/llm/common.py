@@ -22,16 +22,26 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` cut from its lineage by a checkpoint in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset (tests on one
-    machine) a temporary one is made.
+    Only where that is unset and all tasks run on this machine (a local master) a temporary one is
+    made; on a cluster a folder of one machine would be an error that shows late, so it shows here.
     """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
+        folder = tempfile.mkdtemp(prefix="worklens-shared-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder.rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` cut from its lineage by a checkpoint in the folder that all executors share."""
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="worklens-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
