@@ -191,23 +191,30 @@ def squares(off: np.ndarray) -> list[int | None]:
 
 
 def _summed(rows: DataFrame, width: int, of: Callable[[np.ndarray], np.ndarray], each: int) -> np.ndarray:
-    """Sum over all vectors of ``of`` their block (each rows of ``width``): a row a task and row."""
+    """Sum over all vectors of ``of`` their block (``each`` rows of ``width``); ``rows`` is saved.
+
+    Each task sends one matrix; groups of about the root of the number of tasks add them up, so
+    neither a group nor the driver holds more than that many.
+    """
+    groups = max(1, int(np.sqrt(rows.rdd.getNumPartitions())))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((each, width))
+        total, seen = np.zeros((each, width)), False
         for batch in batches:
             x = _matrix(batch.column("x")) if batch.num_rows else np.zeros((0, width), np.int64)
             for i in range(0, len(x), BLOCK):
-                total += of(x[i:i + BLOCK])
-        place = np.arange(each * width)
-        yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total.ravel())],
-                                         names=["place", "value"])
-
-    sums = rows.mapInArrow(run, "place long, value double").groupBy("place").agg(
-        F.sum("value").alias("value"))
-    found = sums.toArrow()
-    out = np.zeros(each * width)
-    out[found.column("place").to_numpy()] = found.column("value").to_numpy()
-    return out.reshape(each, width)
+                total, seen = total + of(x[i:i + BLOCK]), True
+        if seen:
+            yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()])], names=["sums"])
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = np.array(table.column("sums").to_pylist()).sum(axis=0)
+        return pa.table({"sums": pa.array([sums.tolist()], pa.list_(pa.float64()))})
+
+    parts = rows.mapInArrow(run, "sums array<double>").withColumn(
+        "part", F.pmod(F.spark_partition_id(), F.lit(groups)))
+    found = parts.groupBy("part").applyInArrow(add, "sums array<double>").collect()
+    return sum((np.array(r["sums"]) for r in found), np.zeros(each * width)).reshape(each, width)
 
 
 class Whitener(NamedTuple):
