@@ -75,9 +75,14 @@ def test_signatures_estimate_similarity():
         for _ in range(60):
             pool = rng.integers(1 << 62, size=n + n // 8, dtype=np.uint64)
             a, b = np.unique(pool[:n]), np.unique(pool[n // 8:])
-            sig = minhash.signatures(np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
+            sig, own = minhash.signatures(
+                np.concatenate((a, b)), np.array([0, len(a), len(a) + len(b)]))
             agree.append((sig[0] == sig[1]).mean())
             true.append(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
+            packed = minhash.packed(sig, own)
+            may, share = minhash.may_link(packed[0], packed[1], len(a), len(b))
+            assert true[-1] < 0.85 or may
+            assert abs(share - true[-1]) < 0.13
         assert abs(np.mean(agree) - np.mean(true)) < 0.05
 
 
@@ -115,7 +120,7 @@ def test_centres_step_aside(spark):
             own = changed(rng, rows[-1][1].split(), 2)
         rows.append((i, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = minhash.components_of(df, rows=1).collect()
+    got = minhash.components_of(df, rows=1, block=7).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(d, c) for d, _, c in plain(rows)]
 
 

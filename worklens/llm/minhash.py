@@ -2,18 +2,18 @@
 
 A text is its set of distinct word shingles. One permutation deals the shingles to bins and each bin
 keeps its smallest value; an empty bin borrows the value of another bin, found by a second hash that
-is the same for every text (optimal densification), so short texts fill all bins too. Bands of bins
-make buckets. In a bucket every member meets only the bucket's centre: a star instead of all pairs.
+is the same for every text (optimal densification), so short texts fill all bins too. Bands of bins make buckets.
 
-A star alone could miss two members that are linked with each other but not with the centre. So
-centres step aside and the rest of a bucket gets new ones, more each round, until its members are one
-component or all have been a centre: no link inside a bucket is lost, and buckets of one component
-(families of copies) are done after one star. Before full sets are compared, a pair must have sizes
-that allow the link and signatures that agree about as often as linked texts do; every link is
-confirmed on the full sets.
+In a bucket every member meets only the bucket's centre, and of its buckets' centres only the one it
+shares most buckets with: a star of one edge a member instead of all pairs. A star alone could miss
+two members that are linked with each other but not with the centre. So where a bucket's members are
+still in several components afterwards, those outside its largest component meet the others, in
+blocks, and only pairs that may be links leave a task: no link inside a bucket is lost, and buckets of
+one component (families of copies) are done after the star. A pair may be a link if its sizes allow it
+and its signatures agree about as often as linked texts do; every link is confirmed on the full sets.
 
 Equal sets are one node from the start. Two texts at the threshold share no bucket with probability
-(1 - 0.85^6)^32 = 3e-7, and fall under the signatures' bound (six deviations) more rarely still.
+(1 - 0.85^6)^32 = 3e-7, and fall under the signatures' bound (five deviations) about as rarely.
 
 Defined results: a NULL or wordless text has an empty set and is linked with nothing; a text of fewer
 words than a shingle is one shingle; equal rows get equal results; a component's id is its smallest
@@ -27,13 +27,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from worklens.llm.common import (
     bounded_batches, columns, few_rows, keep_rows, saved, slices, text_key, utf8,
 )
 from worklens.llm.simhash import components
-from worklens.llm.spans import mix, span_hashes, sums, words_of
+from worklens.llm.spans import mix, span_hashes, words_of
 
 SHINGLE = 3
 #: A link: PERCENT of the union is in both.
@@ -41,11 +41,13 @@ PERCENT = 85
 #: Bins, and those of a band; 8 bits of each bin's value are kept.
 BINS, ROWS = 192, 6
 #: Deviations by which signatures of linked texts may disagree more than expected.
-DEVIATIONS = 6.0
+DEVIATIONS = 5.0
 #: Hashes of texts to compare that may be broadcast: 16 bytes each.
 WANTED = 500_000
-#: New centres of a bucket grow by this factor from round to round.
-GROWTH = 4
+#: Members of a bucket that meet as many others in one task.
+BLOCK = 4096
+#: Rounds in which each member meets only its likeliest partner of another component.
+LIKELIEST = 2
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)
@@ -74,8 +76,9 @@ def shingle_sets(texts: list[bytes], size: int = SHINGLE) -> tuple[np.ndarray, n
     return made, np.searchsorted(text, np.arange(len(texts) + 1))
 
 
-def signatures(hashes: np.ndarray, first: np.ndarray, bins: int = BINS) -> np.ndarray:
-    """One row of ``bins`` values for each set; sets must not be empty."""
+def signatures(hashes: np.ndarray, first: np.ndarray, bins: int = BINS) -> tuple[np.ndarray, np.ndarray]:
+    """One row of ``bins`` values for each set, and which of them are the bin's own, not borrowed;
+    sets must not be empty."""
     n = len(first) - 1
     drawn = mix(hashes + _STEP)
     place = ((drawn >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
@@ -90,7 +93,28 @@ def signatures(hashes: np.ndarray, first: np.ndarray, bins: int = BINS) -> np.nd
         got = flat[donor]
         out[todo] = got
         todo, turn = todo[got == _EMPTY], turn + 1
-    return out.reshape(n, bins)
+    return out.reshape(n, bins), (flat != _EMPTY).reshape(n, bins)
+
+
+def packed(values: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Eight bits of each value, then a bit a bin: its own or borrowed."""
+    return np.hstack(((values & np.uint64(0xFF)).astype(np.uint8), np.packbits(own, axis=1)))
+
+
+def may_link(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray,
+             percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """(whether the packed signatures allow a link, share of bins that agree) of each pair.
+
+    Only bins that either set fills itself count: they are a sample of the union without replacement,
+    so their share is off by less than for borrowed ones, and hardly at all for short texts.
+    """
+    filled_a, filled_b = (np.unpackbits(x[..., BINS:], axis=-1, count=BINS).astype(bool) for x in (a, b))
+    agree = ((a[..., :BINS] == b[..., :BINS]) & filled_a & filled_b).sum(axis=-1)
+    seen = np.maximum((filled_a | filled_b).sum(axis=-1), 1)
+    share = percent / 100
+    union = (n_a + n_b) / (1 + share)
+    variance = share * (1 - share) / seen * np.clip(1 - seen / union, 0.05, 1)
+    return agree >= (share - DEVIATIONS * np.sqrt(variance)) * seen - 1, agree / seen
 
 
 def digests(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -116,8 +140,7 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 n = np.diff(first)
                 hi, lo = digests(hashes, first)
                 full = np.flatnonzero(n)
-                sig = (signatures(hashes, np.append(first[full], len(hashes))) & np.uint64(0xFF)
-                       ).astype(np.uint8) if len(full) else np.zeros((0, BINS), np.uint8)
+                sig = packed(*signatures(hashes, np.append(first[full], len(hashes))))
                 sigs: list[bytes | None] = [None] * (b - a)
                 for i, row in zip(full.tolist(), sig):
                     sigs[i] = row.tobytes()
@@ -152,19 +175,19 @@ def _agreeing():
 
 
 def plausible(pairs: DataFrame, nodes: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """(a, b, agree) of the pairs whose sizes allow a link and whose signatures do not speak against it."""
+    """(a, b), a below b, of the pairs whose sizes and signatures allow a link."""
     one, other = (nodes.select(F.col("id").alias(c), F.col("n").alias(f"n_{c}"),
                                F.col("sig").alias(f"sig_{c}")) for c in "ab")
-    met = pairs.join(one, "a").join(other, "b")
     small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    share = percent / 100
-    # borrowed values and short texts leave fewer independent bins than there are
-    independent = F.least(small, F.lit(BINS)) / 2.5
-    least = BINS * (share - DEVIATIONS * F.sqrt(F.lit(share * (1 - share)) / independent))
-    agree = _agreeing()("sig_a", "sig_b")
-    return met.where(100 * small >= percent * large).select(
-        "a", "b", agree.alias("agree"), least.alias("least")).where(
-        F.col("agree") >= F.col("least")).select("a", "b", "agree")
+
+    @F.arrow_udf("boolean")
+    def agree(a: pa.Array, b: pa.Array, n_a: pa.Array, n_b: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint8).reshape(len(c), -1) for c in (a, b))
+        return pa.array(may_link(x, y, n_a.to_numpy(), n_b.to_numpy(), percent)[0])
+
+    met = pairs.join(one, "a").join(other, "b").where(100 * small >= percent * large)
+    return met.where(agree("sig_a", "sig_b", "n_a", "n_b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 def full_sets(wanted: DataFrame, docs: DataFrame, size: int = SHINGLE) -> DataFrame:
@@ -203,63 +226,109 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = S
     return saved(met.where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
+def merged(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """(id, root) after ``links`` (saved) join what ``roots`` keeps apart; ids that are roots are left
+    out. Only the links between components are looked at."""
+    if roots is None:
+        return saved(components(links).withColumnRenamed("point", "id"))
+    above = saved(components(_apart(links, roots).select(
+        F.col("root_a").alias("a"), F.col("root_b").alias("b"))))
+    moved = roots.join(above.select(F.col("point").alias("root"), F.col("root").alias("_up")), "root",
+                       "left").select("id", F.coalesce("_up", "root").alias("root"))
+    return saved(moved.unionByName(above.withColumnRenamed("point", "id")))
+
+
+def _rooted(table: DataFrame, roots: DataFrame | None, column: str, name: str) -> DataFrame:
+    if roots is None:
+        return table.withColumn(name, F.col(column))
+    own = roots.select(F.col("id").alias(column), F.col("root").alias("_root"))
+    return table.join(own, column, "left").withColumn(name, F.coalesce("_root", column)).drop("_root")
+
+
+def _apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
+    return _rooted(_rooted(pairs, roots, "a", "root_a"), roots, "b", "root_b").where("root_a != root_b")
+
+
+def across(live: DataFrame, nodes: DataFrame, percent: int = PERCENT, block: int = BLOCK,
+           likeliest: bool = False) -> DataFrame:
+    """(a, b): pairs of a bucket's members from different components that sizes and signatures allow;
+    with ``likeliest`` only the best partner of each member.
+
+    ``live`` is (key, id, root). Any such pair has a member outside the bucket's largest component, so
+    those members meet all, in blocks; only pairs that may be links leave a task.
+    """
+    sizes = live.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
+        F.max_by("root", F.struct("m", "root")).alias("largest"), F.sum("m").alias("all"),
+        F.max("m").alias("most"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    sizes = sizes.select(
+        "key", "largest", F.ceil(F.col("all") / block).cast("int").alias("k_all"),
+        F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("k_few"))
+    rows = live.join(saved(sizes), "key").join(nodes.select("id", "n", "sig"), "id")
+    own = F.xxhash64("id")
+
+    def dealt(table: DataFrame, side: int, into: str, times: str) -> DataFrame:
+        mine = F.pmod(own, F.col(into)).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col(times) - 1))
+        p, q = (mine, other) if side == 0 else (other, mine)
+        return table.select("key", "id", "root", "n", "sig", F.lit(side).cast("byte").alias("side"),
+                            p.alias("p"), q.alias("q"))
+
+    met = dealt(rows.where("root != largest"), 0, "k_few", "k_all").unionByName(
+        dealt(rows, 1, "k_all", "k_few"))
+
+    def match(key, table):
+        side = table.column("side").to_numpy()
+        ids, root, n = (table.column(c).to_numpy() for c in ("id", "root", "n"))
+        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+        few, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        a, b, m = [], [], []
+        for i in few.tolist():
+            small, large = np.minimum(n[i], n[every]), np.maximum(n[i], n[every])
+            to = every[(root[every] != root[i]) & (100 * small >= percent * large)]
+            may, agree = may_link(sig[to], sig[i], n[to], n[i], percent)
+            to, agree = to[may], agree[may]
+            if likeliest and len(to):
+                best = np.lexsort((ids[to], -agree))[:1]
+                to, agree = to[best], agree[best]
+            a.append(np.full(len(to), ids[i]))
+            b.append(ids[to])
+            m.append(agree)
+        none = np.zeros(0, dtype=np.int64)
+        return pa.table({"a": np.concatenate(a or [none]), "b": np.concatenate(b or [none]),
+                         "m": np.concatenate(m or [none]).astype(np.float64)})
+
+    found = met.groupBy("key", "p", "q").applyInArrow(match, "a long, b long, m double")
+    if likeliest:
+        found = found.groupBy("a").agg(F.max_by("b", F.struct("m", -F.col("b"))).alias("b"))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def linked_roots(nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
-                 rows: int = ROWS) -> DataFrame:
-    """(id, root) of every node (saved) that has a link; roots are the components' smallest ids."""
+                 rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+    """(id, root) of every node (saved) that is linked to a smaller id, its component's root."""
     every = buckets(nodes, rows)
-    # equal keys make a bucket; the smallest id is its first centre
-    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("centre")).where(
-        F.col("n") > 1)
-    live = saved(every.join(shared.select("key", "centre"), "key").select("key", "id", "centre"))
-    pairs = live.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b"))
-    live = live.where("id != centre").select("key", "id")
-    links = roots = None
-
-    def with_roots(table: DataFrame, column: str) -> DataFrame:
-        if roots is None:
-            return table.withColumn(f"root_{column}", F.col(column))
-        own = roots.select(F.col("id").alias(column), F.col("root").alias("_root"))
-        return table.join(own, column, "left").withColumn(
-            f"root_{column}", F.coalesce("_root", column)).drop("_root")
-
-    def apart(table: DataFrame) -> DataFrame:
-        return with_roots(with_roots(table, "a"), "b").where("root_a != root_b").drop("root_a", "root_b")
-
-    def link(table: DataFrame) -> None:
-        """Confirms the pairs and joins what they link."""
-        nonlocal links, roots
-        if not table.limit(1).count():
-            return
-        new = confirmed(table, nodes, docs, size, percent)
-        links = new if links is None else links.unionByName(new)
+    # equal keys make a bucket; the smallest id is its centre
+    shared = every.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("id").alias("centre")).where(
+        F.col("m") > 1)
+    live = saved(every.join(shared.select("key", "centre"), "key"))
+    # of its centres each member takes the one it shares most buckets with: one edge a member
+    star = live.where("id != centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("m"))
+    star = star.groupBy("id").agg(F.max_by("centre", F.struct("m", -F.col("centre"))).alias("a"))
+    star = star.select("a", F.col("id").alias("b"))
+    found = saved(plausible(star, nodes, percent))
+    roots = merged(None, confirmed(found, nodes, docs, size, percent))
+    for last in [False] * LIKELIEST + [True]:
+        placed = saved(_rooted(live.select("key", "id"), roots, "id", "root"))
+        # families grow together by one edge a member before all pairs that are left are compared
+        left = saved(across(placed, nodes, percent, block, not last))
+        new = confirmed(left, nodes, docs, size, percent)
         if new.limit(1).count():
-            roots = saved(components(links).withColumnsRenamed({"point": "id"}))
-
-    centres = 1
-    while True:
-        found = saved(plausible(apart(pairs.distinct()), nodes, percent))
-        # the likeliest partner of each node first: most of what is linked needs no other
-        best = found.groupBy("b").agg(F.max_by("a", F.struct("agree", -F.col("a"))).alias("a"))
-        link(saved(best.select("a", "b")))
-        link(saved(apart(found.select("a", "b"))))
-        # buckets whose other members are still in several components get new centres
-        placed = with_roots(live, "id")
-        open_keys = placed.groupBy("key").agg(
-            F.min("root_id").alias("low"), F.max("root_id").alias("high")).where("low != high")
-        live = saved(placed.join(open_keys.select("key"), "key").select("key", "id"))
-        if not live.limit(1).count():
-            return roots if roots is not None else live.select("id", F.col("id").alias("root"))
-        rank = Window.partitionBy("key").orderBy("id")
-        chosen = saved(live.withColumn("_rank", F.row_number().over(rank)).where(
-            F.col("_rank") <= centres).select("key", F.col("id").alias("centre")))
-        pairs = live.join(chosen, "key").where("id != centre").select(
-            F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))
-        live = live.join(chosen.withColumnRenamed("centre", "id"), ["key", "id"], "left_anti")
-        centres *= GROWTH
+            roots = merged(roots, new)
+    return roots
 
 
 def components_of(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
-                  rows: int = ROWS) -> DataFrame:
+                  rows: int = ROWS, block: int = BLOCK) -> DataFrame:
     """(doc_id, text_key, n, root, component_id) of every row; ``root`` is NULL for empty sets."""
     own = saved(described(docs, size))
     nodes = own.where("n > 0").groupBy("hi", "lo").agg(
@@ -267,7 +336,7 @@ def components_of(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
         F.min("doc_id").alias("least"))
     # numbers instead of digests: fixed once saved
     nodes = saved(nodes.withColumn("id", F.monotonically_increasing_id()))
-    roots = linked_roots(nodes, docs, size, percent, rows)
+    roots = linked_roots(nodes, docs, size, percent, rows, block)
     named = nodes.select("hi", "lo", "id", "least").join(roots, "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
