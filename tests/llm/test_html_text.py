@@ -5,6 +5,8 @@ from html import unescape
 
 import pytest
 
+from hypothesis import given, settings, strategies as st
+
 from worklens.llm import html_text
 
 LONG = "Words of an article that go on for quite a while, as the sentences of articles do."
@@ -68,3 +70,59 @@ def test_edges(spark, nodes):
     assert out[1].text == out[2].text == "" and out[3].n_chars == 50_000 * 15 - 1
     assert html_text.extract(df, nodes).count() == 5
     assert html_text.extract(df.where("false"), nodes).count() == 0
+
+
+def said(page):
+    return "\n".join(b.text for b in html_text.blocks(page))
+
+
+def test_stray_quotes_hide_nothing():
+    assert said("<p title=it's>First words here.</p><p>Don't stop.</p><p>End.</p>") == (
+        "First words here.\nDon't stop.\nEnd.")
+    assert said("<p data-x=5\">One</p><p>\"Two\"</p>") == 'One\n"Two"'
+    assert said("<p title=\"a > b\">One</p><p 'x>Two</p><p a='never>Three") == "One\nTwo\nThree"
+    assert said("<p a=b=\"c>One</p><p>\"</p>") == 'One\n"'
+    assert said("<!-->One<!-- a > b --!>Two") == "OneTwo"
+
+
+def test_inline_elements_that_are_not_seen():
+    assert said("<p>a<span style='display: none'>hid</span>b") == "ab"
+    assert said("<p>a <span class=ad>Buy <span>now</span></span> b") == "a b"
+    assert said("<p>a <b class=x hidden>no</b>b <i aria-hidden=true>no") == "a b"
+    assert said("<div>a <span hidden>no<p>no</p></span>b</div><p>c") == "a\nb\nc"
+    assert said("<div>a <span hidden>never closed</div><p>b") == "a\nb"
+    assert said("<div class=x hidden>no</div><p data-hidden=1>yes") == "yes"
+
+
+def test_any_depth():
+    deep = "<div>" * 5000
+    assert said(deep + "<div hidden>no</div>yes" + "</div>" * 5000 + "<p>end") == "yes\nend"
+    found = html_text.blocks(deep + "<nav><p>menu</nav><p>text")
+    assert [b.boilerplate for b in found] == [1, 0]
+    html_text.blocks(deep + "</x>" * 200_000)  # linear: an unopened name is not looked for
+
+
+ATTRIBUTES = st.sampled_from(
+    ["", " a=1", " a='>'", ' a="<p>"', " a=it's", ' a=5"', ' "', " '", " a = 'x y'", " a=b=\"c",
+     " a", "/", " a='x'b"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(
+    st.sampled_from(["one", "two ", " 3 < 4", "it's", 'say "so"', "&amp;", "<!-- no > -->", "a=b"]),
+    st.builds(lambda n, a: f"<{n}{a}>", st.sampled_from("p div b span li h1 section".split()),
+              ATTRIBUTES),
+    st.builds(lambda n: f"</{n}>", st.sampled_from("p div b span li h1 section".split())))))
+def test_text_of_random_markup(parts):
+    """The same characters in the same order as the standard library's parser reports."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def handle_data(self, data):
+            seen.append(data)
+
+    page, seen = "".join(parts) + " ", []
+    parser = Plain()
+    parser.feed(page)
+    parser.close()
+    assert "".join(said(page).split()) == "".join("".join(seen).split())

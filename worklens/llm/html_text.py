@@ -6,7 +6,9 @@ class, id or role names a menu, footer, sidebar, notice, advert, form or comment
 trained by Spark on the small labelled pages below, keeps or drops each block.
 
 Defined results: a NULL page is an empty page and gives an empty text; malformed markup never fails
-(an unclosed comment, script or tag hides the rest of the page, as in a browser); inside a block
+(an unclosed comment, script or tag hides the rest of the page, as in a browser; a quote that opens
+no value or is never closed hides nothing); elements may be nested to any depth; hidden inline
+elements and inline adverts are left out of their block, other inline elements belong to it; inside a block
 white space becomes one space and character references are decoded; kept blocks are joined by one
 line feed; equal pages give equal texts; other columns pass through; no rows give no rows.
 """
@@ -14,6 +16,7 @@ line feed; equal pages give equal texts; other columns pass through; no rows giv
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -48,10 +51,18 @@ BAD_WORDS = frozenset(
     "complementary".split())
 GOOD_WORDS = frozenset("article content post entry story main body text".split())
 
+#: names of inline elements that are adverts; other inline elements belong to their block
+ADVERT_WORDS = frozenset(
+    "ad ads adv advert advertisement advertising adbox sponsor sponsored promo promotion".split())
+
+# a quote opens a value only right after the equals sign; elsewhere, and where it is never closed,
+# it is an ordinary character
+_VALUE = r"\"[^\"]*+\"|'[^']*+'|[^\s\"'>][^\s>]*+"
 _MARKUP = re.compile(
     r"<(?:!--(?P<comment>)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)"
-    r"(?P<rest>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|[!?/][^>]*>)")
-_ATTRIBUTE = re.compile(r"([a-zA-Z-]+)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)")
+    rf"(?P<rest>(?:[^>=]++|=\s*+(?:{_VALUE})?+)*+)>|[!?/][^>]*>)")
+_ATTRIBUTE = re.compile(rf"([^\s/>=]+)(?:\s*=\s*({_VALUE})?)?")
+_COMMENT_END = re.compile("--!?>")
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -80,6 +91,8 @@ def blocks(html: str) -> list[Block]:
     """The page's text blocks in order, hidden elements left out. Linear in the page."""
     found: list[Block] = []
     stack = [_Element("", 0, 0, 0, 0, False, None)]
+    opened: Counter[str] = Counter()  # how many of each name are on the stack
+    muted: list | None = None  # inline element whose text is left out: name, depth in it, stack size
     texts: list[str] = []
     linked: list[str] = []
     in_link = False
@@ -103,7 +116,7 @@ def blocks(html: str) -> list[Block]:
         if tag is None:  # text up to the end, or up to a tag that is never closed
             cut = re.search(r"<[a-zA-Z/!?]", text)
             text = text[:cut.start()] if cut else text
-        if text and not stack[-1].hidden:
+        if text and not stack[-1].hidden and muted is None:
             texts.append(text)
             if in_link:
                 linked.append(text)
@@ -111,8 +124,8 @@ def blocks(html: str) -> list[Block]:
             break
         at = tag.end()
         if tag["comment"] is not None:
-            end = html.find("-->", at)
-            at = len(html) if end < 0 else end + 3
+            end = _COMMENT_END.search(html, tag.start() + 2)
+            at = end.end() if end else len(html)
             continue
         if tag["name"] is None:
             continue
@@ -122,14 +135,24 @@ def blocks(html: str) -> list[Block]:
                 in_link = not tag["close"]
             if name == "br":
                 texts.append(" ")
+            elif muted is not None and muted[0] == name:
+                muted[1] += -1 if tag["close"] else 1
+                if not muted[1]:
+                    muted = None
+            elif muted is None and not tag["close"] and name not in VOID and _unseen(tag["rest"]):
+                muted = [name, 1, len(stack)]
             continue
         flush()
         in_link = False
         if tag["close"]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].name == name:
-                    del stack[depth:]
-                    break
+            if opened[name]:
+                while True:
+                    last = stack.pop().name
+                    opened[last] -= 1
+                    if last == name:
+                        break
+                if muted is not None and len(stack) < muted[2]:
+                    muted = None  # ends with the block it was opened in
             continue
         if name in RAW and not tag["rest"].endswith("/"):
             lower = html.lower() if lower is None else lower
@@ -142,16 +165,41 @@ def blocks(html: str) -> list[Block]:
             continue
         if name in VOID or tag["rest"].endswith("/"):
             continue
-        if name in ("p", "li", "td", "th", "tr", "dt", "dd") and stack[-1].name == name:
-            stack.pop()
-        elif stack[-1].name == "p":
-            stack.pop()
-        if len(stack) < 1000:  # deeper elements count as part of the last one
-            stack.append(_opened(name, tag["rest"], stack[-1]))
+        if (name in ("p", "li", "td", "th", "tr", "dt", "dd") and stack[-1].name == name
+                or stack[-1].name == "p"):
+            opened[stack.pop().name] -= 1
+            if muted is not None and len(stack) < muted[2]:
+                muted = None
+        stack.append(_opened(name, tag["rest"], stack[-1]))
+        opened[name] += 1
     flush()
     return found
 
 
+def _attributes(rest: str) -> dict[str, str]:
+    """Names in lower case and values of a tag; the first of equal names counts."""
+    said: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(rest):
+        bare = value[1:-1] if value[:1] in ("'", '"') else value
+        said.setdefault(name.lower(), bare.lower())
+    return said
+
+
+def _is_hidden(said: dict[str, str]) -> bool:
+    return ("hidden" in said or said.get("aria-hidden") == "true"
+            or "display:none" in said.get("style", "").replace(" ", ""))
+
+
+def _named(said: dict[str, str]) -> set[str]:
+    return set(_WORD.findall(" ".join(said.get(k, "") for k in ("class", "id", "role"))))
+
+
+def _unseen(rest: str) -> bool:
+    """Whether an inline element is hidden or an advert."""
+    said = _attributes(rest) if rest.strip() else {}
+    return bool(said) and (_is_hidden(said) or bool(_named(said) & ADVERT_WORDS))
+
+
 def _opened(name: str, rest: str, above: _Element) -> _Element:
     boilerplate, good, hidden, label = above.boilerplate, above.good, above.hidden, above.label
     article = above.article or int(name in ARTICLE)
@@ -159,17 +207,14 @@ def _opened(name: str, rest: str, above: _Element) -> _Element:
         boilerplate = 1
     if name in HIDDEN:
         hidden = True
-    if "=" in rest:
-        said = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(rest)}
+    if rest.strip():
+        said = _attributes(rest)
         if name not in ("html", "body"):
-            words = set(_WORD.findall(" ".join(said.get(k, "") for k in ("class", "id", "role"))))
+            words = _named(said)
             boilerplate = int(boilerplate or (bool(words & BAD_WORDS) and name not in ARTICLE))
             good = int(good or bool(words & GOOD_WORDS))
-        hidden = hidden or "display:none" in said.get("style", "").replace(" ", "")
-        hidden = hidden or said.get("aria-hidden") == "true"
+        hidden = hidden or _is_hidden(said)
         label = said.get("data-keep", label)
-    elif " hidden" in rest:
-        hidden = True
     return _Element(name, article, boilerplate, int(above.heading or name in HEADING), good, hidden,
                     label)
 
