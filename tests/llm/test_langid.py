@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from worklens.llm import langid, sentences
+from worklens.llm.common import hash_sample_by
 
 
 @pytest.fixture(scope="module")
@@ -82,3 +83,22 @@ def test_edges(spark):
     assert kept.columns == df.columns and kept.where("doc_id in (2, 3, 4)").count() == 0
     unlabelled = df.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.identify(unlabelled).collect()} == {"und"}
+
+
+def test_only_letters_are_letters():
+    assert langid.words_of("½ ² ³ Ⅷ ٣ _ 12") == []
+    assert langid.words_of("a½b Élan x_y ǅ 日本") == ["a", "b", "élan", "x", "y", "ǆ", "日本"]
+
+
+def test_repeated_rows_change_nothing(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    many = df.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(10)))).drop("n")
+    one = {(r.doc_id, r.lang_pred, r.score) for r in langid.identify(df).collect()}
+    assert one == {(r.doc_id, r.lang_pred, r.score) for r in langid.identify(many).collect()}
+
+
+def test_repeats_leave_the_sample_whole(spark):
+    base = spark.range(4000).select(F.lit("x").alias("g"), F.col("id").alias("k"))
+    for times in (1, 5, 20):
+        many = base.withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(times)))).drop("n")
+        assert hash_sample_by(many, "g", 300, "k").count() == 300

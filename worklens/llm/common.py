@@ -66,13 +66,19 @@ def _hash(keys) -> Column:
     return F.pmod(F.xxhash64(*(F.col(k) for k in keys)), F.lit(_HASHES))
 
 
+def _distinct(keys) -> Column:
+    """About how many different keys there are: repeats must not narrow the share a filter leaves."""
+    return F.approx_count_distinct(F.xxhash64(*(F.col(k) for k in keys)), 0.02)
+
+
 def hash_sample(df: DataFrame, size: int, *keys: str) -> DataFrame:
-    """At most ``size`` rows, those of the smallest hash of ``keys``.
+    """At most ``size`` rows, those of the smallest hash of ``keys``; ``keys`` do not repeat.
 
     A filter on the hash leaves about twice as many first, so what is sorted does not grow with the
     table, nor with the number of tasks.
     """
-    share = min(_HASHES, 2 * size * _HASHES // max(1, df.count()))
+    rows = df.agg(_distinct(keys).alias("n")).first()["n"]
+    share = min(_HASHES, 2 * size * _HASHES // max(1, rows))
     return df.where(_hash(keys) < share).orderBy(_hash(keys), *keys).limit(size)
 
 
@@ -81,11 +87,11 @@ def hash_sample_by(df: DataFrame, group: str, size: int, *keys: str) -> DataFram
 
     The driver holds one count a group: only for columns of few values, such as languages.
     """
-    counts = df.groupBy(group).count().collect()
+    counts = df.groupBy(group).agg(_distinct(keys).alias("n")).collect()
     if not counts:
         return df
     shares = [x for r in counts for x in (
-        F.lit(r[0]), F.lit(min(_HASHES, 2 * size * _HASHES // max(1, r["count"]))))]
+        F.lit(r[0]), F.lit(min(_HASHES, 2 * size * _HASHES // max(1, r["n"]))))]
     few = df.where(_hash(keys) < F.create_map(*shares)[F.col(group)])
     rest = [c for c in df.columns if c != group and c not in keys]
     few = few.groupBy(group, *keys).agg(*(F.first(c).alias(c) for c in rest)) if rest else (
@@ -117,16 +123,19 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def keep_rows(df: DataFrame, decided: DataFrame) -> DataFrame:
-    """Rows of ``df`` whose (doc_id, text) is among ``decided``; NULLs match and repeats stay.
+def keep_rows(df: DataFrame, decided: DataFrame, *same: str) -> DataFrame:
+    """Rows of ``df`` whose (doc_id, text) and columns ``same`` are among ``decided``; NULLs match and
+    repeats stay.
 
     ``decided`` has ``doc_id`` and ``text_key`` (:func:`text_key`), a few bytes a row: no id or text
     goes through the driver, and two rows that share an id but not the text are told apart.
     """
-    keys = decided.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return df.join(
-        keys, F.col("doc_id").eqNullSafe(F.col("_id")) & text_key().eqNullSafe(F.col("_key")),
-        "left_semi")
+    keys = decided.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"),
+                          *(F.col(c).alias(f"_same_{c}") for c in same)).distinct()
+    matched = F.col("doc_id").eqNullSafe(F.col("_id")) & text_key().eqNullSafe(F.col("_key"))
+    for c in same:
+        matched = matched & F.col(c).eqNullSafe(F.col(f"_same_{c}"))
+    return df.join(keys, matched, "left_semi")
 
 
 def text_key() -> Column:

@@ -15,6 +15,8 @@ language under equal priors.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -37,7 +39,10 @@ REMEMBERED = 200_000
 #: Distinct words put into one lattice.
 LATTICE_WORDS = 20_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Characters of words that are no letters (Unicode categories L*): fractions, Roman numerals and such.
+_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
+                    if c.isalnum() and not unicodedata.category(c).startswith("L"))
+_LETTERS = re.compile(rf"[^\W_{_NUMERALS}]+")
 
 
 def words_of(text: str) -> list[str]:
