@@ -141,3 +141,31 @@ def test_distinct_texts(spark, copied):
     out = rules.distinct_texts(spark.createDataFrame(rows, "lang string, text string"), copied)
     assert sorted(map(tuple, out.collect())) == [
         ("a", ""), ("a", "x"), ("a", "y"), ("b", "x"), ("b", "z z")]
+
+
+def test_null_language_is_its_own(spark):
+    docs = spark.createDataFrame(
+        [(1, "a b", None), (2, "c d", ""), (3, "e f", "="), (4, "g h", "en")],
+        "doc_id long, text string, lang string")
+    assert rules.score(docs).select("lang").distinct().count() == 4
+
+
+def test_filter_goes_by_language(spark):
+    """Equal rows of another language are judged by their own band."""
+    rng = np.random.default_rng(8)
+
+    def text(alphabet):
+        return " ".join("".join(rng.choice(list(alphabet), size=5)) for _ in range(80))
+
+    ours = [text("abcdefgh") for _ in range(40)]
+    theirs = [text("stuvwxyz") for _ in range(40)]
+    rows = [(i, t, "one") for i, t in enumerate(ours)]
+    rows += [(100 + i, t, None) for i, t in enumerate(theirs)]
+    rows += [(0, ours[0], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = rules.filter_documents(docs)
+    assert kept.columns == docs.columns
+    judged = {(r.doc_id, r.lang): r.kept for r in rules.judge(docs).collect()}
+    assert judged[0, "=one"] and not judged[0, ""]
+    assert sorted((r.doc_id, r.lang is None) for r in kept.collect()) == sorted(
+        (d, lang == "") for (d, lang), k in judged.items() if k)

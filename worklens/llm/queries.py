@@ -64,13 +64,15 @@ def op8(table) -> DataFrame:
 
 @query("op10_mixing")
 def op10(table) -> DataFrame:
-    return mixing.mix(table("documents")).drop("row_hash", "source")
+    return mixing.mix(table("documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
 @query("op1_url_filter")
 def op1(table) -> DataFrame:
     pages = table("pages").select("page_id", "url")
-    return urls.judge(pages, urls.labelled_by_host(pages)).drop("url")
+    return urls.judge(pages, urls.labelled_by_host(pages)).select(
+        "page_id", "host", "path", "rule", "verdict", "blocked_score")
 
 
 @query("op5_html_extraction")

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from worklens.llm.common import (
     bounded_batches, columns, few_rows, keep_rows, saved, slices, text_key, utf8,
@@ -367,6 +367,11 @@ def distinct_texts(docs: DataFrame, copied: int = COPIED) -> DataFrame:
         keyed.join(again, ["lang", "_key"], "left_semi").drop("_key").distinct())
 
 
+def language_key() -> Column:
+    """The language with a mark before it; NULL is a language of its own, not the empty one."""
+    return F.coalesce(F.concat(F.lit("="), F.col("lang").cast("string")), F.lit(""))
+
+
 def score(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     """Counted rules and log perplexity (nats a unit) of every document.
 
@@ -376,7 +381,7 @@ def score(docs: DataFrame, model_rows: int = MODEL_ROWS) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     docs = columns(docs, doc_id="long", text="string", lang="string").withColumns(
-        {"lang": F.coalesce("lang", F.lit("")), "text_key": text_key()})
+        {"lang": language_key(), "text_key": text_key()})
     table = kneser_ney(count_grams(distinct_texts(docs)))
     if table.limit(model_rows + 1).count() <= model_rows:
         scored = _scored(docs, hash_arrays(table))
@@ -427,4 +432,6 @@ def judge(docs: DataFrame, deviations: float = DEVIATIONS, least: float = LEAST)
 
 def filter_documents(docs: DataFrame) -> DataFrame:
     """The documents that the counted rules and the bands keep, with all their columns."""
-    return keep_rows(docs, judge(docs).where("kept"))
+    keyed = docs.withColumn("_language", language_key())
+    kept = judge(docs).where("kept").withColumnRenamed("lang", "_language")
+    return keep_rows(keyed, kept, "_language").drop("_language")
