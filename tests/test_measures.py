@@ -274,6 +274,27 @@ def test_reconciliation_of_blank_numbers(spark):
         "x": True, "y": False, "z": False}
 
 
+def test_reconciliation_per_role(spark, model):
+    """Data tampered with in one role: only that role's rows and the total disagree."""
+    ours = crosscheck.role_values(model)
+    agreed = reconcile(ours, crosscheck.independent_roles(spark, model), ["papel"])
+    assert {r["papel"] for r in agreed.collect()} == {"A", "B", "C", None}
+    assert agreed.count() == 4 * len(crosscheck.ROLE_NAMES)
+    other = model.replacing({"fato_tarefa": lambda: model["fato_tarefa"].withColumn(
+        "horas_apontadas", F.expr("horas_apontadas + if(projeto_id = 'P3', 1, 0)"))})
+    before = {(r["papel"], r["medida"]) for r in agreed.where("NOT confere").collect()}
+    after = {(r["papel"], r["medida"]) for r in reconcile(
+        ours, crosscheck.independent_roles(spark, other), ["papel"]).where("NOT confere").collect()}
+    changed = after - before
+    assert {papel for papel, _ in changed} == {"B", None}
+    assert {m for papel, m in changed if papel == "B"} == {
+        "Horas Apontadas", "% Orçamento Consumido"}
+    missing = ours.where("NOT (papel <=> 'A' AND medida = 'Projetos')")
+    lost = reconcile(missing, crosscheck.independent_roles(spark, model), ["papel"]).where(
+        "NOT confere AND medida = 'Projetos'").collect()
+    assert [r["papel"] for r in lost] == ["A"]
+
+
 def test_roles_in_one_evaluation_equal_each_role_alone(model):
     names = ["Projetos", "Tarefas", "Tarefas Abertas", "Mudanças de Status"]
     together = values(measure(model, names, ["dim_projeto.portfolio"]))

@@ -59,15 +59,21 @@ def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     )
 
 
-def reconcile(ours: DataFrame, independent: DataFrame) -> DataFrame:
+def reconcile(
+    ours: DataFrame, independent: DataFrame, keys: Sequence[str] = ()
+) -> DataFrame:
     """Two definitions of the same measures, side by side.
 
     Both hold ``medida, valor, texto``; numbers agree within max(0.006, 1e-6 of the value), texts
     exactly. A measure missing on one side, or blank where the other has a value, does not agree.
+    ``keys`` are further columns that say whose values they are, such as the role; NULL is a key of
+    its own (the total).
     """
-    a = ours.select("medida", F.col("valor").alias("valor_a"), F.col("texto").alias("texto_a"))
+    by = [*keys, "medida"]
+    a = ours.select(*by, F.col("valor").alias("valor_a"), F.col("texto").alias("texto_a"))
     b = independent.select(
-        "medida", F.col("valor").alias("valor_b"), F.col("texto").alias("texto_b")
+        *[F.col(c).alias(f"_{c}") for c in by],
+        F.col("valor").alias("valor_b"), F.col("texto").alias("texto_b"),
     )
     close = F.abs(F.col("valor_a") - F.col("valor_b")) <= F.greatest(
         F.lit(0.006), F.abs("valor_b") * 1e-6
@@ -75,6 +81,9 @@ def reconcile(ours: DataFrame, independent: DataFrame) -> DataFrame:
     agrees = F.when(F.col("valor_b").isNotNull(), close).otherwise(
         F.col("valor_a").isNull() & F.col("texto_a").eqNullSafe(F.col("texto_b"))
     )
-    both = a.withColumn("_a", F.lit(True)).join(b.withColumn("_b", F.lit(True)), "medida", "full")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    both = a.withColumn("_a", F.lit(True)).join(b.withColumn("_b", F.lit(True)), same, "full")
     present = F.col("_a").isNotNull() & F.col("_b").isNotNull()
-    return both.withColumn("confere", present & F.coalesce(agrees, F.lit(False))).drop("_a", "_b")
+    return both.select(
+        *[F.coalesce(c, f"_{c}").alias(c) for c in by], "valor_a", "texto_a", "valor_b", "texto_b",
+        (present & F.coalesce(agrees, F.lit(False))).alias("confere"))

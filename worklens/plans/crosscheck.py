@@ -5,50 +5,56 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from worklens.plans.gold import Model
-from worklens.plans.measures import long_form
+from worklens.plans.measures import long_form, measure
 
-PROJECTS = """
+PROJECT_ROWS = """
 WITH p AS (
   SELECT *, etapa <> 'Concluído' AND situacao = 'Ativo' AND etiquetas NOT LIKE '%Em espera%' AS vivo,
          coalesce(data_limite < (SELECT max(data_referencia) FROM {ref}), false) AS passou,
          coalesce(data_conclusao <= data_limite, false) AS cumpriu
   FROM {projects}
-)
-SELECT count(projeto_id) AS `Projetos`,
-       count_if(vivo) AS `Projetos Ativos`,
-       count_if(vivo AND etapa <> 'Planejamento') AS `Projetos em Execução`,
-       count_if(situacao = 'Concluído') AS `Projetos Concluídos`,
-       count_if(vivo AND passou) AS `Projetos Atrasados`,
-       try_divide(count_if(vivo AND passou), count_if(vivo)) AS `% Projetos Atrasados`,
-       try_divide(count_if(situacao = 'Concluído' AND cumpriu), count_if(situacao = 'Concluído'))
-         AS `% Projetos Entregues no Prazo`,
+)"""
+PROJECT_VALUES = """
+       count(*) AS `Projetos`,
+       nullif(count_if(vivo), 0) AS `Projetos Ativos`,
+       nullif(count_if(vivo AND etapa <> 'Planejamento'), 0) AS `Projetos em Execução`,
+       nullif(count_if(situacao = 'Concluído'), 0) AS `Projetos Concluídos`,
+       nullif(count_if(vivo AND passou), 0) AS `Projetos Atrasados`,
+       try_divide(nullif(count_if(vivo AND passou), 0), count_if(vivo)) AS `% Projetos Atrasados`,
+       try_divide(nullif(count_if(situacao = 'Concluído' AND cumpriu), 0),
+                  count_if(situacao = 'Concluído')) AS `% Projetos Entregues no Prazo`,
        try_divide(
          sum(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu),
          count(dias_atraso) FILTER (WHERE vivo AND passou OR situacao = 'Concluído' AND NOT cumpriu))
          AS `Atraso Médio dos Projetos (dias)`,
        sum(horas_orcadas) AS `Horas Orçadas`,
-       try_divide((SELECT sum(horas_apontadas) FROM {tasks}), sum(horas_orcadas)) AS `% Orçamento Consumido`,
        sum(orcamento) AS `Orçamento`,
-       count_if(farol = 'Vermelho') AS `Projetos Farol Vermelho`,
-       count_if(origem_id LIKE 'IDE-%') AS `Projetos de Ideias`
+       nullif(count_if(farol = 'Vermelho'), 0) AS `Projetos Farol Vermelho`,
+       nullif(count_if(origem_id LIKE 'IDE-%'), 0) AS `Projetos de Ideias`"""
+PROJECTS = f"""{PROJECT_ROWS}
+SELECT {PROJECT_VALUES},
+       try_divide((SELECT sum(horas_apontadas) FROM {{tasks}}), sum(horas_orcadas))
+         AS `% Orçamento Consumido`
 FROM p
 """
-TASKS = """
+TASK_ROWS = """
 WITH t AS (
   SELECT *, concluida_em IS NOT NULL AS feita, concluida_em IS NULL AND status <> 'Arquivada' AS viva,
          (SELECT max(data_referencia) FROM {ref}) AS hoje
   FROM {tasks}
-)
-SELECT count(tarefa_id) AS `Tarefas`,
-       count_if(viva) AS `Tarefas Abertas`,
-       count_if(feita) AS `Tarefas Concluídas`,
-       count_if(viva AND status = 'Impedido') AS `Tarefas Impedidas`,
-       count_if(viva AND data_limite < hoje) AS `Tarefas Vencidas`,
-       try_divide(count_if(viva AND data_limite < hoje), count_if(viva AND data_limite IS NOT NULL))
-         AS `% Abertas Vencidas`,
-       try_divide(count_if(feita AND data_conclusao <= data_limite),
+)"""
+TASK_VALUES = """
+       nullif(count(*), 0) AS `Tarefas`,
+       nullif(count_if(viva), 0) AS `Tarefas Abertas`,
+       nullif(count_if(feita), 0) AS `Tarefas Concluídas`,
+       nullif(count_if(viva AND status = 'Impedido'), 0) AS `Tarefas Impedidas`,
+       nullif(count_if(viva AND data_limite < hoje), 0) AS `Tarefas Vencidas`,
+       try_divide(nullif(count_if(viva AND data_limite < hoje), 0),
+                  count_if(viva AND data_limite IS NOT NULL)) AS `% Abertas Vencidas`,
+       try_divide(nullif(count_if(feita AND data_conclusao <= data_limite), 0),
                   count_if(feita AND data_limite IS NOT NULL)) AS `% Entregues no Prazo`,
        try_divide(
          sum(datediff(coalesce(data_conclusao, hoje), data_limite)) FILTER (WHERE dias_atraso > 0),
@@ -58,10 +64,23 @@ SELECT count(tarefa_id) AS `Tarefas`,
          FILTER (WHERE viva) / 86400 AS `Idade Média das Abertas (dias)`,
        sum(estimativa_horas) AS `Horas Estimadas`,
        sum(horas_apontadas) AS `Horas Apontadas`,
-       try_divide(sum(horas_apontadas - estimativa_horas) FILTER (WHERE feita),
-                  sum(estimativa_horas) FILTER (WHERE feita)) AS `Desvio de Esforço %`,
-       try_divide(count_if(feita), count(tarefa_id)) AS `% Tarefas Concluídas`
-FROM t
+       coalesce(try_divide(sum(horas_apontadas) FILTER (WHERE feita),
+                           sum(estimativa_horas) FILTER (WHERE feita)), 0) - 1 AS `Desvio de Esforço %`,
+       try_divide(nullif(count_if(feita), 0), count(*)) AS `% Tarefas Concluídas`"""
+TASKS = f"{TASK_ROWS}\nSELECT {TASK_VALUES}\nFROM t\n"
+# the same for every role and the total in one pass; a role is the portfolio it may see
+PROJECT_ROLES = f"""{PROJECT_ROWS}, gasto AS (
+  SELECT projeto_id AS de, sum(horas_apontadas) AS horas FROM {{tasks}} GROUP BY projeto_id
+)
+SELECT portfolio AS papel, grouping(portfolio) = 1 AS geral, {PROJECT_VALUES},
+       try_divide(sum(horas), sum(horas_orcadas)) AS `% Orçamento Consumido`
+FROM p LEFT JOIN gasto ON projeto_id = de
+GROUP BY GROUPING SETS ((), (portfolio))
+"""
+TASK_ROLES = f"""{TASK_ROWS}, onde AS (SELECT projeto_id AS de, portfolio FROM {{projects}})
+SELECT portfolio AS papel, grouping(portfolio) = 1 AS geral, {TASK_VALUES}
+FROM t LEFT JOIN onde ON projeto_id = de
+GROUP BY GROUPING SETS ((), (portfolio))
 """
 VISITS = """
 WITH por_tarefa AS (
@@ -101,7 +120,7 @@ WITH p AS (
          coalesce(data_conclusao <= data_limite, false) AS cumpriu
   FROM {{projects}}
 ), n AS (
-  SELECT count(projeto_id) AS todos, count_if(vivo) AS vivos, count_if(vivo AND passou) AS tarde,
+  SELECT count(*) AS todos, count_if(vivo) AS vivos, count_if(vivo AND passou) AS tarde,
          count_if(situacao = 'Concluído') AS feitos,
          count_if(situacao = 'Concluído' AND cumpriu) AS cumpridos,
          count_if(origem_id LIKE 'IDE-%') AS ideias, sum(orcamento) AS dinheiro,
@@ -128,7 +147,7 @@ WITH t AS (
          (SELECT max(data_referencia) FROM {{ref}}) AS hoje
   FROM {{tasks}}
 ), n AS (
-  SELECT count_if(viva AND status = 'Impedido') AS impedidas, count(tarefa_id) AS todas,
+  SELECT count_if(viva AND status = 'Impedido') AS impedidas, count(*) AS todas,
          count_if(viva AND data_limite < hoje) AS vencidas, count_if(feita) AS feitas,
          count_if(viva AND data_limite IS NOT NULL) AS com_prazo,
          coalesce(try_divide(sum(horas_apontadas), sum(estimativa_horas)), 0) - 1 AS desvio
@@ -179,6 +198,7 @@ TASK_TEXT_NAMES = [
 ]
 PERIOD_NAMES = ["Tarefas Criadas", "Tarefas Entregues", "Saldo do Período"]
 PERIOD_VISIT_NAMES = ["Mudanças de Status", "Bloqueios no Período"]
+ROLE_NAMES = PROJECT_NAMES + TASK_NAMES
 NAMES = PROJECT_NAMES + TASK_NAMES + PROJECT_TEXT_NAMES + TASK_TEXT_NAMES
 FLOW_NAMES = [
     "Tempo Médio na Etapa (dias)", "Tarefas Paradas na Etapa", "Paradas há mais de 15 dias",
@@ -202,6 +222,25 @@ def independent(spark: SparkSession, model: Model) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def independent_roles(spark: SparkSession, model: Model) -> DataFrame:
+    """``papel, medida, valor, texto``: the numbers of projects and tasks as each role sees them, and
+    as no role does (``papel`` NULL)."""
+    tables = _tables(model)
+    parts = [
+        long_form(spark.sql(text, **tables).where("geral OR papel IS NOT NULL"), names, ["papel"])
+        for text, names in ((PROJECT_ROLES, PROJECT_NAMES), (TASK_ROLES, TASK_NAMES))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def role_values(model: Model) -> DataFrame:
+    """The same by the measures themselves: a role's portfolio is one value of the portfolio axis."""
+    by_role = measure(model, ROLE_NAMES, ["dim_projeto.portfolio"]).where("portfolio IS NOT NULL")
+    total = measure(model, ROLE_NAMES).withColumn("papel", F.lit(None).cast("string"))
+    rows = by_role.withColumnRenamed("portfolio", "papel").unionByName(total)
+    return long_form(rows, ROLE_NAMES, ["papel"])
+
+
 def independent_flow(spark: SparkSession, model: Model) -> DataFrame:
     """Measures of the visit history, without any filter."""
     tables = {**_tables(model), "visits": model["fato_passagem_status"]}

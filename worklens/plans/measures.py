@@ -271,8 +271,8 @@ def as_role(role: str) -> str:
     return ROLES[role]
 
 
-def long_form(values: DataFrame, names: Sequence[str]) -> DataFrame:
-    """One row per measure: ``medida, valor, texto``."""
+def long_form(values: DataFrame, names: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
+    """One row per measure: ``medida, valor, texto``, after the columns ``keys`` of its row."""
     cells = [
         F.struct(
             F.lit(name).alias("medida"),
@@ -283,4 +283,4 @@ def long_form(values: DataFrame, names: Sequence[str]) -> DataFrame:
         )
         for name in names
     ]
-    return values.select(F.explode(F.array(*cells)).alias("m")).select("m.*")
+    return values.select(*keys, F.explode(F.array(*cells)).alias("m")).select(*keys, "m.*")

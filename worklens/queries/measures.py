@@ -381,7 +381,7 @@ def _rounded(part: str, whole: str) -> str:
     return f"CAST((200 * {part} + {whole}) // (2 * {whole}) AS VARCHAR) || '%'"
 
 
-PROJECT_ROWS = ", ".join([
+NUMBER_ROWS = [
     _row("Projetos", "todos"), _row("Projetos Ativos", "nullif(ativos, 0)"),
     _row("Projetos em Execução", "nullif(andando, 0)"), _row("Projetos Concluídos", "nullif(feitos, 0)"),
     _row("Projetos Atrasados", "nullif(tarde, 0)"), _row("% Projetos Atrasados", "tarde / ativos"),
@@ -398,7 +398,10 @@ PROJECT_ROWS = ", ".join([
     _row("Idade Média das Abertas (dias)", "idade"), _row("Horas Estimadas", "estimados / 100"),
     _row("Horas Apontadas", "centesimos / 100"),
     _row("Desvio de Esforço %", "gastos_feitas / estimados_feitas - 1"),
-    _row("% Tarefas Concluídas", "feitas / n"), _row("Tarefas Criadas", "criadas"),
+    _row("% Tarefas Concluídas", "feitas / n"),
+]
+PROJECT_ROWS = ", ".join([
+    *NUMBER_ROWS, _row("Tarefas Criadas", "criadas"),
     _row("Tarefas Entregues", "entregues"), _row("Saldo do Período", "criadas - entregues"),
     _text("Data de Referência", "'31/08/2001'"), _text("Texto Referência", "'Dados até 31/08/2001'"),
     _text("Contexto Projetos Ativos", f"'de ' || {_whole('todos')} || ' no portfólio'"),
@@ -478,6 +481,71 @@ def _reconciled(ours, theirs):
         "medida", F.round("valor_a", 6).alias("valor"), F.col("texto_a").alias("texto"), "confere")
 
 
+ROLE_ROWS = ", ".join(NUMBER_ROWS)
+
+
+@query("reconcile_roles", f"""
+, de_projetos AS (
+    SELECT count(*) AS todos, count(*) FILTER (WHERE {RUNNING}) AS ativos,
+           count(*) FILTER (WHERE status = 'Em execução') AS andando,
+           count(*) FILTER (WHERE status = 'Concluído') AS feitos,
+           count(*) FILTER (WHERE situacao_prazo = 'Atrasado') AS tarde,
+           count(*) FILTER (WHERE situacao_prazo = 'Concluído no prazo') AS cumpridos,
+           avg(dias_atraso) FILTER (WHERE situacao_prazo IN ('Atrasado', 'Concluído com atraso'))
+             AS atraso,
+           CAST(sum(horas_orcadas) AS BIGINT) AS orcadas,
+           CAST(sum(CAST(round(orcamento * 100) AS BIGINT)) AS BIGINT) AS dinheiro,
+           count(*) FILTER (WHERE farol = 'Vermelho') AS vermelhos,
+           count(*) FILTER (WHERE origem = 'Ideia') AS ideias,
+           portfolio AS papel, grouping(portfolio) AS geral
+    FROM dim GROUP BY GROUPING SETS ((), (portfolio))
+), de_tarefas AS (
+    SELECT count(*) AS n, count(*) FILTER (WHERE aberta) AS abertas,
+           count(*) FILTER (WHERE status = 'Concluído') AS feitas,
+           count(*) FILTER (WHERE status = 'Impedido') AS impedidas,
+           count(*) FILTER (WHERE situacao_prazo = 'Vencida') AS vencidas,
+           count(*) FILTER (WHERE aberta AND data_limite IS NOT NULL) AS com_prazo,
+           count(*) FILTER (WHERE situacao_prazo = 'Concluída no prazo') AS pontuais,
+           count(*) FILTER (WHERE situacao_prazo IN ('Concluída no prazo', 'Concluída com atraso'))
+             AS entregues_com_prazo,
+           avg(dias_atraso) FILTER (WHERE situacao_prazo IN ('Vencida', 'Concluída com atraso'))
+             AS atraso_t,
+           avg(date_diff('day', data_criacao, data_conclusao)) AS lead,
+           CAST(sum((date_diff('day', data_criacao, DATE '2001-09-01') * 8640000 - 100 + 43200)
+                    // 86400) FILTER (WHERE aberta) AS BIGINT)
+             / count(*) FILTER (WHERE aberta) / 100 AS idade,
+           CAST(sum(CAST(round(estimativa * 100) AS BIGINT)) AS BIGINT) AS estimados,
+           CAST(sum(centesimos) AS BIGINT) AS centesimos,
+           CAST(sum(centesimos) FILTER (WHERE status = 'Concluído') AS BIGINT) AS gastos_feitas,
+           CAST(sum(CAST(round(estimativa * 100) AS BIGINT)) FILTER (WHERE status = 'Concluído')
+                AS BIGINT) AS estimados_feitas,
+           avg(date_diff('day', data_criacao, DATE '2001-09-01') * 86400 - 1)
+             FILTER (WHERE aberta) / 86400 AS idade_exata,
+           portfolio AS papel, grouping(portfolio) AS geral
+    FROM (SELECT t.*, d.portfolio FROM tasks t LEFT JOIN dim d USING (projeto_id))
+    GROUP BY GROUPING SETS ((), (portfolio))
+), numeros AS (
+  SELECT p.*, t.* EXCLUDE (papel, geral)
+  FROM de_projetos p LEFT JOIN de_tarefas t
+    ON t.geral = p.geral AND t.papel IS NOT DISTINCT FROM p.papel
+), linhas_r AS (
+  SELECT papel, idade_exata, unnest([{ROLE_ROWS}], recursive := true) FROM numeros
+)
+SELECT papel, medida, round(valor, 6) AS valor, round(
+         CASE medida WHEN 'Idade Média das Abertas (dias)' THEN idade_exata ELSE valor END, 6)
+         AS valor_b, TRUE AS confere
+FROM linhas_r
+""")
+def reconcile_roles(spark, sf_dir):
+    """Every number as each role sees it, and the total, against the second definition."""
+    model = W.delivery_model(spark, sf_dir)
+    found = reconcile(
+        crosscheck.role_values(model), crosscheck.independent_roles(spark, model), ["papel"])
+    return found.select(
+        "papel", "medida", F.round("valor_a", 6).alias("valor"), F.round("valor_b", 6).alias("valor_b"),
+        "confere")
+
+
 FLOW_ROWS = ", ".join([
     _row("Tempo Médio na Etapa (dias)", "tempo"), _row("Tarefas Paradas na Etapa", "paradas"),
     _row("Paradas há mais de 15 dias", "nullif(muito, 0)"), _row("Dias Bloqueada", "bloqueada"),
