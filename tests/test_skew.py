@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from worklens.functions.times import hundredths
 from worklens.operators.history import history_rollup, stage_visits
-from worklens.operators.skew import hot_keys, ordered_history, skew_join
+from worklens.operators.skew import SLOTS, hot_keys, ordered_history, skew_join, slotted
 
 
 @pytest.fixture(scope="module")
@@ -45,16 +45,63 @@ def test_ordered_history_equals_plain_window(events, hot_rows):
         map(repr, expected.collect()))
 
 
-def test_slots_by_id_prefix(events):
-    ours = ordered_history(events, "key", ["id"], number="n", preceding={"prior": "stage"},
-                           hot_rows=4, slot=F.substring("id", 1, 4))
-    w = Window.partitionBy("key").orderBy("id")
-    expected = events.withColumns(
-        {"n": F.row_number().over(w).cast("bigint"), "prior": F.lag("stage").over(w)})
+def agrees(ours, expected):
     assert sorted(map(repr, ours.select(expected.columns).collect())) == sorted(
         map(repr, expected.collect()))
 
 
+def by_id(df, hot_rows):
+    w = Window.partitionBy("key").orderBy("id")
+    expected = df.withColumns(
+        {"n": F.row_number().over(w).cast("bigint"), "prior": F.lag("stage").over(w)})
+    agrees(ordered_history(df, "key", ["id"], number="n", preceding={"prior": "stage"},
+                           hot_rows=hot_rows), expected)
+
+
+@pytest.mark.parametrize("hot_rows", [1, 4, 100])
+def test_history_by_id(events, hot_rows):
+    by_id(events, hot_rows)
+
+
+def largest_slot(df, order, hot_rows):
+    sizes = [r["count"] for r in slotted(df, "key", order, hot_rows).where("key = 'hot'")
+             .groupBy("_slot").count().collect()]
+    return max(sizes), len(sizes)
+
+
+def test_one_instant_and_unpadded_ids(spark):
+    """A bulk import with one time, and ids whose length differs: slots stay within twice hot_rows."""
+    n, hot_rows = 200_000, 5000
+    df = spark.range(1, n + 1).select(
+        F.concat(F.lit("EVT-"), (F.col("id") * F.when(F.col("id") % 3 == 0, 1).otherwise(971)))
+        .alias("id"),
+        F.when(F.col("id") % 5 == 0, F.concat(F.lit("k"), F.col("id") % 1000)).otherwise("hot")
+        .alias("key"),
+        F.when(F.col("id") % 7 == 0, "b").otherwise("a").alias("stage"),
+        F.lit("2026-01-01 00:00:00").cast("timestamp").alias("ts")).cache()
+    for order in (["ts", "id"], ["id"]):
+        most, slots = largest_slot(df, order, hot_rows)
+        assert most <= 2 * hot_rows and slots >= 32
+    by_id(df, hot_rows)
+    agrees(ordered_history(df, "key", ["ts", "id"], number="n",
+                           following={"next_stage": "stage", "next_ts": "ts"},
+                           preceding={"prior": "stage"}, hot_rows=hot_rows), plain(df))
+    one_short = df.unionByName(spark.createDataFrame([("E", "hot", "a", None)], df.schema))
+    assert largest_slot(one_short, ["id"], hot_rows)[0] <= 2 * hot_rows
+
+
+def test_slots_are_bounded(spark):
+    """A key of more than SLOTS parts: no more slots than that, in order."""
+    df = spark.range(5000).select(
+        F.lit("hot").alias("key"), F.col("id").cast("string").alias("id"), F.lit("a").alias("stage"))
+    cut = slotted(df, "key", ["id"], 2)
+    assert cut.select("_slot").distinct().count() == SLOTS
+    ends = cut.groupBy("_slot").agg(F.min("id").alias("low"), F.max("id").alias("high")).orderBy(
+        "_slot").collect()
+    assert all(a["high"] < b["low"] for a, b in zip(ends, ends[1:]))
+    by_id(df, 2)
+
+
 def test_hot_keys_are_counted(events):
     found = {r["_hot_key"]: r["_parts"] for r in hot_keys(events, "key", 100).collect()}
     assert found == {"hot": 4}

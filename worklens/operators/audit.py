@@ -46,17 +46,11 @@ def history_steps(
 ) -> DataFrame:
     """Problems between consecutive events of a task: a jump, or time not moving forward.
 
-    Events are taken in id order, the order they were issued in, so that a wrong time shows. A very
-    long history is cut on the leading characters of the id: all but the last four of the shortest,
-    so ids that count upwards put about ten thousand events into a slot. Prefixes of one length are
-    ordered as the texts are.
+    Events are taken in id order, the order they were issued in, so that a wrong time shows.
     """
-    lead = moves.agg(F.greatest(F.min(F.length("id")) - 4, F.lit(1))).scalar()
     steps = ordered_history(
         moves, "tarefa_id", ["id"],
-        preceding={"_stage": "etapa_nova", "_time": "ocorrido_em"},
-        hot_rows=hot_rows, slot=F.coalesce(F.substring("id", F.lit(1), lead), F.lit("")),
-    )
+        preceding={"_stage": "etapa_nova", "_time": "ocorrido_em"}, hot_rows=hot_rows)
     follows = F.col("_time").isNotNull()
     jump = follows & ~F.col("etapa_anterior").eqNullSafe(F.col("_stage"))
     start = ~follows & F.col("etapa_anterior").isNotNull()

@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 #: tens of bytes each; raise it with the table so that their list stays a few megabytes.
 HOT_ROWS = 1_000_000
 
+#: Slots a hot history is cut into at most, sampled events a slot, and cuts looked at in one leap.
+SLOTS, SAMPLED, LEAP = 1024, 128, 32
+_DRAWS = 1 << 40
+
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``_hot_key, _parts``: each hot key, NULL too, and how many parts of ``hot_rows`` rows it makes."""
@@ -48,21 +52,61 @@ def skew_join(
     return salted.join(copies, [key, "_salt"], how).drop("_salt")
 
 
+def slot_bounds(
+    events: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``_hot_key, _bounds``: where each hot key's history is cut into slots of about equal size.
+
+    The cuts are quantiles of the whole order (all its columns) in a sample drawn by the rows' hash,
+    ``SAMPLED`` rows or so a slot, so they follow the data: times that coincide or ids of any shape do
+    not fill one slot. A key has at most ``SLOTS`` slots, which bounds sample and cuts; above
+    ``SLOTS * hot_rows`` events its slots grow.
+    """
+    hot = F.broadcast(hot_keys(events, key, hot_rows).where("_hot_key IS NOT NULL"))
+    slots = F.least("_parts", F.lit(SLOTS))
+    share = slots * SAMPLED / (F.col("_parts") * hot_rows)
+    drawn = F.pmod(F.xxhash64(*order), F.lit(_DRAWS)) < share * _DRAWS
+    sampled = (
+        events.join(hot, F.col(key) == F.col("_hot_key")).where(drawn)
+        .groupBy("_hot_key")
+        .agg(F.sort_array(F.collect_list(F.struct(*order))).alias("_sample"),
+             F.max(slots).alias("_slots"))
+    )
+    at = lambda i: F.ceil(F.size("_sample") * i / F.col("_slots")).cast("int")
+    cuts = F.transform(
+        F.sequence(F.lit(1), F.col("_slots") - 1), lambda i: F.element_at("_sample", at(i)))
+    return sampled.where("_slots > 1").select("_hot_key", cuts.alias("_bounds"))
+
+
+def slotted(
+    events: DataFrame, key: str, order: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """``events`` with ``_slot``: NULL for keys that are not hot, else a number that grows with the
+    order. The cuts are at most ``SLOTS`` a hot key, which is what makes them small to broadcast."""
+    position = F.struct(*order)
+    reached = lambda cuts: F.size(F.filter(cuts, lambda cut: cut < position))
+    # every LEAP-th cut first, then the cuts between two of those
+    coarse = F.filter("_bounds", lambda _, i: i % LEAP == LEAP - 1)
+    leaps = reached(coarse) * LEAP
+    slot = leaps + reached(F.slice("_bounds", leaps + 1, F.lit(LEAP)))
+    bounds = F.broadcast(slot_bounds(events, key, order, hot_rows))
+    return events.join(bounds, F.col(key) == F.col("_hot_key"), "left").withColumn(
+        "_slot", F.when(F.col("_hot_key").isNotNull(), slot)).drop("_bounds", "_hot_key")
+
+
 def ordered_history(
     events: DataFrame, key: str, order: Sequence[str], *,
     number: str | None = None,
     following: Mapping[str, str] | None = None,
     preceding: Mapping[str, str] | None = None,
     hot_rows: int | None = HOT_ROWS,
-    slot: Column | None = None,
 ) -> DataFrame:
     """Position, next and previous values of each event in its key's history.
 
     ``following`` and ``preceding`` map a new column to the column it reads one event later or
-    earlier. A key with more than ``hot_rows`` events is ordered in slots: windows run inside a
-    slot, one summary row per slot carries the count and the edge values across, and an equi-join
-    brings them back. Results equal a plain window over the whole key. ``slot`` must grow with the
-    order columns and never be NULL; by default it is the minute of the first one, a timestamp.
+    earlier. A key with more than ``hot_rows`` events is ordered in slots (:func:`slotted`): windows
+    run inside a slot, one summary row per slot carries the count and the edge values across, and an
+    equi-join brings them back. Results equal a plain window over the whole key.
     ``hot_rows=None`` skips the split where histories are known to be short.
     """
     following, preceding = dict(following or {}), dict(preceding or {})
@@ -70,21 +114,13 @@ def ordered_history(
         window = Window.partitionBy(key).orderBy(*order)
         return events.withColumns(_window_columns(window, number, following, preceding))
 
-    hot = F.broadcast(
-        hot_keys(events, key, hot_rows).where("_hot_key IS NOT NULL").select("_hot_key"))
-    if slot is None:  # events without a time sort first
-        slot = F.coalesce(
-            F.date_trunc("minute", order[0]), F.lit("0001-01-01").cast("timestamp")
-        )
-    slotted = events.join(hot, F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_slot", F.when(F.col("_hot_key").isNotNull(), slot)
-    )
+    cut = slotted(events, key, order, hot_rows)
     inside = Window.partitionBy(key, "_slot").orderBy(*order)
-    local = slotted.withColumns({
+    local = cut.withColumns({
         **_window_columns(inside, number, following, preceding),
         "_is_last": F.lead(F.lit(1)).over(inside).isNull(),
         "_is_first": F.lag(F.lit(1)).over(inside).isNull(),
-    }).drop("_hot_key")
+    })
 
     across = Window.partitionBy(key).orderBy("_slot")
     position = F.struct(*order)
@@ -94,7 +130,7 @@ def ordered_history(
     for i, source in enumerate(preceding.values()):
         edges[f"_tail{i}"] = F.max_by(F.col(source), position)
     slots = (
-        slotted.where(F.col("_hot_key").isNotNull())
+        cut.where(F.col("_slot").isNotNull())
         .groupBy(key, "_slot")
         .agg(*[column.alias(name) for name, column in edges.items()])
         .select(
