@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from worklens.functions.times import hundredths
 from worklens.operators.history import history_rollup, stage_visits
-from worklens.operators.skew import SLOTS, hot_keys, ordered_history, skew_join, slotted
+from worklens.operators.skew import (
+    SLOTS, heavy_keys, hot_keys, ordered_history, skew_join, slotted,
+)
 
 
 @pytest.fixture(scope="module")
@@ -102,6 +104,25 @@ def test_slots_are_bounded(spark):
     by_id(df, 2)
 
 
+def test_heavy_keys_of_several_columns(spark, events):
+    """One aggregation finds each column's hot keys, NULL too, and its type; at most so many."""
+    df = events.withColumn("code", F.when(F.col("key") == "hot", None).otherwise(
+        F.length("id") + F.col("id").cast("int") % 2))
+    found = heavy_keys(df, ["key", "code", "id"], 100)
+    assert [tuple(r) for r in found["key"].collect()] == [("hot", 4)]
+    assert {tuple(r) for r in found["code"].collect()} == {(None, 4), (6, 3), (7, 3)}
+    assert found["code"].schema["_hot_key"].dataType == df.schema["code"].dataType
+    assert found["id"] is None
+    assert heavy_keys(df, ["code"], 100, most=1)["code"].collect()[0]["_hot_key"] is None
+
+
+def test_plain_join_where_nothing_is_hot(spark, events):
+    one = spark.createDataFrame([("hot", 1), ("k1", 2)], "key string, v int")
+    text = skew_join(events, one, "key", "left", ["id"])._jdf.queryExecution().toString()
+    assert "_salt" not in text and "_parts" not in text
+    assert "_salt" in skew_join(events, one, "key", "left", ["id"], 100)._jdf.queryExecution().toString()
+
+
 def test_hot_keys_are_counted(events):
     found = {r["_hot_key"]: r["_parts"] for r in hot_keys(events, "key", 100).collect()}
     assert found == {"hot": 4}

@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from worklens.operators.skew import HOT_ROWS, skew_join
+from worklens.operators.skew import HOT_ROWS, heavy_keys, skew_join
 from worklens.schemas import LIGHTS, PROJECT_STATES, STAGE_NAMES
 
 REASON = "motivo"
@@ -69,13 +69,15 @@ def flag_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def flag_orphans(
     flagged: DataFrame, column: str, parents: DataFrame, parent_key: str = "id",
     row_id: Sequence[str] = ("id",), hot_rows: int = HOT_ROWS, counted: DataFrame | None = None,
+    heavy: Mapping[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Give rows without a partner in ``parents`` a reason, unless an earlier one stands.
 
-    A NULL key is an orphan. ``parents`` holds each key once. ``counted`` as in ``skew_join``.
+    A NULL key is an orphan. ``parents`` holds each key once. ``counted`` and ``heavy`` as in
+    ``skew_join``.
     """
     known = parents.select(F.col(parent_key).alias(column), F.lit(True).alias("_known"))
-    checked = skew_join(flagged, known, column, "left", row_id, hot_rows, counted)
+    checked = skew_join(flagged, known, column, "left", row_id, hot_rows, counted, heavy)
     orphan = F.when(F.col("_known").isNull(), F.lit(f"{column} sem correspondente"))
     return checked.select(
         *[F.col(c) for c in flagged.columns if c != REASON],
@@ -115,11 +117,12 @@ def cascade(
     flagged: dict[str, DataFrame] = {}
     for name, df in tables.items():
         current = flag_rules(df, rules(name))
-        for child, column, parent in keys:
-            if child == name:
-                current = flag_orphans(
-                    current, column, valid(flagged[parent]), hot_rows=hot_rows,
-                    counted=(sources or tables)[name])
+        own = [(column, parent) for child, column, parent in keys if child == name]
+        # the hot keys of all foreign keys of a table are counted in one pass
+        heavy = heavy_keys((sources or tables)[name], [c for c, _ in own], hot_rows) if own else {}
+        for column, parent in own:
+            current = flag_orphans(
+                current, column, valid(flagged[parent]), hot_rows=hot_rows, heavy=heavy)
         flagged[name] = stage(name, current)
     return flagged
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 #: tens of bytes each; raise it with the table so that their list stays a few megabytes.
 HOT_ROWS = 1_000_000
 
+#: Hot keys that a join is told of at most, the largest ones.
+MOST_HOT = 10_000
+
 #: Slots a hot history is cut into at most, sampled events a slot, and cuts looked at in one leap.
 SLOTS, SAMPLED, LEAP = 1024, 128, 32
 _DRAWS = 1 << 40
@@ -31,18 +34,54 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     )
 
 
+def heavy_keys(
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = MOST_HOT
+) -> dict[str, DataFrame | None]:
+    """Of each of several key columns its hot keys as ``_hot_key, _parts``; None where none is hot.
+
+    One aggregation counts all columns exactly: each row sends its keys with the column's number, and
+    they are combined before the shuffle. Only keys above ``hot_rows`` reach the driver, and of those
+    the ``most`` largest, so the lists are small whatever the table; a key beyond them is left to the
+    engine's own skew handling.
+    """
+    keys = list(dict.fromkeys(keys))
+    cells = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_of"), F.col(c).cast("string").alias("_key"))
+        for i, c in enumerate(keys)]))
+    counted = (
+        df.select(cells.alias("_cell")).groupBy("_cell._of", "_cell._key")
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > hot_rows)
+        .orderBy(F.desc("_rows")).limit(most)
+    ).collect()
+    found: dict[str, DataFrame | None] = dict.fromkeys(keys)
+    for i, name in enumerate(keys):
+        rows = [(r["_key"], -(-r["_rows"] // hot_rows)) for r in counted if r["_of"] == i]
+        if rows:
+            found[name] = df.sparkSession.createDataFrame(
+                rows, "_hot_key string, _parts int").withColumn(
+                "_hot_key", F.col("_hot_key").cast(df.schema[name].dataType))
+    return found
+
+
 def skew_join(
     many: DataFrame, one: DataFrame, key: str, how: str = "inner",
     spread: Sequence[str] = (), hot_rows: int = HOT_ROWS, counted: DataFrame | None = None,
+    heavy: Mapping[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """Equi-join ``many`` rows to the one row per key in ``one``, salting only the hot keys.
 
     ``spread`` names the columns whose hash picks the salt (the row id). Rows of a hot key spread
     over its parts and its single partner is copied once per part; NULL keys never match, so they
-    spread too. The copies add at most N / hot_rows rows. ``counted`` is a cheaper table with the
-    same rows or more, such as the source of ``many``, to count the keys in.
+    spread too. The copies add at most N / hot_rows rows. Hot keys are counted first, in ``counted``
+    if given (a cheaper table with the same rows or more, such as the source of ``many``), or come
+    from ``heavy``, counted for several joins at once. Where none is hot this is a plain join.
     """
-    parts = F.broadcast(hot_keys(many if counted is None else counted, key, hot_rows))
+    if heavy is None:
+        heavy = heavy_keys(many if counted is None else counted, [key], hot_rows)
+    if heavy[key] is None:
+        return many.join(one, key, how)
+    parts = F.broadcast(heavy[key])
     pick = F.xxhash64(*(spread or many.columns))
     salt = F.coalesce(F.pmod(pick, F.col("_parts")), F.lit(0)).cast("int")
     hot = F.col(key).eqNullSafe(F.col("_hot_key"))
