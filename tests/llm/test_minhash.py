@@ -109,7 +109,8 @@ def test_tables(spark):
     check(spark, [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()])
 
 
-def test_centres_step_aside(spark):
+@pytest.mark.parametrize("short", [0, 230, 1000])
+def test_centres_step_aside(spark, short):
     """Many texts share a bucket (a band of one bin) with a centre none of them is linked to."""
     rng = np.random.default_rng(3)
     common = words(rng, 120)
@@ -120,7 +121,7 @@ def test_centres_step_aside(spark):
             own = changed(rng, rows[-1][1].split(), 2)
         rows.append((i, " ".join(own)))
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = minhash.components_of(df, rows=1, block=7).collect()
+    got = minhash.components_of(df, rows=1, block=7, short=short).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(d, c) for d, _, c in plain(rows)]
 
 

@@ -8,9 +8,10 @@ In a bucket every member meets only the bucket's centre, and of its buckets' cen
 shares most buckets with: a star of one edge a member instead of all pairs. A star alone could miss
 two members that are linked with each other but not with the centre. So where a bucket's members are
 still in several components afterwards, those outside its largest component meet the others, in
-blocks, and only pairs that may be links leave a task: no link inside a bucket is lost, and buckets of
-one component (families of copies) are done after the star. A pair may be a link if its sizes allow it
-and its signatures agree about as often as linked texts do; every link is confirmed on the full sets.
+blocks: no link inside a bucket is lost, and buckets of one component (families of copies) are done
+after the star. A pair may be a link if its sizes allow it and its signatures agree about as often as
+linked texts do; every link is confirmed on the full sets, those of short texts inside the block's
+task, which sends only links that join something.
 
 Equal sets are one node from the start. Two texts at the threshold share no bucket with probability
 (1 - 0.85^6)^32 = 3e-7, and fall under the signatures' bound (five deviations) about as rarely.
@@ -46,8 +47,8 @@ DEVIATIONS = 5.0
 WANTED = 500_000
 #: Members of a bucket that meet as many others in one task.
 BLOCK = 4096
-#: Rounds in which each member meets only its likeliest partner of another component.
-LIKELIEST = 2
+#: Shingles of a short set: its bucket's task holds it whole (4 KB), longer ones meet in a join.
+SHORT = 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _EMPTY = np.uint64(2**64 - 1)
@@ -249,13 +250,23 @@ def _apart(pairs: DataFrame, roots: DataFrame | None) -> DataFrame:
     return _rooted(_rooted(pairs, roots, "a", "root_a"), roots, "b", "root_b").where("root_a != root_b")
 
 
-def across(live: DataFrame, nodes: DataFrame, percent: int = PERCENT, block: int = BLOCK,
-           likeliest: bool = False) -> DataFrame:
-    """(a, b): pairs of a bucket's members from different components that sizes and signatures allow;
-    with ``likeliest`` only the best partner of each member.
+def _overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """How many values each of some sets shares with one, all in order."""
+    flat = np.concatenate(others)
+    at = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+    same = np.concatenate(([0], np.cumsum(own[at] == flat)))
+    end = np.cumsum([len(x) for x in others])
+    return same[end] - same[np.concatenate(([0], end[:-1]))]
+
+
+def across(live: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHINGLE,
+           percent: int = PERCENT, block: int = BLOCK, short: int = SHORT) -> DataFrame:
+    """(a, b, sure): links between a bucket's members from different components, as few as join the
+    same components; for sets of over ``short`` shingles pairs that may be links, not ``sure`` yet.
 
     ``live`` is (key, id, root). Any such pair has a member outside the bucket's largest component, so
-    those members meet all, in blocks; only pairs that may be links leave a task.
+    those members meet all, in blocks. A task confirms links on the full sets of short texts and drops
+    what it has joined already, so it sends no more links than it has members.
     """
     sizes = live.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
         F.max_by("root", F.struct("m", "root")).alias("largest"), F.sum("m").alias("all"),
@@ -263,48 +274,58 @@ def across(live: DataFrame, nodes: DataFrame, percent: int = PERCENT, block: int
     sizes = sizes.select(
         "key", "largest", F.ceil(F.col("all") / block).cast("int").alias("k_all"),
         F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("k_few"))
-    rows = live.join(saved(sizes), "key").join(nodes.select("id", "n", "sig"), "id")
+    open_ = saved(live.join(sizes, "key"))
+    known = nodes.join(open_.select("id").distinct(), "id")
+    wanted = saved(known.where(F.col("n") <= short).select("id", "key", "hi", "lo"))
+    known = saved(known.select("id", "n", "sig").join(full_sets(wanted, docs, size), "id", "left"))
+    rows = open_.join(known, "id")
     own = F.xxhash64("id")
 
     def dealt(table: DataFrame, side: int, into: str, times: str) -> DataFrame:
         mine = F.pmod(own, F.col(into)).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col(times) - 1))
         p, q = (mine, other) if side == 0 else (other, mine)
-        return table.select("key", "id", "root", "n", "sig", F.lit(side).cast("byte").alias("side"),
-                            p.alias("p"), q.alias("q"))
+        return table.select("key", "id", "root", "n", "sig", "shingles",
+                            F.lit(side).cast("byte").alias("side"), p.alias("p"), q.alias("q"))
 
     met = dealt(rows.where("root != largest"), 0, "k_few", "k_all").unionByName(
         dealt(rows, 1, "k_all", "k_few"))
 
     def match(key, table):
         side = table.column("side").to_numpy()
-        ids, root, n = (table.column(c).to_numpy() for c in ("id", "root", "n"))
+        ids, label, n = (table.column(c).to_numpy() for c in ("id", "root", "n"))
+        label = label.copy()
         sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+        column = table.column("shingles").combine_chunks()
+        values, bound = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()  # in order
+        sets = [values[x:y] for x, y in zip(bound[:-1], bound[1:])]
+        full = ~np.asarray(column.is_null().to_numpy(zero_copy_only=False))
         few, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        a, b, m = [], [], []
+        out = []
         for i in few.tolist():
             small, large = np.minimum(n[i], n[every]), np.maximum(n[i], n[every])
-            to = every[(root[every] != root[i]) & (100 * small >= percent * large)]
-            may, agree = may_link(sig[to], sig[i], n[to], n[i], percent)
-            to, agree = to[may], agree[may]
-            if likeliest and len(to):
-                best = np.lexsort((ids[to], -agree))[:1]
-                to, agree = to[best], agree[best]
-            a.append(np.full(len(to), ids[i]))
-            b.append(ids[to])
-            m.append(agree)
-        none = np.zeros(0, dtype=np.int64)
-        return pa.table({"a": np.concatenate(a or [none]), "b": np.concatenate(b or [none]),
-                         "m": np.concatenate(m or [none]).astype(np.float64)})
-
-    found = met.groupBy("key", "p", "q").applyInArrow(match, "a long, b long, m double")
-    if likeliest:
-        found = found.groupBy("a").agg(F.max_by("b", F.struct("m", -F.col("b"))).alias("b"))
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            to = every[(label[every] != label[i]) & (100 * small >= percent * large)]
+            to = to[may_link(sig[to], sig[i], n[to], n[i], percent)[0]]
+            sure = full[to] & full[i]
+            out += [(ids[i], x, False) for x in ids[to[~sure]]]
+            to = to[sure]
+            if not len(to):
+                continue
+            both = _overlaps(sets[i], [sets[k] for k in to])
+            to = to[100 * both >= percent * (n[i] + n[to] - both)]
+            joined, first = np.unique(label[to], return_index=True)
+            out += [(ids[i], ids[k], True) for k in to[first]]
+            label[np.isin(label, joined)] = label[i]
+        a, b, sure = zip(*out) if out else ((), (), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
+                         "sure": pa.array(sure, pa.bool_())})
+
+    found = met.groupBy("key", "p", "q").applyInArrow(match, "a long, b long, sure boolean")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure").distinct()
 
 
 def linked_roots(nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
-                 rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+                 rows: int = ROWS, block: int = BLOCK, short: int = SHORT) -> DataFrame:
     """(id, root) of every node (saved) that is linked to a smaller id, its component's root."""
     every = buckets(nodes, rows)
     # equal keys make a bucket; the smallest id is its centre
@@ -314,21 +335,17 @@ def linked_roots(nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent
     # of its centres each member takes the one it shares most buckets with: one edge a member
     star = live.where("id != centre").groupBy("id", "centre").agg(F.count(F.lit(1)).alias("m"))
     star = star.groupBy("id").agg(F.max_by("centre", F.struct("m", -F.col("centre"))).alias("a"))
-    star = star.select("a", F.col("id").alias("b"))
-    found = saved(plausible(star, nodes, percent))
+    found = saved(plausible(star.select("a", F.col("id").alias("b")), nodes, percent))
     roots = merged(None, confirmed(found, nodes, docs, size, percent))
-    for last in [False] * LIKELIEST + [True]:
-        placed = saved(_rooted(live.select("key", "id"), roots, "id", "root"))
-        # families grow together by one edge a member before all pairs that are left are compared
-        left = saved(across(placed, nodes, percent, block, not last))
-        new = confirmed(left, nodes, docs, size, percent)
-        if new.limit(1).count():
-            roots = merged(roots, new)
-    return roots
+    placed = _rooted(live.select("key", "id"), roots, "id", "root")
+    left = saved(across(placed, nodes, docs, size, percent, block, short))
+    roots = merged(roots, saved(left.where("sure").select("a", "b")))
+    open_ = saved(_apart(left.where("NOT sure").select("a", "b"), roots).select("a", "b"))
+    return merged(roots, confirmed(open_, nodes, docs, size, percent))
 
 
 def components_of(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
-                  rows: int = ROWS, block: int = BLOCK) -> DataFrame:
+                  rows: int = ROWS, block: int = BLOCK, short: int = SHORT) -> DataFrame:
     """(doc_id, text_key, n, root, component_id) of every row; ``root`` is NULL for empty sets."""
     own = saved(described(docs, size))
     nodes = own.where("n > 0").groupBy("hi", "lo").agg(
@@ -336,7 +353,7 @@ def components_of(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
         F.min("doc_id").alias("least"))
     # numbers instead of digests: fixed once saved
     nodes = saved(nodes.withColumn("id", F.monotonically_increasing_id()))
-    roots = linked_roots(nodes, docs, size, percent, rows, block)
+    roots = linked_roots(nodes, docs, size, percent, rows, block, short)
     named = nodes.select("hi", "lo", "id", "least").join(roots, "id", "left").withColumn(
         "root", F.coalesce("root", "id"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
