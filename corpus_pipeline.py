@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from worklens.llm import langid, mixing, rules, sentences, simhash
+from worklens.llm.common import shared_folder
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,10 +51,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stage over ``documents``; what a stage returns is written as Parquet and read again.
 
     The files go to the folder that all executors share (``spark.checkpoint.dir``); only where that
-    is unset, as in tests on one machine, a temporary folder is made.
+    is unset and the master is local, as in tests, a temporary folder is made.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="corpus-")
-    folder = f"{shared.rstrip('/')}/corpus-{uuid.uuid4().hex}"
+    folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
