@@ -4,11 +4,12 @@ from datetime import date, datetime
 
 import pytest
 from landed_pages import MOVES, PEOPLE, PROJECTS, RUN1, RUN2, project, task, write_all, write_page
+from pyspark.sql import functions as F
 
 from worklens.operators.quarantine import all_rejects, cascade, reject_summary, valid
 from worklens.plans.checks import calendar_coverage, gold_checks, require_consistent
 from worklens.plans.gold import open_model
-from worklens.plans.refresh import refresh, refresh_silver
+from worklens.plans.refresh import refresh, refresh_gold, refresh_silver
 from worklens.plans.silver import candidates, unparsed
 from worklens.schemas import GOLD, gold_schema
 from worklens.sources.landing import bad_pages, read_pages, records
@@ -146,6 +147,67 @@ def test_a_failed_check_stops_the_refresh(model):
         require_consistent(broken)
 
 
+def test_checks_read_each_table_once(model):
+    plan = gold_checks(model)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 5 and "Join" not in plan
+
+
+def violations(model):
+    return {r["checagem"]: r["violacoes"] for r in gold_checks(model).collect()}
+
+
+def test_checks_count_rows_without_keys(model):
+    """A NULL key has no parent, even where the dimension holds a NULL; repeated rows count."""
+    tasks = model["fato_tarefa"]
+    no_key = tasks.where("tarefa_id = 'TSK-00001'").withColumns({
+        "projeto_id": F.lit(None).cast("string"), "responsavel_id": F.lit(None).cast("string"),
+        "data_criacao": F.lit(None).cast("date"), "tarefa_id": F.lit(None).cast("string")})
+    projects = model["dim_projeto"]
+    nobody = projects.limit(1).withColumn("projeto_id", F.lit(None).cast("string"))
+    found = violations(model.replacing({
+        "fato_tarefa": lambda: tasks.unionByName(no_key).unionByName(no_key),
+        "dim_projeto": lambda: projects.unionByName(nobody)}))
+    assert found == {
+        "toda tarefa tem projeto": 2, "todo responsável existe": 2,
+        "status da tarefa = última passagem": 0, "uma etapa atual por tarefa": 0,
+        "tempos não negativos": 0, "ciclo ≤ lead time": 0, "calendário cobre todas as datas": 2}
+
+
+def test_checks_count_pairs_of_task_and_current_visit(model):
+    visits = model["fato_passagem_status"]
+    current = visits.where("tarefa_id = 'TSK-00001' AND etapa_atual")
+    other = current.withColumn("status", F.lit("Fazendo"))
+    unknown = current.withColumn("status", F.lit(None).cast("string"))
+    found = violations(model.replacing({
+        "fato_passagem_status": lambda: visits.unionByName(current).unionByName(other)
+        .unionByName(other).unionByName(unknown)}))
+    assert found["status da tarefa = última passagem"] == 2
+    assert found["uma etapa atual por tarefa"] == 1
+
+
+def test_checks_of_an_empty_model(model):
+    empty = model.replacing(
+        {name: lambda name=name: model[name].limit(0) for name in model.names})
+    assert set(violations(empty).values()) == {0}
+    assert [r["violacoes"] for r in calendar_coverage(empty).collect()] == [0, 0]
+
+
+def test_a_task_that_breaks_a_rule_is_never_shown(spark, counts, tmp_path, monkeypatch):
+    """The write of the fact counts the rule; what readers see stays as it was."""
+    before = rows(spark.table("fato_tarefa"), "tarefa_id")
+    silver = spark.table("silver_tarefas").withColumn(
+        "criada_em", F.when(F.col("id") == "TSK-00001", F.expr("criada_em + INTERVAL 9 DAYS"))
+        .otherwise(F.col("criada_em")))
+    real = type(spark).table
+    monkeypatch.setattr(type(spark), "table", lambda self, name: (
+        silver if name == "silver_tarefas" else real(self, name)))
+    with pytest.raises(AssertionError, match="ciclo"):
+        refresh_gold(spark)
+    monkeypatch.undo()
+    assert rows(spark.table("fato_tarefa"), "tarefa_id") == before
+    assert violations(open_model(spark))["ciclo ≤ lead time"] == 0
+
+
 def test_deleted_person_leaves_and_takes_the_tasks(spark, tmp_path):
     root = write_all(tmp_path)
     write_page(root, "usuarios", RUN2, [p for p in PEOPLE if p["id"] != "USR-002"])

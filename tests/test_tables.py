@@ -37,6 +37,16 @@ def test_failing_write_leaves_the_old_rows(spark, name):
     assert save_table(spark.range(1).toDF("a"), name) == 1 and rows(spark, name) == [(0,)]
 
 
+def test_rows_that_break_a_rule_are_never_shown(spark, name):
+    positive = {"a não negativo": F.count_if(F.col("a") < 0)}
+    assert save_table(spark.range(3).toDF("a"), name, violations=positive) == 3
+    with pytest.raises(AssertionError, match="a não negativo"):
+        save_table(spark.range(-1, 5).toDF("a"), name, violations=positive)
+    assert rows(spark, name) == [(0,), (1,), (2,)]
+    assert versions(spark, name) == [current_version(spark, name)]
+    assert save_table(spark.range(0).toDF("a"), name, violations=positive) == 0
+
+
 def test_failing_swap_leaves_the_old_rows(spark, name, monkeypatch):
     """A schema change that gets as far as the swap and no further."""
     save_table(spark.range(3).toDF("a"), name)

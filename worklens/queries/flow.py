@@ -227,7 +227,9 @@ def gold_checks_query(spark, sf_dir):
 
     def visits():
         facts = model["fato_passagem_status"]
-        return facts.unionByName(facts.where(F.col("etapa_atual") & (key % 47 == 0)))
+        twice = F.col("etapa_atual") & (key % 47 == 0)
+        copies = F.when(twice, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        return facts.withColumn("_copia", F.explode(copies)).drop("_copia")
 
     return gold_checks(model.replacing({
         "fato_tarefa": tasks, "fato_passagem_status": visits,

@@ -6,9 +6,10 @@ leaves the old version, its rows and its schema, as they were.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: What the versions of a table are called: the name, this, and a number of their own.
@@ -16,23 +17,31 @@ VERSION = "__v"
 
 
 def save_table(
-    df: DataFrame, name: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    df: DataFrame, name: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (),
+    violations: Mapping[str, Column] | None = None,
 ) -> int:
     """Replace a table and its schema; rows are counted by the write itself, not by a second scan.
 
     ``name`` is a view over the newest version. The version before it is kept, so that readers who
     opened it finish; older ones are dropped after the swap.
+
+    ``violations`` are aggregates that must be zero. The same write counts them, and where one is not
+    zero the new version goes before anybody has seen it.
     """
     spark = df.sparkSession
     before = versions(spark, name)
     version = f"{name}{VERSION}{uuid4().hex}"
     seen = Observation(f"rows_{uuid4().hex}")
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.format(fmt)
+    broken = [counted.alias(check) for check, counted in (violations or {}).items()]
+    writer = df.observe(seen, F.count(F.lit(1)).alias("rows"), *broken).write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     current = current_version(spark, name)
     try:
         writer.saveAsTable(version)
+        failed = [check for check in violations or {} if seen.get[check]]
+        if failed:
+            raise AssertionError(f"inconsistent rows for {name}: {failed}")
     except Exception:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
