@@ -8,12 +8,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from worklens.schemas import CHANGE_COLUMN, RESOURCES
 from worklens.session import shared_folder
+from worklens.sources.control import append_run, read_log
 from worklens.sources.landing import (
     CORRUPT,
     envelope,
@@ -26,6 +26,10 @@ from worklens.sources.watermark import changes, run_log, watermarks
 
 LANDED = [name for name in RESOURCES if name != "meta"]
 
+MARKS = "recurso string, marca timestamp"
+RUNS = ("recurso string, _execucao string, paginas bigint, registros bigint, desde timestamp, "
+        "modo string")
+
 
 def land_new_pages(
     spark: SparkSession, root: str, resource: str, target: str, checkpoint: str,
@@ -76,11 +80,15 @@ def committed_runs(spark: SparkSession, target: str) -> DataFrame | None:
 
     A snapshot of any other run may be partial and must not delete anything.
     """
-    try:
-        marks = spark.read.parquet(f"{target}/_controle/marcas")
-    except AnalysisException:
+    marks = read_log(spark, f"{target}/_controle/marcas", MARKS)
+    if marks is None:
         return None
-    return marks.select(F.col("execucao").cast("string").alias("_execucao")).distinct()
+    return marks.select(F.col("execucao").alias("_execucao")).distinct()
+
+
+def logged_runs(spark: SparkSession, target: str) -> DataFrame | None:
+    """The run log so far: pages, records, mode and window per run and resource."""
+    return read_log(spark, f"{target}/_controle/execucoes", RUNS)
 
 
 def landed(spark: SparkSession, target: str, resource: str) -> DataFrame:
@@ -90,12 +98,11 @@ def landed(spark: SparkSession, target: str, resource: str) -> DataFrame:
 
 def saved_marks(spark: SparkSession, target: str) -> DataFrame | None:
     """Marks of the newest committed run, None before the first."""
-    try:
-        runs = spark.read.parquet(f"{target}/_controle/marcas")
-    except AnalysisException:
+    runs = read_log(spark, f"{target}/_controle/marcas", MARKS)
+    if runs is None:
         return None
-    newest = runs.agg(F.max(F.col("execucao").cast("string"))).scalar()
-    return runs.where(F.col("execucao").cast("string") == newest).select("recurso", "marca")
+    newest = runs.agg(F.max("execucao")).scalar()
+    return runs.where(F.col("execucao") == newest).select("recurso", "marca")
 
 
 def log_run(spark: SparkSession, target: str, run: str) -> DataFrame:
@@ -107,9 +114,8 @@ def log_run(spark: SparkSession, target: str, run: str) -> DataFrame:
     marks = saved_marks(spark, target)
     if marks is not None:
         marks = marks.withColumn("_execucao", F.lit(run))
-    folder = f"{target}/_controle/execucoes/execucao={run}"
-    run_log(landed_pages, marks).write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+    log = run_log(landed_pages, marks)
+    return append_run(spark, f"{target}/_controle/execucoes", run, log, RUNS)
 
 
 def commit_marks(spark: SparkSession, target: str, run: str) -> DataFrame:
@@ -120,9 +126,7 @@ def commit_marks(spark: SparkSession, target: str, run: str) -> DataFrame:
     resources = {
         name: parsed_records(stored_run(spark, target, name, run)) for name in CHANGE_COLUMN}
     marks = watermarks(changes(resources), saved_marks(spark, target))
-    folder = f"{target}/_controle/marcas/execucao={run}"
-    marks.write.mode("overwrite").parquet(folder)
-    return spark.read.parquet(folder)
+    return append_run(spark, f"{target}/_controle/marcas", run, marks, MARKS)
 
 
 def land_run(
