@@ -55,6 +55,20 @@ def domain_default(spark, sf_dir):
         "o_orderkey", X.in_domain(typed, PRIORITIES, PRIORITY_UNKNOWN).alias("prioridade"))
 
 
+@query("domain_source_values", """
+SELECT o_orderkey, CASE WHEN substr(o_orderpriority, 3) IN ('URGENT', 'HIGH', 'MEDIUM', 'LOW')
+       THEN substr(o_orderpriority, 3, 1) || lower(substr(o_orderpriority, 4))
+       ELSE 'Não informada' END AS prioridade
+FROM orders
+""")
+def domain_source_values(spark, sf_dir):
+    """Priorities as the source writes them, in a closed domain; what lies outside has the default."""
+    written = F.substring_index("o_orderpriority", "-", -1)
+    domain = ["Urgent", "High", "Medium", "Low"]
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", X.in_domain(written, domain, PRIORITY_UNKNOWN).alias("prioridade"))
+
+
 @query("null_defaults", """
 SELECT d.doc_id, coalesce(l.toxic = 0, TRUE) AS ativo,
        CASE WHEN l.quality = 1 THEN 1 ELSE 0 END AS qtd_etiquetas

@@ -146,6 +146,43 @@ def file_lineage(spark, sf_dir):
           F.max("event_id").alias("ultimo"))
 
 
+@query("lineage_check", """
+, lidos AS (
+  SELECT 'events.parquet' AS arquivo, count(*) AS n FROM events
+  UNION ALL SELECT 'orders.parquet', count(*) FROM orders
+  UNION ALL SELECT 'labels.parquet', count(*) FROM labels
+), log AS (
+  SELECT 'events.parquet' AS arquivo, count(*) AS n FROM events
+  UNION ALL SELECT 'orders.parquet', count(DISTINCT l_orderkey) FROM lineitem
+  UNION ALL SELECT 'customer.parquet', count(*) FROM customer
+)
+SELECT coalesce(lidos.arquivo, log.arquivo) AS arquivo, CAST(lidos.n AS BIGINT) AS registros_lidos,
+       CAST(log.n AS BIGINT) AS registros_log,
+       CASE WHEN log.n IS NULL THEN 'sem registro no log' WHEN lidos.n IS NULL THEN 'sem arquivo'
+            WHEN log.n = lidos.n THEN 'confere' ELSE 'registros diferem' END AS situacao
+FROM lidos FULL JOIN log ON lidos.arquivo = log.arquivo
+""")
+def lineage_check_query(spark, sf_dir):
+    """Three files as read, against a log by day, one by order lines, and one of a file not read."""
+    name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)", 1)
+    parts = [
+        landing.file_counts(table(spark, sf_dir, t).select(name.alias("_arquivo")))
+        for t in ("events", "orders", "labels")
+    ]
+    by_day = table(spark, sf_dir, "events").groupBy(F.to_date("ts")).agg(
+        F.count(F.lit(1)).alias("registros"))
+    ordered_lines = table(spark, sf_dir, "lineitem").agg(
+        F.count_distinct("l_orderkey").alias("registros"))
+    unread = table(spark, sf_dir, "customer").agg(F.count(F.lit(1)).alias("registros"))
+    log = [
+        rows.select(F.lit(f"{t}.parquet").alias("_arquivo"), "registros")
+        for t, rows in (("events", by_day), ("orders", ordered_lines), ("customer", unread))
+    ]
+    read = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    logged = log[0].unionByName(log[1]).unionByName(log[2])
+    return landing.lineage_check(read, logged).withColumnRenamed("_arquivo", "arquivo")
+
+
 @query("latest_snapshot", """
 SELECT event_id, strftime(ts, '%Y%m%d') AS _execucao FROM events
 WHERE CAST(ts AS DATE) = (SELECT CAST(max(ts) AS DATE) FROM events)

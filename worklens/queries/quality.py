@@ -25,6 +25,36 @@ def quarantine_rules(spark, sf_dir):
     return _projects_with_rules(spark, sf_dir).select("id", "motivo")
 
 
+@query("quarantine_builtin_rules", """
+SELECT CAST(c_custkey AS VARCHAR) AS id,
+       CASE WHEN c_mktsegment IN ('HOUSEHOLD', 'MACHINERY') THEN 'situação de projeto desconhecida'
+            WHEN c_acctbal < 0 THEN 'farol desconhecido'
+            WHEN c_nationkey > 20 AND primeira < ultima THEN 'limite antes do início' END AS motivo
+FROM customer LEFT JOIN (
+  SELECT o_custkey AS c_custkey, min(CAST(o_orderdate AS DATE)) AS primeira,
+         max(CAST(o_orderdate AS DATE)) AS ultima
+  FROM orders GROUP BY 1) USING (c_custkey)
+""")
+def quarantine_builtin_rules(spark, sf_dir):
+    """Every built-in project rule on rows that break it: unknown and missing state, light, dates."""
+    spans = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.to_date(F.min("o_orderdate")).alias("primeira"),
+        F.to_date(F.max("o_orderdate")).alias("ultima"))
+    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
+    turned = F.col("c_nationkey") > 20  # written with first and last day swapped
+    projects = table(spark, sf_dir, "customer").join(spans, "c_custkey", "left").select(
+        F.col("c_custkey").cast("string").alias("id"),
+        F.when(segment == "AUTOMOBILE", "Ativo").when(segment == "BUILDING", "Concluído")
+        .when(segment == "FURNITURE", "Arquivado").when(segment == "MACHINERY", segment)
+        .alias("situacao"),
+        F.when(balance >= 5000, "Verde").when(balance >= 0, "Amarelo").otherwise("Preto")
+        .alias("farol"),
+        F.when(turned, F.col("ultima")).otherwise(F.col("primeira")).alias("inicio"),
+        F.when(turned, F.col("primeira")).otherwise(F.col("ultima")).alias("limite"),
+    )
+    return Q.flag_rules(projects, Q.row_rules("projetos")).select("id", "motivo")
+
+
 @query("quarantine_orphans", """
 SELECT doc_id, CASE WHEN doc_id NOT IN (SELECT doc_id FROM labels)
        THEN 'doc_id sem correspondente' END AS motivo

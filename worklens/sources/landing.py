@@ -101,6 +101,27 @@ def parsed_pages(stored: DataFrame, resource: str) -> DataFrame:
     ).agg(F.count_if(~F.col("vazia")).alias("registros"))
 
 
+def file_counts(files: DataFrame) -> DataFrame:
+    """``_arquivo, registros`` of rows read from a file, by the file's name whatever it is."""
+    return files.groupBy("_arquivo").agg(F.count(F.lit(1)).alias("registros"))
+
+
+def lineage_check(read: DataFrame, logged: DataFrame) -> DataFrame:
+    """Files as read against files as logged, both ``_arquivo, registros``, in both directions.
+
+    A file without a log row, a log row without a file, and a file whose number of records differs
+    do not agree; several log rows of one file add up.
+    """
+    log = logged.groupBy("_arquivo").agg(F.sum("registros").alias("registros_log"))
+    found = read.groupBy("_arquivo").agg(F.sum("registros").alias("registros_lidos"))
+    return found.join(log, "_arquivo", "full").withColumn(
+        "situacao",
+        F.when(F.col("registros_log").isNull(), "sem registro no log")
+        .when(F.col("registros_lidos").isNull(), "sem arquivo")
+        .when(F.col("registros_log") == F.col("registros_lidos"), "confere")
+        .otherwise("registros diferem"))
+
+
 def latest_meta(pages: DataFrame) -> DataFrame:
     """The reference date of the newest run, by file path."""
     return newest_row(pages, "_arquivo").select(
