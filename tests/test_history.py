@@ -9,7 +9,12 @@ from pyspark.sql import functions as F
 from worklens.functions.times import instant
 from worklens.operators import audit as A
 from worklens.operators import pointintime as P
-from worklens.operators.compare import diff_summary, fingerprint, table_diff
+from worklens.operators.compare import (
+    diff_summary,
+    fingerprint,
+    table_diff,
+    table_diff_by_digest,
+)
 from worklens.operators.spans import project_months, task_months
 
 REF = date(2026, 9, 30)
@@ -177,6 +182,52 @@ def test_table_diff(spark):
         table_diff(a, b.select("b", "a"))
 
 
+def _shuffled_rows(plan) -> int:
+    """Rows that the exchanges of an executed plan wrote."""
+    name = plan.getClass().getSimpleName()
+    if name == "AdaptiveSparkPlanExec":
+        return _shuffled_rows(plan.executedPlan())
+    if name.endswith("QueryStageExec"):
+        return _shuffled_rows(plan.plan())
+    own = plan.metrics().apply("shuffleRecordsWritten").value() if name == "ShuffleExchangeExec" else 0
+    children = plan.children()
+    return own + sum(_shuffled_rows(children.apply(i)) for i in range(children.size()))
+
+
+def test_digest_tree_shuffles_only_what_differs(spark):
+    n = 400_000
+    a = spark.range(0, n, 1, 8).select(
+        "id", F.when(F.col("id") % 3 != 0, F.col("id").cast("string")).alias("b"),
+        (F.col("id") / 7).alias("c"))
+    b = a.withColumn("c", F.when(F.col("id") == 77_777, -0.5).otherwise(F.col("c")))
+    diff = table_diff_by_digest(a, b)
+    assert sorted((r["id"], r["c"], r["copias_a"], r["copias_b"]) for r in diff.collect()) == [
+        (77_777, -0.5, 0, 1), (77_777, 77_777 / 7, 1, 0)]
+    plan = diff._jdf.queryExecution().executedPlan()
+    assert 0 < _shuffled_rows(plan) < 0.02 * 2 * n
+    plain = table_diff(a, b)
+    plain.collect()
+    assert _shuffled_rows(plain._jdf.queryExecution().executedPlan()) >= 2 * n
+
+
+def test_digest_tree_finds_the_rows_of_the_plain_comparison(spark):
+    rows = [(1, "x"), (1, "x"), (2, None), (None, "2"), (None, None), (4, ""), (5, "y"), (5, "y")]
+    other = [(1, "x"), (3, None), (3, None), (None, "2"), (2, ""), (4, None), (5, "y"), (5, "z")]
+    a = spark.createDataFrame(rows, "a int, b string")
+    b = spark.createDataFrame(other, "a int, b string")
+    for left, right in ((a, b), (b, a), (a, a), (a, b.where("false")), (a.union(a), a)):
+        wanted = sorted(map(repr, table_diff(left, right).collect()))
+        for fanout, depth in ((256, 2), (2, 3), (1, 1)):
+            got = table_diff_by_digest(left, right, fanout=fanout, depth=depth).collect()
+            assert sorted(map(repr, got)) == wanted
+    zero = spark.createDataFrame([(0.0,), (-0.0,)], "a double")
+    assert table_diff_by_digest(zero, spark.createDataFrame([(0.0,), (0.0,)], "a double")).isEmpty()
+    with pytest.raises(ValueError, match="columns"):
+        table_diff_by_digest(a, b.select("b", "a"))
+    with pytest.raises(ValueError, match="leaves"):
+        table_diff_by_digest(a, b, depth=3)
+
+
 def test_fingerprint_ignores_order_and_counts_copies(spark):
     a = spark.createDataFrame([(1, "x"), (2, None), (2, "")], "a int, b string")
     same = a.orderBy(F.desc("a"))

@@ -118,7 +118,8 @@ def measures_flow(spark, sf_dir):
         "Mudanças de Status", "Bloqueios no Período", "Ciclo Médio (dias)",
         "Idade Média das Abertas (dias)", "Dias Bloqueada", "% Concluídas com Retrabalho",
     ]
-    return measure(W.flow_model(spark, sf_dir), names, ["dim_projeto.portfolio"])
+    model = W.flow_model(spark, sf_dir, kept=("passagens", "fato_tarefa", "dim_projeto"))
+    return measure(model, names, ["dim_projeto.portfolio"])
 
 
 @query("measure_basic", """
@@ -577,7 +578,8 @@ FLOW_ROWS = ", ".join([
 SELECT medida, round(valor, 6) AS valor, texto, TRUE AS confere FROM linhas_r
 """)
 def reconcile_flow(spark, sf_dir):
-    model = W.flow_model(spark, sf_dir)
+    model = W.flow_model(spark, sf_dir, kept=(
+        "passagens", "fato_tarefa", "fato_passagem_status", "dim_projeto", "dim_data"))
     names, period = crosscheck.FLOW_NAMES, crosscheck.PERIOD_VISIT_NAMES
     ours = long_form(measure(model, names), names).unionByName(long_form(
         measure(model, period, filters={"dim_data.mes_ano": ["jan/24"]}), period))

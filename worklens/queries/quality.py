@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from worklens.operators import quarantine as Q
-from worklens.operators.compare import diff_summary, fingerprint, table_diff
+from worklens.operators.compare import (
+    diff_summary,
+    fingerprint,
+    table_diff,
+    table_diff_by_digest,
+)
 from worklens.queries.registry import query
 from worklens.sources import warehouse as W
 from worklens.sources.warehouse import table
@@ -231,6 +236,27 @@ def table_diff_counts(spark, sf_dir):
     return diff_summary(table_diff(*_two_loads(spark, sf_dir)))
 
 
+@query("table_diff_by_digest", f"""
+, linhas AS ({SQL_EXACT})
+, recarga AS (
+  SELECT * REPLACE (CASE WHEN l_orderkey % 1500 = 7 THEN l_quantity + 100 ELSE l_quantity END
+                    AS l_quantity)
+  FROM linhas WHERE l_orderkey % 1500 <> 5
+  UNION ALL SELECT * FROM linhas WHERE l_orderkey % 1500 = 3)
+SELECT linhas_b.* EXCLUDE (a, b),
+       CAST(sum(a) AS BIGINT) AS copias_a, CAST(sum(b) AS BIGINT) AS copias_b
+FROM (SELECT *, 1 AS a, 0 AS b FROM linhas UNION ALL SELECT *, 0, 1 FROM recarga) AS linhas_b
+GROUP BY ALL HAVING sum(a) <> sum(b)
+""")
+def table_diff_digest(spark, sf_dir):
+    """Order lines, and a load of them that lost, repeated and changed a few orders."""
+    lines = _exact_lines(spark, sf_dir)
+    order = F.col("l_orderkey") % 1500
+    changed = lines.where(order != 5).withColumn(
+        "l_quantity", F.when(order == 7, F.col("l_quantity") + 100).otherwise(F.col("l_quantity")))
+    return table_diff_by_digest(lines, changed.unionByName(lines.where(order == 3)))
+
+
 @query("fingerprint", f"""
 SELECT count(*) AS linhas, CAST(sum(CAST('0x' || substr(sha256(concat_ws(chr(1),
          'v' || CAST(l_orderkey AS VARCHAR), 'v' || CAST(l_partkey AS VARCHAR),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import SparkSession
 
 RUNTIME = {
@@ -40,3 +43,15 @@ def shared_folder(spark: SparkSession, fallback: str | None = None) -> str:
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     return folder.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder for tables that one query writes and reads again.
+
+    It lies in ``spark.checkpoint.dir``. Only where that is unset and all tasks run on this machine (a
+    local master, as in tests) it is a temporary one; on a cluster that is an error.
+    """
+    local = spark.sparkContext.master.startswith("local")
+    set_ = spark.conf.get("spark.checkpoint.dir", None)
+    fallback = tempfile.mkdtemp(prefix="worklens-") if local and not set_ else None
+    return f"{shared_folder(spark, fallback)}/scratch-{uuid4().hex}"

@@ -7,6 +7,7 @@ history). Customers are projects, market segments portfolios, suppliers people.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +26,7 @@ from worklens.plans.gold import (
     star,
     task_facts,
 )
+from worklens.session import scratch_folder
 from worklens.sources.calendar import stage_catalog
 
 # fixed values: reference dates (not before the last event and the last order) and mappings of the
@@ -283,15 +285,28 @@ def projects(spark: SparkSession, sf_dir: str, view: str = "delivery") -> DataFr
 # --- models ---------------------------------------------------------------------------------------
 
 
-def flow_model(spark: SparkSession, sf_dir: str) -> Model:
-    """The event view, with visits; source plans are built when a table needs them."""
+def flow_model(spark: SparkSession, sf_dir: str, kept: Collection[str] = ()) -> Model:
+    """The event view, with visits; source plans are built when a table needs them.
+
+    Tables named in ``kept`` (``passagens`` are the visits before they meet their tasks) are written
+    when first asked for and read back, as a refresh does with all of them. Where several measures
+    share a table, histories are then ordered and folded once, and each use reads only its columns.
+    """
+    folder = scratch_folder(spark) if kept else ""
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        if name not in kept:
+            return df
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
     return star(spark, Sources({
         "portfolios": lambda: portfolios(spark, sf_dir),
         "usuarios": lambda: people(spark, sf_dir),
         "projetos": lambda: projects(spark, sf_dir, "flow"),
         "tarefas": lambda: flow_tasks(spark, sf_dir),
         "movimentacoes": lambda: flow_moves(spark, sf_dir),
-    }), FLOW_REF)
+    }), FLOW_REF, stage=stage)
 
 
 def delivery_model(spark: SparkSession, sf_dir: str) -> Model:
