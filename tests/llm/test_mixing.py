@@ -60,6 +60,32 @@ def test_small_cells(docs):
     check(hot, mixing.saved(mixing.mix(hot, cell=16)), 1.0)
 
 
+def test_each_prefix_of_a_size_gets_its_share(spark):
+    """Running sums in two levels are those of one: along sizes and cells, the copies of each size come
+    to its expected number within one."""
+    rows = spark.range(3000).select(
+        F.col("id").alias("doc_id"), F.lit("s").alias("source"),
+        F.when(F.col("id") % 3 == 0, F.lit("a b c d")).otherwise(
+            F.repeat(F.lit("w "), (F.col("id") % 50).cast("int") + 1)).alias("text"))
+    other = rows.limit(1000).withColumn("source", F.lit("t"))
+    out = mixing.mix(rows.union(other), cell=8)
+    sizes = out.groupBy("source", "size").agg(F.count("*").alias("n"), F.sum("copies").alias("c")).collect()
+    for source in ("s", "t"):
+        some = [(r["size"], r.n, r.c) for r in sizes if r.source == source]
+        mean = sum(s * n for s, n, _ in some) / sum(n for _, n, _ in some)
+        goal = out.where(F.col("source") == source).first().target
+        low, high = -100.0, 100.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            words = sum(n * s * 2 / (1 + math.exp(-mid * s / mean)) for s, n, _ in some)
+            low, high = (mid, high) if words < goal else (low, mid)
+        ahead = got = 0.0
+        for s, n, c in sorted(some):
+            ahead += n * 2 / (1 + math.exp(-mid * s / mean))
+            got += c
+            assert abs(got - ahead) <= 1, (source, s)
+
+
 def test_rates_solve_the_dual(spark):
     histogram = spark.createDataFrame(
         [("a", s, n) for s, n in ((1, 5), (10, 3), (40, 2))], "source string, size long, n long")

@@ -27,7 +27,8 @@ SHARE, MOST = 1.5, 2
 STEPS = 40
 #: Rates are whole millionths.
 UNIT = 1_000_000
-#: Rows of equal source and size that are numbered in one task.
+#: Rows of equal source and size that are numbered together, at least; where there are many, both the
+#: rows of a cell and the cells grow with the root of their number.
 CELL = 256
 
 EXACT = "decimal(38,0)"
@@ -147,20 +148,26 @@ def mix(docs: DataFrame, cell: int = CELL) -> DataFrame:
     rated = histogram.join(state, F.col("source").eqNullSafe(F.col("s"))).select(
         "source", "size", "source_size", "target",
         F.coalesce(rate(F.col("tilt"), F.col("size"), F.col("mean")), F.lit(0)).alias("rate"),
-        F.ceil(F.col("n") / cell).alias("cells"))
-    rated = saved(rated.withColumn("part", F.col("rate") % UNIT)).withColumnsRenamed(
-        {"source": "s", "size": "z"})
+        F.ceil(F.col("n") / F.greatest(F.lit(cell), F.sqrt("n"))).alias("cells"), "n")
+    rated = rated.withColumn("part", F.col("rate") % UNIT)
+    # expected extra copies before a size, in millionths; half a copy ahead makes rounding fair
+    before = Window.unboundedPreceding, -1
+    smaller = Window.partitionBy("source").orderBy("size").rowsBetween(*before)
+    ahead_of_size = F.coalesce(
+        F.sum(F.col("n").cast(EXACT) * F.col("part")).over(smaller), F.lit(0).cast(EXACT))
+    rated = saved(rated.withColumn("size_begin", ahead_of_size + UNIT // 2).drop("n"))
+    rated = rated.withColumnsRenamed({"source": "s", "size": "z"})
     dealt = rows.join(
         rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).drop("s", "z")
     dealt = dealt.withColumn("cell", F.pmod("row_hash", "cells"))
     same = ["source", "size", "cell"]
     cells = dealt.groupBy(*same).agg(
-        F.count(F.lit(1)).alias("m"), F.first("part").alias("part"))
-    ahead = Window.partitionBy("source").orderBy("size", "cell").rowsBetween(
-        Window.unboundedPreceding, -1)
-    # expected extra copies before a cell, in millionths; half a copy ahead makes rounding fair
-    begin = F.coalesce(F.sum(F.col("m").cast(EXACT) * F.col("part")).over(ahead),
-                       F.lit(0).cast(EXACT)) + UNIT // 2
+        F.count(F.lit(1)).alias("m"), F.first("part").alias("part"),
+        F.first("size_begin").alias("size_begin"))
+    # and before a cell: rows of one size differ in nothing but their cell
+    ahead = Window.partitionBy("source", "size").orderBy("cell").rowsBetween(*before)
+    begin = F.col("size_begin") + F.coalesce(
+        F.sum("m").over(ahead), F.lit(0)).cast(EXACT) * F.col("part")
     cells = cells.select(F.col("source").alias("s"), F.col("size").alias("z"),
                          F.col("cell").alias("c"), begin.alias("begin"))
     number = F.row_number().over(Window.partitionBy(*same).orderBy("row_hash", "doc_id"))
