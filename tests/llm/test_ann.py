@@ -64,6 +64,29 @@ def test_hot_cell(spark):
     assert len(got) == 150
 
 
+@pytest.mark.parametrize("block", [1, 7, 40, 8192])
+def test_blocks_of_queries_change_nothing(spark, block):
+    """Shards go only to the blocks that ask for them; every block size gives the same rows."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(20, 6)) * 10
+    rows = [(i, (centres[i // 100 % 20] + rng.normal(size=6)).tolist()) for i in range(4000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, enough=400, shard=256, block=block).collect()
+    wanted = ann.search(df, enough=400).collect()
+    assert len(got) == 400 and sorted(map(tuple, got)) == sorted(map(tuple, wanted))
+
+
+def test_cells_as_bits():
+    rng = np.random.default_rng(2)
+    for n in (0, 1, 5, 300):
+        cells, to = rng.integers(0, 5000, size=n), rng.integers(0, 4, size=n)
+        shards, bits = ann.cell_bits(cells, to)
+        assert shards.tolist() == sorted(set(to.tolist())) and len(bits) == len(shards)
+        for shard, (lowest, flags) in zip(shards, bits):
+            every = np.arange(5000)
+            assert every[ann.has_bit(every, lowest, flags)].tolist() == sorted(set(cells[to == shard]))
+
+
 def test_edges(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (200, None), (300, [0.0, 0.0]),

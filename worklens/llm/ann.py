@@ -9,7 +9,9 @@ number is set so that ``RECALL`` of their true neighbours lie in the cells visit
 are fitted on a bounded sample; every vector is indexed.
 
 Work is dealt in shards of cells. A cell of many vectors (copies of one, say) spreads over several
-shards. A shard keeps the nearest few of each query, so no list of candidates is shuffled.
+shards. Queries that lie near each other make a block, and a shard goes only to the blocks that ask for
+it: one copy for up to ``QUERIES`` queries. A query goes to each of its shards with a bit for each of the
+shard's cells. A shard keeps the nearest few of each query, so no list of candidates is shuffled.
 
 Defined results: a vector that is NULL, zero, holds NULL or non-finite components, has no vec_id or
 not the most common length (ties: the longest) takes no part; equal rows count once; ties go to the
@@ -35,8 +37,10 @@ CENTROIDS = 128
 SAMPLE, FITTING = 20_000, 12
 #: Queries compared with every row, and the share of their neighbours that must be found.
 MEASURED, RECALL = 64, 0.96
-#: Vectors of a shard, and queries that meet a shard in one task.
-SHARD, QUERIES = 4096, 2048
+#: Vectors of a shard, and queries that meet a shard in one task, at most about twice as many.
+SHARD, QUERIES = 16_384, 8192
+#: Queries whose cells are looked up in one task.
+LOOKED_UP = 256
 
 
 class Index(NamedTuple):
@@ -111,6 +115,27 @@ def visited(query: np.ndarray, index: Index, enough: int) -> list[int]:
     return out
 
 
+def cell_bits(cells: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, list[tuple[int, bytes]]]:
+    """The shards in ``to``, and for each of them its lowest cell and a bit for each cell from there on."""
+    order = np.lexsort((cells, to))
+    shards, at = np.unique(to[order], return_index=True)
+    bits = []
+    for some in np.split(cells[order], at[1:]) if len(shards) else []:
+        flags = np.zeros(int(some[-1] - some[0]) + 1, dtype=np.uint8)
+        flags[some - some[0]] = 1
+        bits.append((int(some[0]), np.packbits(flags).tobytes()))
+    return shards, bits
+
+
+def has_bit(cells: np.ndarray, lowest: int, bits: bytes) -> np.ndarray:
+    """Which of the cells are among those of :func:`cell_bits`."""
+    flags = np.unpackbits(np.frombuffer(bits, dtype=np.uint8)).astype(bool)
+    at = cells - lowest
+    inside = (at >= 0) & (at < len(flags))
+    inside[inside] = flags[at[inside]]
+    return inside
+
+
 def nearest(query: np.ndarray, points: np.ndarray, ids: np.ndarray, own_id: int, k: int):
     """(ids, distances) of the k nearest rows by the contract's measure, the query's own left out."""
     distance = np.sqrt(((points - query) ** 2).sum(axis=1))
@@ -191,7 +216,7 @@ def enough_for(indexed: DataFrame, index: Index, queries: DataFrame, k: int, rec
 
 
 def search(vectors: DataFrame, every: int = 100, k: int = 10, enough: int | None = None,
-           centroids: int = CENTROIDS, shard: int = SHARD) -> DataFrame:
+           centroids: int = CENTROIDS, shard: int = SHARD, block: int = QUERIES) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row whose id ``every`` divides."""
     spark = vectors.sparkSession
     rows = saved(valid(vectors))
@@ -199,9 +224,9 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, enough: int | None
     if not rows.limit(1).count():
         return spark.createDataFrame([], empty)
     indexed, index = build(rows, centroids)
-    queries = rows.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    own = indexed.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
     if enough is None:
-        enough = enough_for(indexed, index, queries, k)
+        enough = enough_for(indexed, index, own, k)
     enough = max(enough, 4 * k)
     # cells in order make shards of about equal size; a large cell has shards of its own
     first = np.concatenate(([0], np.cumsum(index.count)[:-1])) // shard
@@ -228,33 +253,56 @@ def search(vectors: DataFrame, every: int = 100, k: int = 10, enough: int | None
                 n = parts[cells]
                 to = np.repeat(first[cells] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(
                     int(n.sum()))
-                of = np.repeat(cells, n)
-                order = np.argsort(to, kind="stable")
-                to, of = to[order], of[order]
-                shards, at = np.unique(to, return_index=True)
+                shards, bits = cell_bits(np.repeat(cells, n), to)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([batch.column("vec_id")[i].as_py()] * len(shards), pa.int64()),
                      pa.array([point.tolist()] * len(shards), pa.list_(pa.float64())),
-                     pa.array(np.split(of, at[1:]), pa.list_(pa.int64())), pa.array(shards)],
-                    names=["query_id", "q", "cells", "shard"])
+                     pa.array([batch.column("block")[i].as_py()] * len(shards), pa.int32()),
+                     pa.array([b for b, _ in bits], pa.int64()),
+                     pa.array([b for _, b in bits], pa.binary()), pa.array(shards)],
+                    names=["query_id", "q", "block", "lowest", "cells", "shard"])
+
+    # queries in order of their cells make blocks of about equal size; a cell of many has its own
+    asking = own.groupBy("cell").count().toArrow()  # no more rows than cells
+    at, n = asking.column("cell").to_numpy(), asking.column("count").to_numpy()
+    wanted = np.zeros(len(index.count), dtype=np.int64)
+    wanted[at] = n
+    near = spark.sparkContext.broadcast(
+        ((np.cumsum(wanted) - wanted) // block, np.maximum(1, -(-wanted // block))))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        begin, parts = near.value
+        for batch in batches:
+            cell, of = batch.column("cell").to_numpy(), batch.column("hash").to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("vec_id"), batch.column("v"),
+                 pa.array((begin[cell] + of % parts[cell]).astype(np.int32))],
+                names=["vec_id", "v", "block"])
 
-    blocks = max(1, -(-queries.count() // QUERIES))
-    entries = indexed.withColumn("hash", F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))).mapInArrow(
+    by_hash = F.pmod(F.xxhash64("vec_id"), F.lit(1 << 40))
+    entries = indexed.withColumn("hash", by_hash).mapInArrow(
         deal, "vec_id long, v array<double>, cell long, shard long")
-    entries = entries.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = queries.mapInArrow(
-        visit, "query_id long, q array<double>, cells array<long>, shard long").withColumn(
-        "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    tasks = max(1, -(-int(n.sum()) // LOOKED_UP))
+    asked = own.withColumn("hash", by_hash).mapInArrow(
+        place, "vec_id long, v array<double>, block int").repartition(tasks, "vec_id").mapInArrow(
+        visit, "query_id long, q array<double>, block int, lowest long, cells binary, shard long")
+    if int(n.sum()) > block:
+        asked = saved(asked)
+        pairs = asked.select(F.col("shard").alias("s"), F.col("block").alias("b")).distinct()
+        entries = entries.join(pairs, F.col("shard") == F.col("s")).select(
+            "vec_id", "v", "cell", "shard", F.col("b").alias("block"))
+    else:  # a single block
+        entries = entries.withColumn("block", F.lit(0))
 
     def meet(ours, theirs):
         out = []
         if ours.num_rows and theirs.num_rows:
             points, ids = _matrix(ours.column("v")), ours.column("vec_id").to_numpy()
             cell = ours.column("cell").to_numpy()
-            cells = theirs.column("cells").to_pylist()
+            lowest, bits = theirs.column("lowest").to_pylist(), theirs.column("cells").to_pylist()
             asked_by = theirs.column("query_id").to_pylist()
             for i, q in enumerate(_matrix(theirs.column("q"))):
-                inside = np.isin(cell, cells[i])
+                inside = has_bit(cell, lowest[i], bits[i])
                 near, distance = nearest(q, points[inside], ids[inside], asked_by[i], k)
                 out.append(pa.table({"query_id": pa.array([asked_by[i]] * len(near), pa.int64()),
                                      "vec_id": near, "score": distance}))
