@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import re
 import sys
-import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -39,14 +38,17 @@ REMEMBERED = 200_000
 #: Distinct words put into one lattice.
 LATTICE_WORDS = 20_000
 
-#: Characters of words that are no letters (Unicode categories L*): fractions, Roman numerals and such.
-_NUMERALS = "".join(c for c in map(chr, range(sys.maxunicode + 1))
-                    if c.isalnum() and not unicodedata.category(c).startswith("L"))
-_LETTERS = re.compile(rf"[^\W_{_NUMERALS}]+")
+#: Runs of letters and, as the re module has no class of letters alone, of numerals such as fractions.
+_LETTERS = re.compile(r"[^\W\d_]+")
+_NUMERALS = re.compile("[" + "".join(c for c in map(chr, range(sys.maxunicode + 1))
+                                     if c.isalnum() and not c.isalpha()) + "]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _LETTERS.findall(text.lower())
+    found = _LETTERS.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [w for x in found for w in ([x] if x.isalpha() else _NUMERALS.split(x)) if w]
 
 
 def _buffer(words: list[str]):
