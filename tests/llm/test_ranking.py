@@ -81,3 +81,37 @@ def test_hot_document_counts_once(spark, monkeypatch):
     assert sent[0] == sent[1] and len(ranker.weights) == len(plain.weights)
     again = ranking.learn(docs.unionByName(docs).unionByName(docs), labels)
     assert again == plain
+
+
+def test_every_labelled_document_is_learned(spark, monkeypatch):
+    """No label is left out, however many there are, and no partitioning changes the result."""
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"),
+        F.concat(F.when(F.col("id") % 3 == 0, "A||B ## ").otherwise("plain words "),
+                 F.repeat(F.lit("w "), (F.col("id") % 7).cast("int"))).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 3 > F.col("doc_id") % 2).cast("int").alias("quality"))
+    met = []
+    pairs_of, threshold_of = ranking.pairs_of, ranking.threshold_of
+    monkeypatch.setattr(ranking, "pairs_of", lambda x, *a: met.append(x.count()) or pairs_of(x, *a))
+    monkeypatch.setattr(ranking, "threshold_of", lambda x, *a: met.append(x.count()) or threshold_of(x, *a))
+    ranker = ranking.learn(docs, labels)
+    assert met == [24_000, 24_000]
+    assert ranking.learn(docs.repartition(7), labels.repartition(3)) == ranker
+    monkeypatch.setattr(ranking, "IDS", 10)
+    monkeypatch.setattr(ranking, "RARE", 10)
+    assert ranking.learn(docs, labels) == ranker
+
+
+def test_weights_maximise_the_likelihood(spark):
+    """Against plain Newton steps over all pairs at once."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 3)) * [1, 10, 0]
+    label = (rng.random(500) < 1 / (1 + np.exp(-x @ [1, -0.2, 0]))).astype(float)
+    df = ranking.saved(spark.createDataFrame(list(zip(label.tolist(), x.tolist())),
+                                             "label double, features array<double>"))
+    w = ranking.weights_of(df)
+    p = 1 / (1 + np.exp(-x @ w))
+    slope = (label - p) @ x / 500 - ranking.PENALTY * w * (x * x).mean(axis=0)
+    assert np.allclose(slope, 0, atol=1e-6) and w[2] == 0 and abs(w[0]) > 0.5
+    huge = df.select("label", F.transform("features", lambda v: v * 1e9).alias("features"))
+    assert np.allclose(ranking.weights_of(ranking.saved(huge)) * 1e9, w, atol=1e-6)

@@ -2,8 +2,11 @@
 
 A pair says that one document (labelled 1) is preferred to another (labelled 0). The weights of a
 linear score maximise the likelihood of the preferences: logistic loss on the difference of the two
-documents' features, no intercept. The verdict's threshold is a quantile of the scores of the
-labelled documents, the one at which the two labels are told apart best.
+documents' features, no intercept, by Newton's steps. Spark sums each step's gradient and curvature
+over all pairs as whole numbers, so the weights do not depend on the order or partitions of the rows.
+The verdict's threshold is a quantile of the scores of the labelled documents, the one at which the
+two labels are told apart best; scores are counted on a fine grid between the least and the largest.
+Every labelled document is learned from.
 
 Pairs come from an equality join: in each round every labelled document draws a slot by hash, and
 documents of different labels that share a slot make a pair; the slots are as many as the rarer
@@ -21,16 +24,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from worklens.llm.common import bounded_batches, columns, hash_sample_by, saved, slices
+from worklens.llm.common import bounded_batches, columns, saved, slices
 from worklens.llm.spans import mix, span_hashes, sums, words_of
 
-#: Labelled documents of each label that the weights are learned from, those of the smallest hash.
-SAMPLE = 4000
 ROUNDS = 6
+#: Labelled ids that may be broadcast, so that features are made of their texts only.
+IDS = 500_000
+#: Documents of the rarer label that may be broadcast to meet the others: 200 bytes each.
+RARE = 50_000
+#: Weight of the squared weights, as if features had variance one; most steps; the step that ends them.
+PENALTY, STEPS, ENOUGH = 1e-3, 60, 1e-9
+#: Steps of the grid that scores are counted on.
+GRID = 1 << 16
 #: The score at and above which a document is predicted to be good.
 CUT = 0.7
 
@@ -108,46 +115,128 @@ def pairs_of(labelled: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
     ``labelled`` is saved and has ``key``, ``quality`` and ``x``.
     """
-    count = labelled.groupBy("quality").count()
-    slots = max(1, min((r["count"] for r in count.collect()), default=1))
+    count = {r["quality"]: r["count"] for r in labelled.groupBy("quality").count().collect()}
+    slots = max(1, min(count.values(), default=1))
     drawn = labelled.withColumn("round", F.explode(F.sequence(F.lit(1), F.lit(rounds)))).withColumn(
         "slot", F.pmod(F.xxhash64("key", "round"), F.lit(slots)))
     good = drawn.where("quality = 1").select("round", "slot", "x", F.col("key").alias("a"))
     bad = drawn.where("quality = 0").select("round", "slot", F.col("x").alias("y"),
                                             F.col("key").alias("b"))
+    if slots <= RARE:  # few slots may hold very many documents of the other label
+        rarer = min(count, key=count.get, default=0)
+        good, bad = (good, F.broadcast(bad)) if rarer == 0 else (F.broadcast(good), bad)
     turned = F.when(F.pmod(F.xxhash64("a", "b"), F.lit(2)) == 0, 1.0).otherwise(-1.0)
     difference = F.zip_with("x", "y", lambda p, q: F.col("sign") * (p - q))
     return good.join(bad, ["round", "slot"]).withColumn("sign", turned).select(
-        ((F.col("sign") + 1) / 2).alias("label"), array_to_vector(difference).alias("features"))
+        ((F.col("sign") + 1) / 2).alias("label"), difference.alias("features"))
+
+
+def _whole(values: np.ndarray, bits: int) -> np.ndarray:
+    """Column sums of ``values`` rounded to 2^-bits, exact and so the same in any order."""
+    return np.rint(values * 2.0**bits).astype(np.int64).sum(axis=0)
+
+
+def _summed(pairs: DataFrame, parts) -> np.ndarray:
+    """Sums over all rows of ``parts(signed features) -> whole numbers``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("features").flatten().to_numpy().reshape(batch.num_rows, -1)
+                total = parts(x * (2 * batch.column("label").to_numpy() - 1)[:, None])
+                yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)],
+                                                 names=["at", "n"])
+
+    rows = pairs.mapInArrow(run, "at int, n long").groupBy("at").agg(
+        F.sum(F.col("n").cast("decimal(38,0)")).alias("n")).collect()
+    return np.array([float(r["n"]) for r in sorted(rows, key=lambda r: r["at"])])
+
+
+def weights_of(pairs: DataFrame) -> np.ndarray:
+    """The weights of the largest penalised likelihood of ``pairs`` (saved), from all of them."""
+    some = pairs.select(F.size("features").alias("n")).first()
+    if some is None:  # no two documents met
+        return np.zeros(len(features([b""])[0]))
+    peak = pairs.agg(*(F.max(F.abs(F.col("features")[j])).alias(f"x{j}") for j in range(some["n"]))).first()
+    unit = np.array([2.0 ** np.ceil(np.log2(v)) if v else 1.0 for v in peak])  # squares of at most 1
+    squares = _summed(pairs, lambda d: np.append(_whole((d / unit) ** 2, 48), len(d)))
+    n, scale = squares[-1], unit * np.sqrt(squares[:-1] / 2.0**48 / squares[-1])
+    used = np.flatnonzero(scale > 0)
+    size, scale = len(used), scale[used]
+    row, column = np.triu_indices(size)
+    w, step, loss = np.zeros(size), np.zeros(size), np.inf
+    for _ in range(STEPS):
+        def parts(d: np.ndarray, at=w) -> np.ndarray:
+            d = d[:, used] / scale
+            margin = np.zeros(len(d))
+            for j in range(size):  # one by one: the same sum whatever the batch
+                margin += d[:, j] * at[j]
+            lost = np.logaddexp(0, -margin)
+            wrong = np.exp(-lost - margin)  # 1 / (1 + exp(margin))
+            bent = wrong * (1 - wrong)
+            return np.concatenate([_whole(lost[:, None], 30), _whole(d * wrong[:, None], 36),
+                                   _whole(d[:, row] * d[:, column] * bent[:, None], 30)])
+
+        total = _summed(pairs, parts)
+        now = total[0] / 2.0**30 / n + PENALTY / 2 * float(w @ w)
+        if now > loss + 1e-9:  # too far
+            step = step / 2
+            w = w - step
+            continue
+        loss = now
+        slope = total[1:size + 1] / 2.0**36 / n - PENALTY * w
+        curve = np.zeros((size, size))
+        curve[row, column] = curve[column, row] = total[size + 1:] / 2.0**30 / n
+        step = np.linalg.solve(curve + PENALTY * np.eye(size), slope)
+        w = w + step
+        if np.abs(step).max(initial=0) < ENOUGH:
+            break
+    out = np.zeros(len(squares) - 1)
+    out[used] = w / scale
+    return out
+
+
+def threshold_of(labelled: DataFrame, weights: list[float]) -> tuple[float, float]:
+    """(threshold, deviation) of the scores of all of ``labelled`` (saved), counted on a grid."""
+    products = F.zip_with("x", F.array(*map(F.lit, weights)), lambda p, q: p * q)
+    scored = labelled.select("quality", F.aggregate(products, F.lit(0.0), lambda a, v: a + v).alias("score"))
+    low, high = scored.agg(F.min("score"), F.max("score")).first()
+    width = max((high - low) / GRID, 1e-12)
+    place = F.floor((F.col("score") - low) / width).cast("long")
+    rows = scored.groupBy(place.alias("at"), "quality").count().collect()  # at most two a grid step
+    at, quality, count = (np.array([r[i] for r in sorted(rows)]) for i in range(3))
+    places = np.unique(at)
+    good, bad = (np.bincount(np.searchsorted(places, at[quality == k]), weights=count[quality == k],
+                             minlength=len(places)) for k in (1, 0))
+    every = np.cumsum(good + bad)
+    best = None
+    for q in np.linspace(0.005, 0.995, 199):
+        i = int(np.searchsorted(every, q * (every[-1] - 1), side="right"))
+        gain = good[i:].sum() / good.sum() - bad[i:].sum() / bad.sum()
+        if best is None or gain > best[0] + 1e-12:
+            best = (gain, float(low + width * int(places[i])))
+    mean = (places * (good + bad)).sum() / every[-1]
+    spread = width * np.sqrt(((places - mean) ** 2 * (good + bad)).sum() / every[-1])
+    return best[1], float(max(spread, 1e-6))
 
 
-def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranker | None:
-    """Fit on at most ``sample`` labelled documents of each label; None without both labels."""
+def learn(docs: DataFrame, labels: DataFrame) -> Ranker | None:
+    """Fit on every labelled document; None without both labels."""
     texts = columns(docs, doc_id="long", text="string")
-    known = columns(labels, doc_id="long", quality="int").where(
-        "quality in (0, 1) and doc_id is not null")
-    chosen = saved(hash_sample_by(known, "quality", sample, "doc_id"))
-    # one text of each labelled document (that of the smallest hash, if rows share the id): no more
-    # rows than were chosen, whatever the tables' size
+    known = saved(columns(labels, doc_id="long", quality="int").where(
+        "quality in (0, 1) and doc_id is not null").distinct())
+    if known.limit(IDS + 1).count() <= IDS:
+        texts = texts.join(F.broadcast(known.select("doc_id").distinct()), "doc_id", "left_semi")
+    # one text of each labelled document (that of the smallest hash, if rows share the id); features
+    # are made first, so no text is shuffled
     key = F.xxhash64("doc_id", "text")
-    one = texts.join(F.broadcast(chosen), "doc_id").groupBy("quality", "doc_id").agg(
-        F.min(key).alias("key"), F.min_by("text", key).alias("text"))
-    labelled = saved(one.select("quality", "key", _features_udf()("text").alias("x")))
+    rows = texts.where("doc_id is not null").select(
+        "doc_id", key.alias("key"), _features_udf()("text").alias("x"))
+    one = rows.groupBy("doc_id").agg(F.min_by("x", "key").alias("x"), F.min("key").alias("key"))
+    labelled = saved(one.join(known, "doc_id").select("quality", "key", "x"))
     if labelled.select("quality").distinct().count() < 2:
         return None
-    model = LogisticRegression(fitIntercept=False, regParam=1e-3, maxIter=60, tol=1e-7).fit(
-        saved(pairs_of(labelled)))
-    weights = [float(v) for v in model.coefficients.toArray()]
-    rows = labelled.select("quality", "x").sort("key").toArrow()  # two samples at most
-    quality = rows.column("quality").to_numpy()
-    score = np.array(rows.column("x").to_pylist()) @ np.array(weights)
-    best = None
-    for q in np.linspace(0.005, 0.995, 199):
-        cut = float(np.quantile(score, q))
-        gain = (score[quality == 1] >= cut).mean() - (score[quality == 0] >= cut).mean()
-        if best is None or gain > best[0] + 1e-12:
-            best = (gain, cut)
-    return Ranker(weights, best[1], float(max(score.std(), 1e-6)))
+    weights = [float(v) for v in weights_of(saved(pairs_of(labelled)))]
+    return Ranker(weights, *threshold_of(labelled, weights))
 
 
 def scorer(spark: SparkSession, ranker: Ranker | None):
@@ -181,7 +270,7 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     bounded_batches(docs.sparkSession)
     rest = docs.drop("held_out", "score", "predicted")
     names = [F.col(f"`{c}`") for c in rest.columns]
-    ranker = learn(rest, labels.where(~is_held_out()))
+    ranker = learn(rest.where(~is_held_out()), labels.where(~is_held_out()))
     score = scorer(docs.sparkSession, ranker)(F.col("text").cast("string"))
     return rest.select(*names, is_held_out().alias("held_out"), score.alias("score")).withColumn(
         "predicted", (F.col("score") >= CUT).cast("int"))
