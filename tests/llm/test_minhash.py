@@ -125,6 +125,21 @@ def test_centres_step_aside(spark, short):
     assert sorted((r.doc_id, r.component_id) for r in got) == [(d, c) for d, _, c in plain(rows)]
 
 
+def test_pairs_of_long_texts_stay_in_their_task(spark):
+    """A bucket of long texts, linked or almost, sends no more rows than it has members."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for family, n in enumerate((4, 11)):  # similar by about 0.93: all linked; by about 0.84: hardly any
+        base = words(rng, 700, 10**6)
+        rows += [(family * 100 + i, " ".join(changed(rng, base, n))) for i in range(40)]
+    check(spark, rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = minhash.described(df).selectExpr("doc_id id", "n", "sig", "text_key key", "hi", "lo")
+    nodes = minhash.saved(nodes)
+    live = minhash.saved(minhash.buckets(nodes).selectExpr("*", "id root"))
+    assert minhash.across(live, nodes, df).count() < 4 * len(rows)  # of 1,560 pairs
+
+
 def test_odd_rows(spark):
     long = " ".join(words(np.random.default_rng(4), 60_000))
     check(spark, [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (None, "a"), (None, ""),

@@ -10,8 +10,9 @@ two members that are linked with each other but not with the centre. So where a
 still in several components afterwards, those outside its largest component meet the others, in
 blocks: no link inside a bucket is lost, and buckets of one component (families of copies) are done
 after the star. A pair may be a link if its sizes allow it and its signatures agree about as often as
-linked texts do; every link is confirmed on the full sets, those of short texts inside the block's
-task, which sends only links that join something.
+linked texts do; it is looked at in the first bucket it shares. Blocks of signatures send on the
+members of such pairs, in smaller blocks that hold their full sets; there every link is confirmed, and
+only links that join something are sent: rows grow with the members, never with their pairs.
 
 Equal sets are one node from the start. Two texts at the threshold share no bucket with probability
 (1 - 0.85^6)^32 = 3e-7, and fall under the signatures' bound (five deviations) about as rarely.
@@ -47,7 +48,7 @@ DEVIATIONS = 5.0
 WANTED = 500_000
 #: Members of a bucket that meet as many others in one task.
 BLOCK = 4096
-#: Shingles of a short set: its bucket's task holds it whole (4 KB), longer ones meet in a join.
+#: Shingles a member of a full block has on average; a block of longer sets has fewer members.
 SHORT = 512
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -160,10 +161,10 @@ def described(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 
 
 def buckets(nodes: DataFrame, rows: int = ROWS) -> DataFrame:
-    """(key, id): the bands of every node."""
+    """(band, key, id): the bands of every node."""
     band = F.transform(F.sequence(F.lit(0), F.lit(BINS // rows - 1)), lambda i: F.xxhash64(
         i, F.substring(F.col("sig"), i * rows + 1, F.lit(rows))))
-    return nodes.select(F.explode(band).alias("key"), "id")
+    return nodes.select(F.posexplode(band).alias("band", "key"), "id")
 
 
 def _agreeing():
@@ -259,14 +260,39 @@ def _overlaps(own: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
     return same[end] - same[np.concatenate(([0], end[:-1]))]
 
 
-def across(live: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHINGLE,
-           percent: int = PERCENT, block: int = BLOCK, short: int = SHORT) -> DataFrame:
-    """(a, b, sure): links between a bucket's members from different components, as few as join the
-    same components; for sets of over ``short`` shingles pairs that may be links, not ``sure`` yet.
+def _partners(table: pa.Table, rows: int, percent: int):
+    """(columns of a block, function): the function gives a member of side 0 the members of side 1 it
+    may be linked with, of those with another label whose first shared bucket this is."""
+    own = {c: table.column(c).to_numpy() for c in ("id", "root", "n", "band", "side")}
+    own["rest"] = np.asarray(table.column("rest").to_numpy(), dtype=bool)
+    sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+    ids, n, every = own["id"], own["n"], np.flatnonzero(own["side"] == 1)
+
+    def of(i: int, label: np.ndarray) -> np.ndarray:
+        small, large = np.minimum(n[i], n[every]), np.maximum(n[i], n[every])
+        # two members of side 0 meet twice: once is enough
+        to = every[(label[every] != label[i]) & (100 * small >= percent * large)
+                   & (~own["rest"][every] | (ids[every] > ids[i]))]
+        before = int(own["band"][i]) * rows
+        if before and len(to):
+            same = (sig[to, :before] == sig[i, :before]).reshape(len(to), -1, rows).all(axis=2)
+            to = to[~same.any(axis=1)]
+        return to[may_link(sig[to], sig[i], n[to], n[i], percent)[0]] if len(to) else to
+
+    return own, of
 
-    ``live`` is (key, id, root). Any such pair has a member outside the bucket's largest component, so
-    those members meet all, in blocks. A task confirms links on the full sets of short texts and drops
-    what it has joined already, so it sends no more links than it has members.
+
+def across(live: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHINGLE,
+           percent: int = PERCENT, block: int = BLOCK, short: int = SHORT,
+           rows: int = ROWS) -> DataFrame:
+    """(a, b): links between a bucket's members from different components, as few as join the same
+    components.
+
+    ``live`` is (band, key, id, root). Any such pair has a member outside the bucket's largest
+    component, so those members meet all, in blocks of signatures. Members that may be linked meet
+    again in blocks of at most ``block`` times ``short`` shingles a side (or one longer set), where a
+    task confirms links on the full sets and drops what it has joined already. Neither step sends more
+    rows than a block has members, for each of the smaller blocks it is cut in.
     """
     sizes = live.groupBy("key", "root").agg(F.count(F.lit(1)).alias("m")).groupBy("key").agg(
         F.max_by("root", F.struct("m", "root")).alias("largest"), F.sum("m").alias("all"),
@@ -274,54 +300,69 @@ def across(live: DataFrame, nodes: DataFrame, docs: DataFrame, size: int = SHING
     sizes = sizes.select(
         "key", "largest", F.ceil(F.col("all") / block).cast("int").alias("k_all"),
         F.ceil((F.col("all") - F.col("most")) / block).cast("int").alias("k_few"))
-    open_ = saved(live.join(sizes, "key"))
-    known = nodes.join(open_.select("id").distinct(), "id")
-    wanted = saved(known.where(F.col("n") <= short).select("id", "key", "hi", "lo"))
-    known = saved(known.select("id", "n", "sig").join(full_sets(wanted, docs, size), "id", "left"))
-    rows = open_.join(known, "id")
+    open_ = live.join(sizes, "key").withColumn("rest", F.expr("root != largest"))
+    signed = saved(open_.join(nodes.select("id", "n", "sig"), "id"))
     own = F.xxhash64("id")
 
     def dealt(table: DataFrame, side: int, into: str, times: str) -> DataFrame:
         mine = F.pmod(own, F.col(into)).cast("int")
         other = F.explode(F.sequence(F.lit(0), F.col(times) - 1))
         p, q = (mine, other) if side == 0 else (other, mine)
-        return table.select("key", "id", "root", "n", "sig", "shingles",
+        return table.select("key", "band", "id", "root", "rest", "n", "sig",
                             F.lit(side).cast("byte").alias("side"), p.alias("p"), q.alias("q"))
 
-    met = dealt(rows.where("root != largest"), 0, "k_few", "k_all").unionByName(
-        dealt(rows, 1, "k_all", "k_few"))
-
-    def match(key, table):
-        side = table.column("side").to_numpy()
-        ids, label, n = (table.column(c).to_numpy() for c in ("id", "root", "n"))
-        label = label.copy()
-        sig = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint8).reshape(len(ids), -1)
+    met = dealt(signed.where("rest"), 0, "k_few", "k_all").unionByName(
+        dealt(signed, 1, "k_all", "k_few"))
+    limit = max(1, block * short)
+
+    def near(key, table):
+        held, of = _partners(table, rows, percent)
+        side, n = held["side"], held["n"]
+        part = np.zeros(len(side), dtype=np.int64)  # smaller blocks of each side
+        for k in (0, 1):
+            part[side == k] = np.cumsum(n[side == k]) // limit
+        wanted = set()  # (smaller block of side 0, of side 1, member)
+        for i in np.flatnonzero(side == 0).tolist():
+            to, c = of(i, held["root"]), int(part[i])
+            wanted.update((c, d, i) for d in np.unique(part[to]).tolist())
+            wanted.update((c, d, k) for d, k in zip(part[to].tolist(), to.tolist()))
+        c, d, at = (np.array(x, dtype=np.int64) for x in zip(*sorted(wanted))) if wanted else (
+            np.zeros((3, 0), dtype=np.int64))
+        out = {x: pa.array(np.full(len(at), v.as_py()), t) for x, v, t in zip(
+            ("key", "p", "q"), key, (pa.int64(), pa.int32(), pa.int32()))}
+        out |= {"c": pa.array(c), "d": pa.array(d)}
+        out |= {x: pa.array(held[x][at]) for x in ("band", "id", "root", "rest", "side")}
+        return pa.table(out)
+
+    found = saved(met.groupBy("key", "p", "q").applyInArrow(
+        near, "key long, p int, q int, c long, d long, band int, id long, root long, rest boolean, "
+              "side byte"))
+    ids = found.select("id").distinct()
+    known = saved(nodes.select("id", "key", "hi", "lo").join(ids, "id"))
+    sets = full_sets(known, docs, size).join(nodes.select("id", "n", "sig"), "id")
+
+    def match(table: pa.Table) -> pa.Table:
+        held, of = _partners(table, rows, percent)
+        ids, n, label = held["id"], held["n"], held["root"].copy()
         column = table.column("shingles").combine_chunks()
         values, bound = column.values.to_numpy().view(np.uint64), column.offsets.to_numpy()  # in order
         sets = [values[x:y] for x, y in zip(bound[:-1], bound[1:])]
-        full = ~np.asarray(column.is_null().to_numpy(zero_copy_only=False))
-        few, every = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-        out = []
-        for i in few.tolist():
-            small, large = np.minimum(n[i], n[every]), np.maximum(n[i], n[every])
-            to = every[(label[every] != label[i]) & (100 * small >= percent * large)]
-            to = to[may_link(sig[to], sig[i], n[to], n[i], percent)[0]]
-            sure = full[to] & full[i]
-            out += [(ids[i], x, False) for x in ids[to[~sure]]]
-            to = to[sure]
+        a, b = [], []
+        for i in np.flatnonzero(held["side"] == 0).tolist():
+            to = of(i, label)
             if not len(to):
                 continue
             both = _overlaps(sets[i], [sets[k] for k in to])
             to = to[100 * both >= percent * (n[i] + n[to] - both)]
             joined, first = np.unique(label[to], return_index=True)
-            out += [(ids[i], ids[k], True) for k in to[first]]
+            a += [ids[i]] * len(first)
+            b += ids[to[first]].tolist()
             label[np.isin(label, joined)] = label[i]
-        a, b, sure = zip(*out) if out else ((), (), ())
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()),
-                         "sure": pa.array(sure, pa.bool_())})
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    found = met.groupBy("key", "p", "q").applyInArrow(match, "a long, b long, sure boolean")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "sure").distinct()
+    linked = found.join(sets, "id").groupBy("key", "p", "q", "c", "d").applyInArrow(
+        match, "a long, b long")
+    return linked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def linked_roots(nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
@@ -337,11 +378,8 @@ def linked_roots(nodes: DataFrame, docs: DataFrame, size: int = SHINGLE, percent
     star = star.groupBy("id").agg(F.max_by("centre", F.struct("m", -F.col("centre"))).alias("a"))
     found = saved(plausible(star.select("a", F.col("id").alias("b")), nodes, percent))
     roots = merged(None, confirmed(found, nodes, docs, size, percent))
-    placed = _rooted(live.select("key", "id"), roots, "id", "root")
-    left = saved(across(placed, nodes, docs, size, percent, block, short))
-    roots = merged(roots, saved(left.where("sure").select("a", "b")))
-    open_ = saved(_apart(left.where("NOT sure").select("a", "b"), roots).select("a", "b"))
-    return merged(roots, confirmed(open_, nodes, docs, size, percent))
+    placed = _rooted(live.select("band", "key", "id"), roots, "id", "root")
+    return merged(roots, saved(across(placed, nodes, docs, size, percent, block, short, rows)))
 
 
 def components_of(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
